@@ -1,6 +1,6 @@
 """Registered queries and their SQL counterparts over the driver's tables."""
 
-from catalog import rows  # noqa: F401
+from catalog import groups, rows  # noqa: F401
 from catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -13,6 +13,7 @@ from tallyloom.operators.spine import entity_spine, natural_days
 from tallyloom.plans.feed import daily_feed
 from tallyloom.plans.processors import fix_losses, fix_total_cost, put_fixed
 from tallyloom.sinks.layout import request_errors, with_layout
+from tallyloom.sources.landing import in_range, with_period_bounds
 
 # The data covers 1992-2001, so the dates at which rules change are set inside it.
 FLOOR, SIGN_CHANGE = 19960101, 19980630
@@ -252,8 +253,9 @@ PERIOD_SQL = PERIOD_SQL.replace(
 
 @query("period_from_path", PERIOD_SQL)
 def _(t):
-    grain, label = dates.path_period(F.substring_index("file_path", "/m/", -1))
-    return t.view("v_paths").select("order_key", grain.alias("grain"), label.alias("period"))
+    label = dates.path_period(F.substring_index("file_path", "/m/", -1))
+    return t.view("v_paths").select("order_key", dates.period_grain(label).alias("grain"),
+                                    label.alias("period"))
 
 
 @query("periods_in_range", f"""
@@ -269,11 +271,8 @@ def _(t):
     select order_key, period from b
     where a <= date '1998-05-15' and a + w > date '1997-02-10'""")
 def _(t):
-    from tallyloom.sources.landing import in_range
-    grain, label = dates.path_period(F.substring_index("file_path", "/m/", -1))
-    files = t.view("v_paths").select("order_key", grain.alias("grain"), label.alias("period"))
-    first, last = dates.period_bounds(F.col("grain"), F.col("period"))
-    files = files.withColumns({"period_start": first, "period_end": last})
+    label = dates.path_period(F.substring_index("file_path", "/m/", -1))
+    files = with_period_bounds(t.view("v_paths").select("order_key", label.alias("period")))
     return in_range(files, "19970210", "19980515").select("order_key", "period")
 
 

@@ -65,42 +65,40 @@ def quarter_end_from_path(path: Column) -> Column:
 
 # Period notations in a landing path, tried in this order.
 PATH_PERIODS = (
-    ("daily", r"(\d{6}/\d{2})"),
-    ("monthly", r"(\d{6})(?:/|$)"),
-    ("quarterly", r"(\d{4}[Qq][1-4])(?:/|$)"),
-    ("yearly", r"(\d{4})(?:/|$)"),
+    r"(\d{6}/\d{2})",                 # day
+    r"(\d{6})(?:/|$)",                # month
+    r"(\d{4}[Qq][1-4])(?:/|$)",       # quarter
+    r"(\d{4})(?:/|$)",                # year
 )
 
 
-def path_period(path: Column) -> tuple[Column, Column]:
-    """grain and label of the period in a path, both null when there is none."""
-    grain, label = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for name, pattern in reversed(PATH_PERIODS):
-        found = F.regexp_extract(path, pattern, 1)
-        grain = F.when(found != "", F.lit(name)).otherwise(grain)
-        label = F.when(found != "", F.replace(found, F.lit("/"), F.lit(""))).otherwise(label)
-    return grain, label
-
-
-def period_bounds(grain: Column, label: Column) -> tuple[Column, Column]:
-    """First and last day a period label covers; null when the label is no real period."""
-    year = F.substring(label, 1, 4)
-    day = F.try_to_date(label, "yyyyMMdd")
-    month = F.try_to_date(F.concat(label, F.lit("01")), "yyyyMMdd")
-    quarter_month = F.substring(label, 6, 1).try_cast("int") * 3 - 2
-    quarter = F.try_to_date(
-        F.concat(year, F.lpad(quarter_month.cast("string"), 2, "0"), F.lit("01")), "yyyyMMdd")
-    start = (
-        F.when(grain == "daily", day).when(grain == "monthly", month)
-        .when(grain == "quarterly", quarter)
-        .when(grain == "yearly", F.try_to_date(F.concat(year, F.lit("0101")), "yyyyMMdd"))
-    )
-    end = (
-        F.when(grain == "daily", day).when(grain == "monthly", F.last_day(month))
-        .when(grain == "quarterly", F.last_day(F.add_months(quarter, 2)))
-        .when(grain == "yearly", F.try_to_date(F.concat(year, F.lit("1231")), "yyyyMMdd"))
-    )
-    return start, end
+def path_period(path: Column) -> Column:
+    """the period label in a path (``yyyyMMdd``, ``yyyyMM``, ``yyyyQn``, ``yyyy``) or null."""
+    found = [F.nullif(F.regexp_extract(path, pattern, 1), F.lit("")) for pattern in PATH_PERIODS]
+    return F.replace(F.coalesce(*found), F.lit("/"), F.lit(""))
+
+
+def period_grain(label: Column) -> Column:
+    """The grain a period label has by its form."""
+    return (F.when(F.upper(label).contains("Q"), "quarterly").when(F.length(label) == 8, "daily")
+            .when(F.length(label) == 6, "monthly").when(F.length(label) == 4, "yearly"))
+
+
+def period_start(label: Column) -> Column:
+    """First day a period label covers; null when the label is no real period."""
+    quarter = F.upper(label).contains("Q")
+    month = F.lpad((F.substring(label, 6, 1).try_cast("int") * 3 - 2).cast("string"), 2, "0")
+    tail = (F.when(quarter, F.concat(month, F.lit("01"))).when(F.length(label) == 4, "0101")
+            .when(F.length(label) == 6, "01").otherwise(""))
+    head = F.when(quarter, F.substring(label, 1, 4)).otherwise(label)
+    return F.try_to_date(F.concat(head, tail), "yyyyMMdd")
+
+
+def period_end(label: Column, start: Column) -> Column:
+    """Last day a period label covers, from its first."""
+    months = F.when(F.upper(label).contains("Q"), 3).when(F.length(label) == 4, 12).otherwise(1)
+    return F.when(F.length(label) == 8, start).otherwise(
+        F.last_day(F.add_months(start, months - 1)))
 
 
 def bound_start(text: Column) -> Column:

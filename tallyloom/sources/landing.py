@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions.dates import path_period, period_bounds
+from tallyloom.functions.dates import path_period, period_end, period_start
 from tallyloom.sources.scan import empty, file_stem, is_missing_path
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint"
@@ -32,10 +32,19 @@ def landed_files(spark: SparkSession, root: str, method: str,
         notes = _listing(spark, root, method, "*.json")
         data = data.join(notes.select(file_stem(F.col("path")).alias("stem")), "stem", "left_semi")
     inside = F.substring_index("path", f"/{method}/", -1)
-    grain, label = path_period(inside)
-    dated = data.withColumns({"grain": grain, "period": label})
-    start, end = period_bounds(F.col("grain"), F.col("period"))
-    return dated.withColumns({"period_start": start, "period_end": end})
+    return with_period_bounds(data.withColumn("period", path_period(inside)))
+
+
+def with_period_bounds(files: DataFrame) -> DataFrame:
+    """First and last day of each file's ``period``.
+
+    The bounds come from a generator, not a projection: a filter on them then stays above the path
+    parsing instead of being rewritten into many copies of it.
+    """
+    label = F.col("period")
+    start = period_start(label)
+    bounds = F.struct(start.alias("period_start"), period_end(label, start).alias("period_end"))
+    return files.select("*", F.inline(F.array(bounds)))
 
 
 def in_range(files: DataFrame, start: str | Column, end: str | Column) -> DataFrame:
