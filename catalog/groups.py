@@ -316,11 +316,8 @@ def _(t):
     join comps c on c.section = t.section and c.group_id = t.group_id
     group by 1, 2, 3, 4""")
 def _(t):
-    groups = rec.parse_relationships(t.view("v_relcfg"), ["section"])
-    negative = F.filter("components", lambda c: c["negative"])
-    return groups.select("section", "group_id", "group_name", "total",
-                         F.size("components").alias("n_components"),
-                         F.size(negative).alias("n_negative"))
+    items = rec.relationship_items(t.view("v_relcfg"), ["section"])
+    return rec.complete_groups(items, ["section"])
 
 
 RECON_SECTION = {
@@ -334,7 +331,7 @@ RECON_SECTION = {
 }
 
 
-def _recon_sql(group_id, name, total):
+def recon_sql(group_id, name, total):
     gap = (f"case when part_o is null and part_f is null and disc is null then null else abs("
            f"coalesce(part_o, 0) + coalesce(part_f, 0) - coalesce(disc, 0) - {total}) end")
     return f"""
@@ -346,8 +343,8 @@ def _recon_sql(group_id, name, total):
         from (select {gap} as gap from v_recon where comp_type = '1') x"""
 
 
-@query("reconciliation", _recon_sql("1", "total", "total_ok") + " union all "
-       + _recon_sql("2", "total and component", "total_bad"))
+@query("reconciliation", recon_sql("1", "total", "total_ok") + " union all "
+       + recon_sql("2", "total and component", "total_bad"))
 def _(t):
     groups = rec.groups_from_section(RECON_SECTION, t.spark)
     results = rec.reconcile(t.view("v_recon").where("comp_type = '1'"), groups)
@@ -395,19 +392,19 @@ def _(t):
 
 
 @query("explode_blocks", """
-    select l_orderkey, cast(row_number() over (partition by l_orderkey
-             order by l_linenumber, l_partkey, l_shipdate, l_extendedprice) - 1 as int)
-             as block_index,
-           cast(count(*) over (partition by l_orderkey) as int) as total_blocks, l_linenumber,
-           l_partkey
-    from {lineitem}""")
-def _(t):
-    line = F.struct("l_linenumber", "l_partkey", "l_shipdate", "l_extendedprice")
-    lists = t.table("lineitem").groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(line)).alias("lines"))
-    lists = lists.select("l_orderkey", F.col("lines.l_linenumber").alias("l_linenumber"),
-                         F.col("lines.l_partkey").alias("l_partkey"))
-    return reshape.explode_blocks(lists, ["l_linenumber", "l_partkey"])
+    select request_id, cast(datediff('day', start_day, d) as int) as block_index,
+           cast(datediff('day', start_day, end_day) + 1 as int) as total_blocks,
+           strftime(d, '%Y%m%d') as first_day, strftime(d + interval 7 day, '%Y%m%d') as last_day
+    from (select request_id, start_day, end_day, cast(unnest(generate_series(
+            cast(start_day as timestamp), cast(end_day as timestamp), interval 1 day)) as date) as d
+          from v_ranges) x""")
+def _(t):
+    days = F.sequence("start_day", "end_day")
+    lists = t.view("v_ranges").select(
+        "request_id", F.transform(days, lambda d: F.date_format(d, "yyyyMMdd")).alias("first_day"),
+        F.transform(days, lambda d: F.date_format(F.date_add(d, 7), "yyyyMMdd"))
+        .alias("last_day"))
+    return reshape.explode_blocks(lists, ["first_day", "last_day"])
 
 
 # --- spines --------------------------------------------------------------------------------

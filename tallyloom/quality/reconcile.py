@@ -29,38 +29,51 @@ class Group:
     components: tuple[tuple[str, bool], ...]
 
 
-def parse_relationships(config: DataFrame, section: Sequence[str] = ()) -> DataFrame:
-    """config rows (position, field, relationship, report_item) to groups.
+def relationship_items(config: DataFrame, section: Sequence[str] = ()) -> DataFrame:
+    """config rows (position, field, relationship, report_item) to one row per part.
 
     ``N`` and ``N_`` name a total, ``N_1`` a component, ``-N_1`` one that is subtracted; ``;``
-    separates several. The first total of a group wins; a group without a total or without
-    components drops out. ``section`` columns keep several configs apart.
+    separates several. Parts of a deeper level or without a numeric group drop out. ``section``
+    columns keep several configs apart.
     """
-    by = [*section, "group_id"]
     parts = config.select(*section, "position", "field", "report_item",
                           F.explode(F.split("relationship", ";")).alias("_part"))
     pattern = r"^(-?)(\d+)(?:(_)(.*))?$"
     text = F.trim("_part")
     level = F.regexp_extract(text, pattern, 4)
-    marked = parts.where(text.rlike(pattern)).select(
-        *section, "position", "field", "report_item",
-        F.regexp_extract(text, pattern, 2).alias("group_id"),
-        (level == "").alias("is_total"), (level == "1").alias("is_component"),
+    return parts.where(text.rlike(pattern) & level.isin("", "1")).select(
+        *section, F.regexp_extract(text, pattern, 2).alias("group_id"),
+        (level == "").alias("is_total"), "position", "field", "report_item",
         (F.regexp_extract(text, pattern, 1) == "-").alias("negative"))
-    component = F.struct("position", "field", "negative")
-    groups = marked.where("is_total or is_component").groupBy(*by).agg(
-        F.min(F.when(F.col("is_total"), F.struct("position", "field", "report_item"))).alias("_t"),
-        F.array_sort(F.collect_set(F.when(F.col("is_component"), component))).alias("_c"))
-    return groups.where(F.col("_t").isNotNull() & (F.size("_c") > 0)).select(
-        *by, F.col("_t.report_item").alias("group_name"), F.col("_t.field").alias("total"),
-        F.col("_c").alias("components"))
+
+
+def complete_groups(items: DataFrame, section: Sequence[str] = ()) -> DataFrame:
+    """groups with a total and components; the first total wins, repeats count once."""
+    by = [*section, "group_id"]
+    component = ~F.col("is_total")
+    once = items.groupBy(*by, "is_total", "field", "negative").agg(
+        F.min(F.struct("position", "field", "report_item")).alias("_item"))
+    groups = once.groupBy(*by).agg(
+        F.min(F.when(F.col("is_total"), F.col("_item"))).alias("_total"),
+        F.count_if(component).alias("n_components"),
+        F.count_if(component & F.col("negative")).alias("n_negative"))
+    return groups.where(F.col("_total").isNotNull() & (F.col("n_components") > 0)).select(
+        *by, F.col("_total.report_item").alias("group_name"), F.col("_total.field").alias("total"),
+        "n_components", "n_negative")
 
 
 def load_groups(config: DataFrame) -> list[Group]:
-    """Groups of one statement: as many as its layout has, not as many as it has rows."""
-    rows = parse_relationships(config).orderBy(F.col("group_id").cast("int")).collect()
-    return [Group(r.group_id, r.group_name, r.total,
-                  tuple((c.field, c.negative) for c in r.components)) for r in rows]
+    """Groups of one statement's config, brought to the driver to become columns of a plan.
+
+    A statement has some hundred fields; this is configuration, never data.
+    """
+    items = relationship_items(config)
+    components: dict[str, dict[tuple[str, bool], None]] = {}
+    for row in items.where(~F.col("is_total")).orderBy("position").collect():
+        components.setdefault(row.group_id, {})[(row.field, row.negative)] = None
+    groups = complete_groups(items).orderBy(F.col("group_id").cast("int")).collect()
+    return [Group(r.group_id, r.group_name, r.total, tuple(components[r.group_id]))
+            for r in groups]
 
 
 def groups_from_section(section: Mapping[str, Mapping[str, str]], spark) -> list[Group]:

@@ -12,11 +12,10 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.sources.scan import empty, is_missing_path
+from tallyloom.sources.scan import empty
 
 MANIFEST_SCHEMA = (
     "dataset string, version string, path string, rows bigint, columns int, fingerprint string, "
@@ -65,16 +64,13 @@ class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.manifest_path = f"{self.root}/_manifest"
+        self.manifest_path = f"{self.root}/manifest"
+        # Made once per root, so that reading the manifest needs no special first case.
+        empty(spark, MANIFEST_SCHEMA).write.mode("ignore").parquet(self.manifest_path)
 
     def manifest(self) -> DataFrame:
         """Every published version."""
-        try:
-            return self.spark.read.schema(MANIFEST_SCHEMA).parquet(self.manifest_path)
-        except AnalysisException as error:
-            if not is_missing_path(error):
-                raise
-            return empty(self.spark, MANIFEST_SCHEMA)
+        return self.spark.read.schema(MANIFEST_SCHEMA).parquet(self.manifest_path)
 
     def current(self) -> DataFrame:
         """The newest row per dataset."""
