@@ -254,8 +254,8 @@ PERIOD_SQL = PERIOD_SQL.replace(
 @query("period_from_path", PERIOD_SQL)
 def _(t):
     label = dates.path_period(F.substring_index("file_path", "/m/", -1))
-    return t.view("v_paths").select("order_key", dates.period_grain(label).alias("grain"),
-                                    label.alias("period"))
+    paths = t.view("v_paths").select("order_key", label.alias("period"))
+    return paths.withColumn("grain", dates.period_grain(F.col("period")))
 
 
 @query("periods_in_range", f"""

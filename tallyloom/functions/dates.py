@@ -33,6 +33,25 @@ def parse_compact(c: Column) -> Column:
     return F.try_to_date(c.cast("string"), "yyyyMMdd")
 
 
+def as_day(df: DataFrame, name: str) -> Column:
+    """A column of any type as a date; text and numbers are read as ``yyyyMMdd`` or ISO."""
+    dtype, c = df.schema[name].dataType, F.col(name)
+    if isinstance(dtype, T.DateType):
+        return c
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.to_date(c)
+    if isinstance(dtype, T.NumericType):
+        return F.try_to_date(c.cast("bigint").cast("string"), "yyyyMMdd")
+    return F.coalesce(F.try_to_date(c, "yyyyMMdd"), c.try_cast("date"))
+
+
+def day_order(df: DataFrame, name: str) -> Column:
+    """A number that orders the days of a column; ``yyyyMMdd`` numbers are in order already."""
+    if isinstance(df.schema[name].dataType, T.IntegralType):
+        return F.col(name).cast("bigint")
+    return F.unix_date(as_day(df, name)).cast("bigint")
+
+
 def compact_int(c: Column) -> Column:
     """A date as the number ``yyyyMMdd``."""
     return F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)
@@ -52,15 +71,17 @@ def fiscal_period(end_date: Column, interval: str = "quarterly") -> Column:
     return (year * 100 + F.floor((month - 1) / 3) + 1).cast("int")
 
 
+def _first_match(text: Column, pattern: str) -> Column:
+    """First group of the first match, null without one; the pattern runs once per row."""
+    return F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.lit(0))
+
+
 def quarter_end_from_path(path: Column) -> Column:
     """the first ``yyyyQn`` in a path as the last day of that quarter."""
-    year = F.regexp_extract(path, r"(\d{4})Q(\d)", 1)
-    quarter = F.regexp_extract(path, r"(\d{4})Q(\d)", 2)
-    tail = (
-        F.when(quarter == "1", "0331").when(quarter == "2", "0630")
-        .when(quarter == "3", "0930").otherwise("1231")
-    )
-    return F.when(year != "", F.concat(year, tail))
+    label = _first_match(path, r"(\d{4}Q\d)")
+    ends = F.create_map(*[F.lit(x) for x in ("1", "0331", "2", "0630", "3", "0930")])
+    tail = F.coalesce(F.try_element_at(ends, F.substring(label, 6, 1)), F.lit("1231"))
+    return F.concat(F.substring(label, 1, 4), tail)
 
 
 # Period notations in a landing path, tried in this order.
@@ -74,8 +95,8 @@ PATH_PERIODS = (
 
 def path_period(path: Column) -> Column:
     """the period label in a path (``yyyyMMdd``, ``yyyyMM``, ``yyyyQn``, ``yyyy``) or null."""
-    found = [F.nullif(F.regexp_extract(path, pattern, 1), F.lit("")) for pattern in PATH_PERIODS]
-    return F.replace(F.coalesce(*found), F.lit("/"), F.lit(""))
+    found = F.coalesce(*[_first_match(path, pattern) for pattern in PATH_PERIODS])
+    return F.replace(found, F.lit("/"), F.lit(""))
 
 
 def period_grain(label: Column) -> Column:

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from tallyloom.contracts import DIVIDEND_MAX_SPREAD
 from tallyloom.functions.amounts import lenient_number, relative_spread
+from tallyloom.functions.dates import day_order
 from tallyloom.operators.keyed import (
-    first_per_key, keys_present, per_key, rows_with_key, rows_without_key)
+    descending, first_per_key, keys_present, per_key, rows_with_key, rows_without_key)
 
 
 def statement_keys(columns: Sequence[str]) -> list[str]:
@@ -43,19 +44,13 @@ def resolve_01(df: DataFrame, keys: Sequence[str] | None = None,
                             extra=~lenient_number(F.col(flag)).eqNullSafe(F.lit(1.0)))
 
 
-def _moment(c: Column) -> Column:
-    """Announcement day as a comparable number, for ``yyyyMMdd`` text, numbers and dates."""
-    return F.unix_date(F.coalesce(F.try_to_date(c.cast("string"), "yyyyMMdd"),
-                                  c.cast("string").try_cast("date")))
-
-
 def resolve_11(df: DataFrame, keys: Sequence[str] | None = None, flag: str = "update_flag",
                day: str = "ann_date") -> DataFrame:
     """Of two rows flagged 1 the later announced stays, both on a tie, none without a day."""
     keys = keys or statement_keys(df.columns)
-    pairs = _flag_pairs(df, keys, flag, F.max(_moment(F.col(day))).alias("_last"))
+    pairs = _flag_pairs(df, keys, flag, F.max(day_order(df, day)).alias("_last"))
     pairs = pairs.where("_low = 1 and _high = 1 and _sum = 2").select(*keys, "_last")
-    late = F.coalesce(_moment(F.col(day)) == F.col("_last"), F.lit(False))
+    late = F.coalesce(day_order(df, day) == F.col("_last"), F.lit(False))
     return rows_without_key(df, pairs, keys, extra=~late)
 
 
@@ -63,10 +58,10 @@ def resolve_flags(df: DataFrame, keys: Sequence[str] | None = None, flag: str =
                   day: str = "ann_date") -> DataFrame:
     """D1 then D2 in one pass: their groups never overlap, so one statistic serves both."""
     keys = keys or statement_keys(df.columns)
-    pairs = _flag_pairs(df, keys, flag, F.max(_moment(F.col(day))).alias("_last"))
+    pairs = _flag_pairs(df, keys, flag, F.max(day_order(df, day)).alias("_last"))
     pairs = pairs.where("(_low = 0 and _high = 1 and _sum = 1) or "
                         "(_low = 1 and _high = 1 and _sum = 2)").select(*keys, "_low", "_last")
-    late = F.coalesce(_moment(F.col(day)) == F.col("_last"), F.lit(False))
+    late = F.coalesce(day_order(df, day) == F.col("_last"), F.lit(False))
     flagged = lenient_number(F.col(flag)).eqNullSafe(F.lit(1.0))
     losing = F.when(F.col("_low") == 0, ~flagged).otherwise(~late)
     return rows_without_key(df, pairs, keys, extra=losing)
@@ -87,8 +82,7 @@ def resolve_dividends(df: DataFrame, keys: Sequence[str] = ("ts_code", "end_date
     keyed, unkeyed = df.where(keys_present(keys)), df.where(~keys_present(keys))
     spread = relative_spread(F.max(amount), F.min(amount), F.count(amount))
     wide = per_key(keyed, keys, spread.alias("_spread")).where(F.col("_spread") > max_spread)
-    newest = F.col(day).cast("string")
-    newest_first = [newest.isNull().cast("int"), -F.coalesce(_moment(newest), F.lit(0))]
+    newest_first = descending(day_order(df, day))
     rest = [c for c in df.columns if c not in keys]
     candidate = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(newest_first)],
                          *[F.col(c).alias(f"_t{i}") for i, c in enumerate(tie_break)],
@@ -141,9 +135,8 @@ def dedupe_by_strategy(df: DataFrame, keys: Sequence[str], strategy: str, update
     type, then flag and date. What is still tied goes to the smallest row.
     """
     flag = lenient_number(F.col(update))
-    moment = _moment(F.col(announced))
-    latest = [flag.isNull().cast("int"), -F.coalesce(flag, F.lit(0.0)),
-              moment.isNull().cast("int"), -F.coalesce(moment, F.lit(0))]
+    moment = day_order(df, announced)
+    latest = [*descending(flag), *descending(moment)]
     if strategy == "keep_latest_update":
         order = latest
     elif strategy == "keep_earliest_ann":

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.codes import to_feed_code
@@ -16,7 +16,7 @@ from tallyloom.operators.keyed import rows_with_key
 from tallyloom.operators.lookup import left_fold
 from tallyloom.operators.measures import calendar_days, instruments
 from tallyloom.operators.reshape import statements_to_point_in_time
-from tallyloom.sinks.writers import write_feed_lists, write_per_entity
+from tallyloom.sinks.writers import in_ranges, write_feed_lists, write_per_entity
 
 
 def daily_feed(sources: Mapping[str, DataFrame], required: Sequence[str],
@@ -36,11 +36,6 @@ def daily_feed(sources: Mapping[str, DataFrame], required: Sequence[str],
     return ordered(dated, ["symbol", "date", *required, *optional, factor, *basic])
 
 
-def in_feed_order(df: DataFrame, *keys: str) -> DataFrame:
-    """O1, O2: sorted for writing. Ranges, so the files follow each other in order."""
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-
-
 def sort_day(columns: Sequence[str]) -> str:
     """O2: the first date column there is."""
     return next(c for c in ("date", "trade_date", "datetime") if c in columns)
@@ -62,7 +57,7 @@ def point_in_time_feed(sources: Mapping[str, DataFrame], interval: str = "quarte
 def write_point_in_time(feed: DataFrame, path: str) -> None:
     """All statement tables in one write, a directory per table and symbol."""
     keys = ("data_type", "symbol", "datetime", "field")
-    (in_feed_order(feed, *keys).write.mode("overwrite").option("header", True)
+    (in_ranges(feed, *keys).write.mode("overwrite").option("header", True)
      .partitionBy("data_type", "symbol").csv(path))
 
 
@@ -79,7 +74,3 @@ def run_converters(converters: Mapping[str, Callable[[], int]]) -> list[dict]:
         run["duration_ms"] = int((time.monotonic() - began) * 1000)
         runs.append(run)
     return runs
-
-
-def feed_key(df: DataFrame) -> list[Column]:
-    return [F.col("symbol"), F.col(sort_day(df.columns))]

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tallyloom.contracts import (
     MAX_DUPLICATE_RATIO, MAX_NULL_RATIO, OUTLIER_STD, OUTLIER_WARNING_RATIO, TYPE_FAMILIES)
+from tallyloom.functions.dates import as_day
 from tallyloom.operators.columns import missing_fields
 from tallyloom.operators.measures import duplicate_count, null_profile
 
@@ -133,15 +134,10 @@ def type_issues(df: DataFrame, expected: Mapping[str, str]) -> dict[str, tuple[s
     return issues
 
 
-def as_day(c: Column) -> Column:
-    text = c.cast("string")
-    return F.coalesce(F.try_to_date(text, "yyyyMMdd"), text.try_cast("date"))
-
-
 def announcement_order(df: DataFrame, announced: str = "ann_date",
                        period_end: str = "period_end") -> DataFrame:
     """Q7: announcements on or before the period end; text that is no date is counted apart."""
-    first, second = as_day(F.col(announced)), as_day(F.col(period_end))
+    first, second = as_day(df, announced), as_day(df, period_end)
     unreadable = ((F.col(announced).isNotNull() & first.isNull())
                   | (F.col(period_end).isNotNull() & second.isNull()))
     counts = df.agg(F.count("*").alias("n_rows"), F.count_if(first <= second).alias("n_invalid"),
