@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.codes import digits_only, exchange_first
 from tallyloom.operators.filters import open_days
+from tallyloom.session import cut_lineage
 
 
 def max_periods(lookback: Column, multiplier: Column) -> Column:
@@ -63,21 +64,23 @@ def quarter_ends(requests: DataFrame, limit: Column | None = None,
 def calendar_index(calendar: DataFrame) -> DataFrame:
     """Every natural day a calendar spans with the open days around it.
 
-    Columns: ``day``, ``prior_open`` (number of the last open day on or before it) and
-    ``next_open`` (number of the first open day on or after it), from 1; 0 and n + 1 stand for
-    none. The table has one row per day, so its size is set by the years covered, whatever the
-    data; only that table is ordered in one task.
+    Columns: ``day``, ``prior_open`` (number of the last open day on or before it), ``next_open``
+    (number of the first open day on or after it), both from 1, and ``is_open``; 0 and n + 1 stand
+    for none. The table has one row per day: a century is 36,525 rows, whatever the data. That
+    bound is what allows numbering it in one task and broadcasting it. It is checkpointed, as it is
+    looked up several times and the calendar may itself be a query.
     """
-    days = open_days(calendar).select(F.to_date("cal_date", "yyyyMMdd").alias("open_day")).distinct()
-    span = calendar.agg(F.min(F.to_date("cal_date", "yyyyMMdd")).alias("a"),
-                        F.max(F.to_date("cal_date", "yyyyMMdd")).alias("b"))
+    dated = calendar.select(F.to_date("cal_date", "yyyyMMdd").alias("day"), "is_open")
+    days = open_days(dated).select(F.col("day").alias("open_day")).distinct()
+    span = dated.agg(F.min("day").alias("a"), F.max("day").alias("b"))
     every = span.select(F.explode(F.sequence("a", "b")).alias("day"))
     marked = every.join(days, every.day == days.open_day, "left")
     running = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counted = marked.withColumn("prior_open", F.count("open_day").over(running))
     closed = F.col("open_day").isNull().cast("int")
-    return counted.select("day", "prior_open", (F.col("prior_open") + closed).alias("next_open"),
-                          F.col("open_day").isNotNull().alias("is_open"))
+    return cut_lineage(counted.select(
+        "day", "prior_open", (F.col("prior_open") + closed).alias("next_open"),
+        F.col("open_day").isNotNull().alias("is_open")))
 
 
 def _open_by_number(index: DataFrame) -> DataFrame:
@@ -100,11 +103,11 @@ def trade_days(requests: DataFrame, calendar: DataFrame, limit: Column | None =
                .where(F.col("_from") <= F.col("_to")))
     lower = index.select(F.col("day").alias("_from"), F.col("next_open").alias("_low"))
     upper = index.select(F.col("day").alias("_to"), F.col("prior_open").alias("_high"))
-    bounded = (clipped.join(lower, "_from").join(upper, "_to")
+    bounded = (clipped.join(F.broadcast(lower), "_from").join(F.broadcast(upper), "_to")
                .where(F.col("_low") <= F.col("_high")))
     numbers = _newest(F.sequence("_low", "_high"), limit)
     numbered = bounded.select(*requests.columns, F.posexplode(numbers).alias("entry", "_number"))
-    return (numbered.join(_open_by_number(index), "_number")
+    return (numbered.join(F.broadcast(_open_by_number(index)), "_number")
             .select(*requests.columns, "entry", F.col("_open_day").alias("trade_day")))
 
 
@@ -123,7 +126,7 @@ def available_from(df: DataFrame, calendar: DataFrame, announced: str,
     lookup = index.select(F.col("day").alias("_day"), F.col("next_open").alias("_number"))
     days = _open_by_number(index).withColumnRenamed("_open_day", target)
     around = lookup.join(days, "_number", "left").drop("_number")
-    return rows.join(around, "_day", "left").drop("_day", "_asked")
+    return rows.join(F.broadcast(around), "_day", "left").drop("_day", "_asked")
 
 
 def entity_spine(master: DataFrame, form: str, status: str | None = None) -> DataFrame:

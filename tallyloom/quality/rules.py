@@ -1,8 +1,7 @@
 """Audit rules over one table.
 
-All rules of the single-row kind share one aggregate over the table; outliers need the means
-first, duplicates need a group-by on the key. A whole audit reads the table three times, whatever
-the number of rules and columns.
+A whole audit reads the table three times, whatever the number of rules and columns: once for means
+and deviations, once for every count that needs no grouping, once for duplicates of the key.
 """
 
 from __future__ import annotations
@@ -95,27 +94,32 @@ def key_uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         "n_duplicates", F.when(F.col("n_duplicates") == 0, "PASS").otherwise("FAIL").alias("status"))
 
 
-def outlier_profile(df: DataFrame, columns: Sequence[str] | None = None,
-                    threshold: float = OUTLIER_STD) -> DataFrame:
-    """Mean, deviation and count of far values per numeric column."""
-    names = [c for c in (columns or numeric_columns(df)) if c in df.columns]
+def _moments(df: DataFrame, names: Sequence[str]) -> Column:
+    """Means ``_m<i>`` and deviations ``_s<i>`` as one scalar subquery."""
     moments = df.agg(*[f(F.col(f"`{c}`").cast("double")).alias(f"{p}{i}")
                        for i, c in enumerate(names)
                        for p, f in (("_m", F.avg), ("_s", F.stddev_samp))])
-    stats = moments.select(F.struct("*").alias("_stats")).scalar()
-    far = []
-    for i, c in enumerate(names):
-        mean, dev = stats[f"_m{i}"], stats[f"_s{i}"]
-        value = F.col(f"`{c}`").cast("double")
-        # A column without spread has no outliers; the guard also avoids dividing by 0.
-        far.append(F.count_if((dev > 0) & (F.abs(value - mean) > threshold * dev)).alias(f"_n{i}"))
-    counts = df.agg(F.count("*").alias("_rows"), *far,
-                    *[F.count(F.col(f"`{c}`")).alias(f"_f{i}") for i, c in enumerate(names)])
+    return moments.select(F.struct("*").alias("_stats")).scalar()
+
+
+def _far_counts(names: Sequence[str], stats: Column, threshold: float) -> list[Column]:
+    """Values beyond the threshold, ``_far<i>``; a column without spread has none."""
+    return [F.count_if((stats[f"_s{i}"] > 0)
+                       & (F.abs(F.col(f"`{c}`").cast("double") - stats[f"_m{i}"])
+                          > threshold * stats[f"_s{i}"])).alias(f"_far{i}")
+            for i, c in enumerate(names)]
+
+
+def outlier_profile(df: DataFrame, columns: Sequence[str] | None = None,
+                    threshold: float = OUTLIER_STD) -> DataFrame:
+    """Mean, deviation and count of far values per numeric column with spread."""
+    names = [c for c in (columns or numeric_columns(df)) if c in df.columns]
+    stats = _moments(df, names)
+    counts = df.agg(F.count("*").alias("_rows"), *_far_counts(names, stats, threshold))
     entries = [F.struct(F.lit(c).alias("column_name"), stats[f"_m{i}"].alias("mean"),
-                        stats[f"_s{i}"].alias("std"), F.col(f"_n{i}").alias("n_outliers"))
+                        stats[f"_s{i}"].alias("std"), F.col(f"_far{i}").alias("n_outliers"))
                for i, c in enumerate(names)]
-    rows = counts.select("_rows", F.inline(F.array(*entries)))
-    rows = rows.where(F.col("std") > 0)
+    rows = counts.select("_rows", F.inline(F.array(*entries))).where(F.col("std") > 0)
     return rows.select("column_name", "mean", "std", "n_outliers",
                        F.try_divide(F.col("n_outliers"), F.col("_rows")).alias("outlier_ratio"))
 
@@ -134,17 +138,24 @@ def type_issues(df: DataFrame, expected: Mapping[str, str]) -> dict[str, tuple[s
     return issues
 
 
-def announcement_order(df: DataFrame, announced: str = "ann_date",
-                       period_end: str = "period_end") -> DataFrame:
-    """Q7: announcements on or before the period end; text that is no date is counted apart."""
+def _order_counts(df: DataFrame, announced: str, period_end: str) -> list[Column]:
     first, second = as_day(df, announced), as_day(df, period_end)
     unreadable = ((F.col(announced).isNotNull() & first.isNull())
                   | (F.col(period_end).isNotNull() & second.isNull()))
-    counts = df.agg(F.count("*").alias("n_rows"), F.count_if(first <= second).alias("n_invalid"),
-                    F.count_if(unreadable).alias("n_unreadable"))
-    return counts.withColumn(
-        "status", F.when(F.col("n_unreadable") > 0, "ERROR").when(F.col("n_invalid") == 0, "PASS")
-        .otherwise("FAIL"))
+    return [F.count_if(first <= second).alias("n_invalid"),
+            F.count_if(unreadable).alias("n_unreadable")]
+
+
+def _order_status() -> Column:
+    return (F.when(F.col("n_unreadable") > 0, "ERROR").when(F.col("n_invalid") == 0, "PASS")
+            .otherwise("FAIL"))
+
+
+def announcement_order(df: DataFrame, announced: str = "ann_date",
+                       period_end: str = "period_end") -> DataFrame:
+    """Q7: announcements on or before the period end; text that is no date is counted apart."""
+    counts = df.agg(F.count("*").alias("n_rows"), *_order_counts(df, announced, period_end))
+    return counts.withColumn("status", _order_status())
 
 
 def _details(**values) -> Column:
@@ -152,24 +163,41 @@ def _details(**values) -> Column:
                              F.array(*[v.cast("string") for v in values.values()]))
 
 
-def _worst(profile: DataFrame, column: str) -> DataFrame:
-    return profile.agg(F.coalesce(F.max(column), F.lit(0.0)).alias("worst"))
-
-
 def audit(df: DataFrame, keys: Sequence[str], expected_types: Mapping[str, str] | None = None,
           required: Sequence[str] | None = None, announced: str = "ann_date",
           period_end: str = "period_end", disabled: Sequence[str] = (),
           custom: Sequence[CustomRule] = ()) -> DataFrame:
     """Q8: one result row per enabled rule."""
-    parts: list[DataFrame] = []
-
-    nulls = null_profile(df).agg(
-        F.count_if(F.col("null_ratio") > MAX_NULL_RATIO).alias("n_over"),
-        F.coalesce(F.max("null_ratio"), F.lit(0.0)).alias("worst"))
-    parts.append(nulls.select(result(
-        "DQ001", F.when(F.col("n_over") == 0, "PASS").otherwise("FAIL"),
-        F.format_string("%d columns over the null limit", "n_over"),
-        _details(worst_ratio=F.col("worst"), threshold=F.lit(MAX_NULL_RATIO))).alias("r")))
+    numbers = numeric_columns(df)
+    dated = announced in df.columns and period_end in df.columns
+    counts = df.agg(
+        F.count("*").alias("_rows"),
+        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_null{i}")
+          for i, c in enumerate(df.columns)],
+        *(_far_counts(numbers, _moments(df, numbers), OUTLIER_STD) if numbers else ()),
+        *(_order_counts(df, announced, period_end) if dated else ()))
+
+    def ratios(prefix, n):
+        return F.array(*[F.coalesce(F.try_divide(F.col(f"{prefix}{i}"), F.col("_rows")),
+                                    F.lit(0.0)) for i in range(n)])
+
+    nulls = ratios("_null", len(df.columns))
+    over = F.size(F.filter(nulls, lambda r: r > MAX_NULL_RATIO))
+    entries = [result("DQ001", F.when(over == 0, "PASS").otherwise("FAIL"),
+                      F.format_string("%d columns over the null limit", over),
+                      _details(worst_ratio=F.array_max(nulls), threshold=F.lit(MAX_NULL_RATIO)))]
+    if numbers:
+        worst = F.array_max(ratios("_far", len(numbers)))
+        entries.append(result(
+            "DQ003", F.when(worst < OUTLIER_WARNING_RATIO, "PASS").otherwise("WARNING"),
+            F.lit(f"{len(numbers)} numeric columns checked"),
+            _details(worst_ratio=worst, threshold=F.lit(OUTLIER_STD))))
+    if dated:
+        entries.append(result(
+            "PIT001", _order_status(),
+            F.format_string("%d announcements not after the period end", "n_invalid"),
+            _details(invalid=F.col("n_invalid"), unreadable=F.col("n_unreadable"))))
+    parts = [counts.select(F.explode(F.array(*entries)).alias("r"))]
 
     present = [k for k in keys if k in df.columns]
     if present:
@@ -182,32 +210,17 @@ def audit(df: DataFrame, keys: Sequence[str], expected_types: Mapping[str, str]
                    _details(duplicates=F.col("n_duplicates"),
                             keys=F.lit(",".join(present)))))).alias("r")))
 
-    outliers = outlier_profile(df) if numeric_columns(df) else None
-    if outliers is not None:
-        parts.append(_worst(outliers, "outlier_ratio").select(result(
-            "DQ003",
-            F.when(F.col("worst") < OUTLIER_WARNING_RATIO, "PASS").otherwise("WARNING"),
-            F.lit(f"{len(numeric_columns(df))} numeric columns checked"),
-            _details(worst_ratio=F.col("worst"), threshold=F.lit(OUTLIER_STD))).alias("r")))
-
-    if announced in df.columns and period_end in df.columns:
-        order = announcement_order(df, announced, period_end)
-        parts.append(order.select(result(
-            "PIT001", F.col("status"),
-            F.format_string("%d announcements not after the period end", "n_invalid"),
-            _details(invalid=F.col("n_invalid"), unreadable=F.col("n_unreadable"))).alias("r")))
-
     parts.append(_static_results(df, keys, present, expected_types or {},
                                  list(required if required is not None else keys),
-                                 outliers is not None, announced, period_end))
+                                 bool(numbers), dated))
     for rule in custom:
         parts.append(_custom_result(df, rule))
     rows = reduce(DataFrame.unionByName, parts).select("r.*")
     return rows.where(~F.col("rule_id").isin(*disabled)) if disabled else rows
 
 
-def _static_results(df, keys, present, expected_types, required, has_outliers, announced,
-                    period_end) -> DataFrame:
+def _static_results(df, keys, present, expected_types, required, has_numbers,
+                    dated) -> DataFrame:
     """The results that follow from the schema alone."""
     def fixed(rule_id, status, message, **details):
         return result(rule_id, F.lit(status), F.lit(message),
@@ -223,9 +236,9 @@ def _static_results(df, keys, present, expected_types, required, has_outliers, a
     if not present:
         entries.append(fixed("DQ002", "SKIP", "no key columns"))
         entries.append(fixed("SC002", "FAIL" if keys else "SKIP", "no key columns"))
-    if not has_outliers:
+    if not has_numbers:
         entries.append(fixed("DQ003", "PASS", "0 numeric columns checked"))
-    if announced not in df.columns or period_end not in df.columns:
+    if not dated:
         entries.append(fixed("PIT001", "SKIP", "date columns missing"))
     one = df.sparkSession.range(1)
     return one.select(F.explode(F.array(*entries)).alias("r"))
