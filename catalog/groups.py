@@ -559,6 +559,18 @@ def _(t):
                                   "revenue_sq").withColumn("revenue_sq", F.round("revenue_sq", 2))
 
 
+@query("negative_quarters", """
+    select count(sq) as n_values, count(case when sq < 0 then 1 end) as n_negative,
+           count(case when sq < 0 then 1 end) * 1.0 / count(sq) <= 0.1 as plausible
+    from (select case when c.q = 1 then c.revenue else c.revenue - p.revenue end as sq
+          from v_quarterly c left join v_quarterly p
+            on p.ts_code = c.ts_code and p.fy = c.fy and p.q = c.q - 1) x""")
+def _(t):
+    # Plain quarterly amounts read as if they were cumulative: many differences are negative.
+    single = derived.single_quarter(t.view("v_quarterly"), "ts_code", "fy", "q", "revenue", "sq")
+    return derived.negative_share(single, "sq")
+
+
 TTM_SQL = """
     select c.ts_code, c.fy, c.q, c.revenue,
            case when count(p.revenue) = 4 then round(sum(p.revenue), 2) end as revenue_ttm

@@ -20,11 +20,12 @@ from tallyloom.plans.cleaning import clean_sources
 from tallyloom.plans.collect import collect
 from tallyloom.plans.feed import daily_feed, point_in_time_feed, run_converters, write_point_in_time
 from tallyloom.plans.steps import cleaning_registry
-from tallyloom.quality.rules import feed_check
+from tallyloom.quality.rules import feed_check, field_presence
 from tallyloom.session import scratch_path
 from tallyloom.sinks import layout, runlog, writers
 from tallyloom.sinks.snapshot import ShrinkError, SnapshotStore, fingerprint
-from tallyloom.sources.landing import available_periods, first_files, in_range, landed_files, paths_of
+from tallyloom.sources.landing import (
+    available_periods, first_files, in_range, landed_files, paths_of, read_layout)
 from tallyloom.sources.scan import file_digests, landing_scan, read_csv, read_table
 
 ORDERS_SQL = """
@@ -215,10 +216,10 @@ def _(t):
 # --- landing -------------------------------------------------------------------------------
 
 def landed_orders(t) -> str:
-    """Orders landed by month, as many files per month as tasks hold rows of it."""
+    """Orders landed by month."""
     root = scratch_path(t.spark, "landing")
     by_month = orders(t).withColumn("month", F.substring("order_day", 1, 6))
-    by_month.write.partitionBy("month").parquet(f"{root}/vendor/orders")
+    by_month.hint("rebalance", "month").write.partitionBy("month").parquet(f"{root}/vendor/orders")
     return root
 
 
@@ -313,6 +314,14 @@ def _(t):
     return t.spark.read.parquet(path).groupBy("grain", "period").agg(F.count("*").alias("n_rows"))
 
 
+@query("layout_range", ORDERS_SQL + """
+    where strftime(o_orderdate, '%Y%m') between '199702' and '199805'""")
+def _(t):
+    path = scratch_path(t.spark, "layout")
+    layout.write_partitioned(orders(t), path, F.lit("MONTHLY"), F.col("order_day"))
+    return read_layout(t.spark, path, "19970210", "19980515").select(*orders(t).columns)
+
+
 @query("read_back", "select count(*) as n_rows, 6 as n_columns, true as same_schema from {orders}")
 def _(t):
     path = scratch_path(t.spark, "orders")
@@ -401,6 +410,17 @@ def _(t):
         F.count("*").alias("n_rows"))
 
 
+@query("pit_fields", """
+    select lower(substr(ts_code, 8, 2)) || substr(ts_code, 1, 6) as symbol,
+           (count(revenue) > 0)::int + (count(profit) > 0)::int as n_fields,
+           count(revenue) + count(profit) as n_values,
+           count(revenue) > 0 and count(profit) > 0 as complete
+    from v_stmt_clean group by 1""")
+def _(t):
+    feed = point_in_time_feed({"income": t.view("v_stmt_clean")})
+    return field_presence(feed, ["revenue_q", "profit_q"])
+
+
 # --- snapshots and logs --------------------------------------------------------------------
 
 def _store(t, name):

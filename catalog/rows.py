@@ -410,6 +410,15 @@ def _(t):
         "request_id", F.col("day").cast("string").alias("day"))
 
 
+@query("sampled_entities", """
+    select ts_code, trade_date, high from v_daily where ts_code in (
+      select ts_code from (select distinct ts_code from v_daily) x
+      order by md5(ts_code || ':7'), ts_code limit 5)""")
+def _(t):
+    sample = filters.sampled_entities(t.view("v_daily"), "ts_code", 5, seed=7)
+    return sample.select("ts_code", "trade_date", "high")
+
+
 @query("listed_codes", """
     select substr(ts_code, 8, 2) || substr(ts_code, 1, 6) as code, 'listed' as kind
     from v_security where list_status = 'L'

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.contracts import MIN_TTM_COVERAGE
+from tallyloom.contracts import MAX_NEGATIVE_QUARTER_RATIO, MIN_TTM_COVERAGE
 
 
 def period_number(year: Column, quarter: Column) -> Column:
@@ -72,6 +72,15 @@ def trailing_year(df: DataFrame, key: str, year: str, quarter: str, value: str,
         F.when(F.col("n") == 4, F.col("total")).alias(target))
 
 
+def negative_share(df: DataFrame, target: str,
+                   most: float = MAX_NEGATIVE_QUARTER_RATIO) -> DataFrame:
+    """Share of single quarters below zero, and whether it is small enough."""
+    negative = F.count_if(F.col(target) < 0)
+    share = F.coalesce(F.try_divide(negative, F.count(target)), F.lit(0.0))
+    return df.agg(F.count(target).alias("n_values"), negative.alias("n_negative"),
+                  (share <= most).alias("plausible"))
+
+
 def trailing_coverage(df: DataFrame, target: str, least: float = MIN_TTM_COVERAGE) -> DataFrame:
     """Share of rows that have a trailing-year value, and whether it is enough."""
     share = F.try_divide(F.count(target), F.count("*"))

@@ -9,7 +9,7 @@ from operator import or_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.session import cut_lineage
+from tallyloom.session import as_table
 
 
 def fill_constant(df: DataFrame, value, column: str | None = None) -> DataFrame:
@@ -24,12 +24,12 @@ def fill_from_neighbours(df: DataFrame, columns: Sequence[str], order_by: Sequen
     ``partition_by`` and ``order_by`` together must identify a row. The rows are range-partitioned
     on both, so neither a whole-frame fill nor one hot entity ends up in a single task: each range
     is filled on its own, and only the last value per range and entity travels to the next one.
-    The cut of the ranges is frozen by a checkpoint, as all steps must see the same cut.
+    The ranges are written to a table, as all steps must see the same cut.
     """
     keys = [*partition_by, *order_by]
-    cut = cut_lineage(df.repartitionByRange(*keys).select(
+    cut = as_table(df.repartitionByRange(*keys).select(
         "*", F.spark_partition_id().alias("_range"),
-        F.struct(F.lit(0).alias("_all"), *partition_by).alias("_entity")))
+        F.struct(F.lit(0).alias("_all"), *partition_by).alias("_entity")), "fill-ranges")
     way = [F.col(c).asc() if forward else F.col(c).desc() for c in order_by]
     position = F.struct(*order_by)
     pick = F.max_by if forward else F.min_by

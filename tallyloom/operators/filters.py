@@ -96,6 +96,13 @@ def open_days(calendar: DataFrame, start: str | None = None, end: str | None = N
     return days
 
 
+def sampled_entities(df: DataFrame, key: str, count: int, seed: int = 0) -> DataFrame:
+    """Rows of N keys drawn at random, the same ones for the same seed."""
+    drawn = df.select(key).where(F.col(key).isNotNull()).distinct().orderBy(
+        F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), key).limit(count)
+    return df.join(drawn, key, "left_semi")
+
+
 def first_entities(df: DataFrame, key: str, limit: int | None) -> DataFrame:
     """Rows of the first N keys in ascending order; None or <= 0 keeps all."""
     if limit is None or limit <= 0:

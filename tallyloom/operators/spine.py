@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.codes import digits_only, exchange_first
 from tallyloom.operators.filters import open_days
-from tallyloom.session import cut_lineage
+from tallyloom.session import as_table
 
 
 def max_periods(lookback: Column, multiplier: Column) -> Column:
@@ -67,7 +67,7 @@ def calendar_index(calendar: DataFrame) -> DataFrame:
     Columns: ``day``, ``prior_open`` (number of the last open day on or before it), ``next_open``
     (number of the first open day on or after it), both from 1, and ``is_open``; 0 and n + 1 stand
     for none. The table has one row per day: a century is 36,525 rows, whatever the data. That
-    bound is what allows numbering it in one task and broadcasting it. It is checkpointed, as it is
+    bound is what allows numbering it in one task and broadcasting it. It is written once, as it is
     looked up several times and the calendar may itself be a query.
     """
     dated = calendar.select(F.to_date("cal_date", "yyyyMMdd").alias("day"), "is_open")
@@ -78,9 +78,9 @@ def calendar_index(calendar: DataFrame) -> DataFrame:
     running = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counted = marked.withColumn("prior_open", F.count("open_day").over(running))
     closed = F.col("open_day").isNull().cast("int")
-    return cut_lineage(counted.select(
+    return as_table(counted.select(
         "day", "prior_open", (F.col("prior_open") + closed).alias("next_open"),
-        F.col("open_day").isNotNull().alias("is_open")))
+        F.col("open_day").isNotNull().alias("is_open")), "calendar-index")
 
 
 def _open_by_number(index: DataFrame) -> DataFrame:

@@ -152,4 +152,4 @@ def run(df: DataFrame, name: str, store: SnapshotStore, dataset: str,
         if processor.reconciles and section:
             require_reconciled(reconciliation(written, name, section))
 
-    return store.save(cleaned, dataset, info=name, shrink="allow", check=check)
+    return store.save_computed(cleaned, dataset, info=name, shrink="allow", check=check)

@@ -295,6 +295,15 @@ def quality_report(df: DataFrame) -> DataFrame:
     return general.unionByName(nulls)
 
 
+def field_presence(feed: DataFrame, expected: Sequence[str], key: str = "symbol") -> DataFrame:
+    """Q11: per entity of a point-in-time feed, how many of the expected fields it has."""
+    found = feed.where(F.col("field").isin(*expected)).groupBy(key, "field").agg(
+        F.count("*").alias("n_values"))
+    return found.groupBy(key).agg(F.count("*").alias("n_fields"),
+                                  F.sum("n_values").alias("n_values"),
+                                  (F.count("*") == len(expected)).alias("complete"))
+
+
 def feed_check(feed: DataFrame, key: str = "symbol") -> DataFrame:
     """Q11: rows and null counts per entity of a written feed."""
     fields = [c for c in feed.columns if c != key]

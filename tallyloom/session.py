@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # SQL settings the plans in this package count on. All can be changed at run time.
 PLAN_SETTINGS = {
@@ -50,7 +50,6 @@ def shared_root(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="tallyloom-")
-    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root
 
@@ -60,7 +59,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/scratch/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df):
-    """Freeze a frame so that later jobs read the same rows and partition numbers."""
-    shared_root(df.sparkSession)
-    return df.checkpoint()
+def as_table(df: DataFrame, label: str) -> DataFrame:
+    """Writes a frame to the shared folder and reads it back.
+
+    What follows reads the same rows however often it runs, survives lost executors without
+    recomputing the plan, prunes columns, and is planned with the table's real size.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

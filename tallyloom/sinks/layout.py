@@ -63,9 +63,10 @@ def write_partitioned(df: DataFrame, path: str, grain: Column, date: Column,
                       symbol: Column | None = None) -> None:
     """Rows written under ``grain=/period=``.
 
-    No exchange by period: each task writes the periods it holds, so one large period is written
-    by many tasks. Rows are sorted in the task, which keeps one file open at a time.
+    The rebalance hint gathers each period for large files and lets adaptive execution split a
+    period that is too large for one task.
     """
     label = partition_label(grain, date, symbol if symbol is not None else F.lit(None).cast("string"))
     rows = df.withColumns({"grain": F.upper(grain), "period": label})
+    rows = rows.hint("rebalance", "grain", "period")
     rows.write.mode("overwrite").partitionBy("grain", "period").parquet(path)

@@ -108,24 +108,46 @@ class SnapshotStore:
     def save(self, df: DataFrame, dataset: str, info: str = "", shrink: str = "raise",
              second: Callable[[], DataFrame] | None = None, force: bool = False,
              check: Callable[[DataFrame], None] | None = None) -> Outcome:
-        """K7: ``new``, ``update`` or ``skip``.
+        """K7: ``new``, ``update`` or ``skip`` for an extract that is cheap to read.
 
         The fingerprint is taken before anything is written, so unchanged content costs one read
-        and no write. ``shrink`` says what fewer rows than before mean: ``raise``, ``verify``
+        and no write; changed content is read twice. ``shrink`` says what fewer rows than before mean: ``raise``, ``verify``
         (a second extract must agree) or ``allow``. Empty input is refused. ``check`` sees the
         written version and may raise to keep it from being published.
         """
+        old = self.latest(dataset)
+        known = self._judge(dataset, fingerprint(df).first(), old, shrink, second, force)
+        if known is not None:
+            return known
+        version, path, facts = self._write(df, dataset)
+        again = self._judge(dataset, facts, old, shrink, second, force)
+        return again or self._publish(df, dataset, info, version, path, facts, old, check)
+
+    def save_computed(self, df: DataFrame, dataset: str, info: str = "", shrink: str = "raise",
+                      second: Callable[[], DataFrame] | None = None, force: bool = False,
+                      check: Callable[[DataFrame], None] | None = None) -> Outcome:
+        """K7 for the result of a long plan, which runs once.
+
+        The version is written first and its fingerprint taken on the way; content that turns out
+        unchanged or refused stays unpublished.
+        """
+        old = self.latest(dataset)
+        version, path, facts = self._write(df, dataset)
+        known = self._judge(dataset, facts, old, shrink, second, force)
+        return known or self._publish(df, dataset, info, version, path, facts, old, check)
+
+    def _judge(self, dataset, facts, old, shrink, second, force) -> Outcome | None:
+        """Skip for unchanged content, an error for refused content, None for content to publish."""
         if shrink not in ("raise", "verify", "allow"):
             raise ValueError(f"shrink must be raise, verify or allow, not {shrink}")
-        facts = fingerprint(df).first()
         if facts["rows"] == 0:
             raise ValueError(f"{dataset}: no rows, nothing is saved")
-        mark, old = _text(facts), self.latest(dataset)
+        mark = _text(facts)
         if old and old.fingerprint == mark and not force:
             return Outcome(dataset, "skip", facts["rows"], mark, old.path, "content unchanged")
         if old and facts["rows"] < old.rows:
             self._check_shrink(dataset, mark, facts["rows"], old.rows, shrink, second)
-        return self._publish(df, dataset, info, mark, old, check)
+        return None
 
     def _check_shrink(self, dataset, mark, rows, old_rows, shrink, second) -> None:
         """K10."""
@@ -136,23 +158,25 @@ class SnapshotStore:
                 return
         raise ShrinkError(f"{dataset}: {old_rows} rows before, {rows} now")
 
-    def _publish(self, df: DataFrame, dataset: str, info: str, mark: str, old,
-                 check: Callable[[DataFrame], None] | None) -> Outcome:
-        """Writes a version of its own, then adds the manifest row."""
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        version = f"{now:%Y%m%d_%H%M%S}-{uuid.uuid4().hex[:8]}"
+    def _write(self, df: DataFrame, dataset: str) -> tuple[str, str, dict]:
+        """A version of its own, its fingerprint observed by the write."""
+        now = dt.datetime.now(dt.timezone.utc)
+        version = f"{now:%Y%m%d_%H%M%S_%f}-{uuid.uuid4().hex[:8]}"
         path = f"{self.root}/{dataset}/version={version}"
         seen = Observation()
         (df.observe(seen, *fingerprint_aggs(df))
          .write.option("compression", "snappy").parquet(path))
-        if _text(seen.get) != mark:
-            raise RuntimeError(f"{dataset}: content changed between check and write")
+        return version, path, seen.get
+
+    def _publish(self, df, dataset, info, version, path, facts, old, check) -> Outcome:
+        """Checks the written version, then adds the manifest row that makes it current."""
         if check is not None:
             check(self.spark.read.parquet(path))
-        row = (dataset, version, path, seen.get["rows"], len(df.columns), mark,
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        row = (dataset, version, path, facts["rows"], len(df.columns), _text(facts),
                old.version if old else None, old.rows if old else None,
                old.fingerprint if old else None, info, old.created_at if old else now, now)
         (self.spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1)
          .write.mode("append").parquet(self.manifest_path))
-        return Outcome(dataset, "update" if old else "new", seen.get["rows"], mark, path,
+        return Outcome(dataset, "update" if old else "new", facts["rows"], _text(facts), path,
                        "published")

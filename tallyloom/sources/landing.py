@@ -54,6 +54,22 @@ def in_range(files: DataFrame, start: str | Column, end: str | Column) -> DataFr
     return files.where((F.col("period_start") <= last) & (F.col("period_end") >= first))
 
 
+def read_layout(spark: SparkSession, path: str, start: str | None = None,
+                end: str | None = None) -> DataFrame:
+    """S5 on a table partitioned by ``grain`` and ``period``.
+
+    The range is a condition on the partition columns alone, so Spark lists and reads only the
+    partitions in it.
+    """
+    label = F.col("period").cast("string")
+    table = spark.read.parquet(path).withColumn("period", label)
+    if start is None or end is None:
+        return table
+    first = period_start(label)
+    return table.where((first <= F.to_date(F.lit(end), "yyyyMMdd"))
+                       & (period_end(label, first) >= F.to_date(F.lit(start), "yyyyMMdd")))
+
+
 def available_periods(files: DataFrame) -> DataFrame:
     """The distinct period labels in order. Files kept per symbol carry no period."""
     return files.where(F.col("period_start").isNotNull()).select("period").distinct().orderBy(

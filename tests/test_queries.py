@@ -23,4 +23,4 @@ def test_contract(spark):
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
     assert __spark_entry__.entry(spark).columns == [
         "symbol", "date", "low", "high", "volume", "factor", "pe"]
-    assert set(ORACLES) == set(QUERIES)
+    assert set(ORACLES) == set(QUERIES)  # every query has its SQL

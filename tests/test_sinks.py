@@ -208,3 +208,25 @@ def test_formats(spark, tmp_path):
     assert note == {"columns": {"code": "string", "v": "double"}, "primary_keys": ["code"], "rows": 1}
     assert spark.read.json(f"{tmp_path}/norm/quotes/v_quotes_decisions").count() == 1
     assert writers.read_back(spark, str(tmp_path / "p"), df).first().same_schema
+
+
+def test_range_prunes_partitions(spark, tmp_path):
+    from tallyloom.sinks.layout import write_partitioned
+    days = spark.range(730).selectExpr(
+        "id", "date_format(date_add(date'2023-01-01', cast(id as int)), 'yyyyMMdd') as day")
+    path = str(tmp_path / "t")
+    write_partitioned(days, path, F.lit("monthly"), F.col("day"))
+    part = landing.read_layout(spark, path, "20240215", "20240301")
+    assert part.count() == 60
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [", 1)[1][:300]
+    assert "period" in filters
+
+
+def test_computed_plan_is_written_once(spark, master, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path))
+    assert store.save_computed(master, "m").method == "new"
+    assert store.save_computed(master.repartition(3), "m").method == "skip"
+    with pytest.raises(ShrinkError):
+        store.save_computed(master.limit(10), "m")
+    assert store.manifest().count() == 1 and store.read("m").count() == 100
