@@ -225,7 +225,7 @@ def _(t):
 
 @query("ann_order", """
     select count(*) as n_rows, count(case when ann_date <= period_end then 1 end) as n_invalid,
-           0 as n_unreadable, case when count(case when ann_date <= period_end then 1 end) = 0
+           cast(0 as bigint) as n_unreadable, case when count(case when ann_date <= period_end then 1 end) = 0
              then 'PASS' else 'FAIL' end as status from v_pitdates""")
 def _(t):
     return rules.announcement_order(t.view("v_pitdates"))

@@ -412,7 +412,7 @@ def _(t):
 
 @query("pit_fields", """
     select lower(substr(ts_code, 8, 2)) || substr(ts_code, 1, 6) as symbol,
-           (count(revenue) > 0)::int + (count(profit) > 0)::int as n_fields,
+           cast((count(revenue) > 0)::int + (count(profit) > 0)::int as bigint) as n_fields,
            count(revenue) + count(profit) as n_values,
            count(revenue) > 0 and count(profit) > 0 as complete
     from v_stmt_clean group by 1""")
@@ -431,25 +431,25 @@ def _changed(df: DataFrame) -> DataFrame:
     return df.withColumn("o_totalprice", F.col("o_totalprice") + 1)
 
 
-@query("snapshot_new", "select 'new' as method, count(*) as n_rows, 1 as n_versions from {orders}")
+@query("snapshot_new", "select 'new' as method, count(*) as n_rows, cast(1 as bigint) as n_versions from {orders}")
 def _(t):
     return _history(t, "snapshot-new", [orders(t)])
 
 
-@query("snapshot_skip", "select 'skip' as method, count(*) as n_rows, 1 as n_versions from {orders}")
+@query("snapshot_skip", "select 'skip' as method, count(*) as n_rows, cast(1 as bigint) as n_versions from {orders}")
 def _(t):
     shuffled = orders(t).repartition(7, "o_custkey").sortWithinPartitions("o_totalprice")
     return _history(t, "snapshot-skip", [orders(t), shuffled])
 
 
 @query("snapshot_update",
-       "select 'update' as method, count(*) as n_rows, 2 as n_versions from {orders}")
+       "select 'update' as method, count(*) as n_rows, cast(2 as bigint) as n_versions from {orders}")
 def _(t):
     return _history(t, "snapshot-update", [orders(t), _changed(orders(t))])
 
 
 @query("snapshot_shrink", """
-    select 'refused' as method, count(*) as n_rows, 1 as n_versions from {orders}""")
+    select 'refused' as method, count(*) as n_rows, cast(1 as bigint) as n_versions from {orders}""")
 def _(t):
     return _history(t, "snapshot-shrink", [orders(t), orders(t).where("o_orderstatus = 'F'")])
 
@@ -468,7 +468,7 @@ def _history(t, name, extracts) -> DataFrame:
                                                 "n_versions")
 
 
-@query("fingerprint", "select count(*) as n_rows, 1 as n_fingerprints from {orders}")
+@query("fingerprint", "select count(*) as n_rows, cast(1 as bigint) as n_fingerprints from {orders}")
 def _(t):
     moved = orders(t).repartition(5, "o_orderstatus").sortWithinPartitions(F.desc("o_orderkey"))
     both = fingerprint(orders(t)).unionByName(fingerprint(moved))

@@ -2,10 +2,14 @@
 
 A window over a key moves every row of that key to one task. These helpers use two narrower
 steps: a group-by, which Spark combines before the shuffle, so a hot key costs one row per map
-task, and then a join of the rows with the few keys that matter. Grouping by an extra hash of the
-key leaves the result unchanged but keeps Spark from reusing that partitioning for the join, so
-both join sides come straight from an exchange. That is the shape in which adaptive execution can
-split a hot partition (``SortMergeJoin(skew=true)`` in the final plan).
+task, and then a join of the rows with the few keys that matter.
+
+The join compares a hash of the key and the key as one struct, both of which are never null. Three
+things follow. Spark cannot reuse the partitioning of the group-by, so both join sides come straight
+from an exchange, the shape in which adaptive execution splits a hot partition
+(``SortMergeJoin(skew=true)`` in the final plan). It infers no null filter for one side only, so where
+the rows come out of a shuffle, both sides read that shuffle instead of computing it twice. And rows
+are sorted by the hash first, which compares fast whatever the key's types.
 """
 
 from __future__ import annotations
@@ -24,32 +28,39 @@ def keys_present(keys: Sequence[str]) -> Column:
 
 def per_key(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
     """One row per key with the given aggregates (G1-G3); null keys group together."""
-    grouped = df.groupBy(F.xxhash64(*keys).alias("_key_hash"), *keys)
-    return grouped.agg(*aggs).drop("_key_hash")
+    return df.groupBy(*keys).agg(*aggs)
 
 
-def _match(keys: Sequence[str], null_safe: bool) -> Column:
-    pairs = [(F.col(k), F.col(f"_k_{k}")) for k in keys]
-    return reduce(and_, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
+def tagged(keyset: DataFrame, keys: Sequence[str], like: DataFrame) -> DataFrame:
+    """The key columns of a key set as a hash and a struct, ready to be joined with ``like``.
+
+    The hash depends on the type, so the keys take the types they have in the other frame.
+    """
+    rest = [c for c in keyset.columns if c not in keys]
+    typed = keyset.select(*[F.col(k).cast(like.schema[k].dataType).alias(k) for k in keys], *rest)
+    return typed.select(F.xxhash64(*keys).alias("_key_hash"), F.struct(*keys).alias("_key"), *rest)
 
 
-def _prefixed(keyset: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return keyset.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+def key_matches(keys: Sequence[str]) -> Column:
+    """Join condition of rows with a tagged key set; nulls in the key compare as equal."""
+    return (F.xxhash64(*keys) == F.col("_key_hash")) & (F.struct(*keys) == F.col("_key"))
 
 
 def rows_with_key(df: DataFrame, keyset: DataFrame, keys: Sequence[str],
                   null_safe: bool = False) -> DataFrame:
     """Rows whose key is in the key set."""
-    other = _prefixed(keyset, keys)
-    return df.join(other, _match(keys, null_safe), "left_semi")
+    on = key_matches(keys)
+    return df.join(tagged(keyset, keys, df), on if null_safe else on & keys_present(keys), "left_semi")
 
 
 def rows_without_key(df: DataFrame, keyset: DataFrame, keys: Sequence[str],
-                     extra: Column | None = None, null_safe: bool = False) -> DataFrame:
-    """Rows whose key is not in the key set, or that miss the extra condition."""
-    other = _prefixed(keyset, keys)
-    on = _match(keys, null_safe)
-    return df.join(other, on if extra is None else on & extra, "left_anti")
+                     extra: Column | None = None) -> DataFrame:
+    """Rows whose key is not in the key set, or that miss the extra condition.
+
+    Rows with a null key part always stay.
+    """
+    on = key_matches(keys) & keys_present(keys)
+    return df.join(tagged(keyset, keys, df), on if extra is None else on & extra, "left_anti")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.codes import code_digits, code_suffix
-from tallyloom.operators.keyed import per_key
+from tallyloom.operators.keyed import key_matches, per_key, tagged
 
 
 def left_fold(base: DataFrame, others: Mapping[str, DataFrame],
@@ -55,12 +55,8 @@ def add_security(df: DataFrame, master: DataFrame, source: str,
     added = [target, "list_status", "list_date", "delist_date"]
     kept = [c for c in df.columns if c not in added or c == source]
     rows = df.withColumn("_code", code_digits(F.col(source)))
-    if source in added:
-        looked_up = looked_up.withColumnRenamed(source, "_new")
-        joined = rows.select("_code", *kept).join(looked_up, "_code", "left")
-        joined = joined.drop(source).withColumnRenamed("_new", source)
-    else:
-        joined = rows.select("_code", *kept).join(looked_up, "_code", "left")
+    rows = rows.select("_code", *[c for c in kept if c not in added])
+    joined = rows.join(tagged(looked_up, ["_code"], rows), key_matches(["_code"]), "left")
     return joined.select(*[c for c in kept if c not in added], *added)
 
 

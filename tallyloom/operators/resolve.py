@@ -15,7 +15,8 @@ from tallyloom.contracts import DIVIDEND_MAX_SPREAD
 from tallyloom.functions.amounts import lenient_number, relative_spread
 from tallyloom.functions.dates import day_order
 from tallyloom.operators.keyed import (
-    descending, first_per_key, keys_present, per_key, rows_with_key, rows_without_key)
+    descending, first_per_key, key_matches, keys_present, per_key, rows_with_key,
+    rows_without_key, tagged)
 
 
 def statement_keys(columns: Sequence[str]) -> list[str]:
@@ -29,7 +30,7 @@ def statement_keys(columns: Sequence[str]) -> list[str]:
 def _flag_pairs(df: DataFrame, keys: Sequence[str], flag: str, *aggs: Column) -> DataFrame:
     """Keys of exactly two rows with the lowest, highest and summed flag."""
     value = lenient_number(F.col(flag))
-    stats = per_key(df.where(keys_present(keys)), keys, F.count("*").alias("_n"),
+    stats = per_key(df, keys, F.count("*").alias("_n"),
                     F.min(value).alias("_low"), F.max(value).alias("_high"),
                     F.sum(value).alias("_sum"), *aggs)
     return stats.where(F.col("_n") == 2)
@@ -79,19 +80,21 @@ def resolve_dividends(df: DataFrame, keys: Sequence[str] = ("ts_code", "end_date
     keys = list(keys)
     if any(c not in df.columns for c in [*keys, amount, day]):
         return df
-    keyed, unkeyed = df.where(keys_present(keys)), df.where(~keys_present(keys))
     spread = relative_spread(F.max(amount), F.min(amount), F.count(amount))
-    wide = per_key(keyed, keys, spread.alias("_spread")).where(F.col("_spread") > max_spread)
+    wide = per_key(df, keys, spread.alias("_spread")).where(F.col("_spread") > max_spread)
     newest_first = descending(day_order(df, day))
     rest = [c for c in df.columns if c not in keys]
     candidate = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(newest_first)],
                          *[F.col(c).alias(f"_t{i}") for i, c in enumerate(tie_break)],
                          *[F.col(c) for c in rest])
-    best = keyed.groupBy(*keys).agg(F.min(candidate).alias("_best"), spread.alias("_spread"))
+    best = per_key(df.where(keys_present(keys)), keys, F.min(candidate).alias("_best"),
+                   spread.alias("_spread"))
     narrow = best.where(F.col("_spread").isNull() | (F.col("_spread") <= max_spread))
     single = narrow.select(*[F.col(c) if c in keys else F.col(f"_best.`{c}`").alias(c)
                              for c in df.columns])
-    return single.unionByName(rows_with_key(keyed, wide.select(*keys), keys)).unionByName(unkeyed)
+    marked = df.join(tagged(wide, keys, df), key_matches(keys), "left")
+    whole = marked.where(F.col("_spread").isNotNull() | ~keys_present(keys)).select(*df.columns)
+    return single.unionByName(whole)
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

@@ -152,3 +152,12 @@ def test_strategies(spark):
     assert pick("keep_official_report") == (None, "20240101")
     with pytest.raises(ValueError):
         pick("other")
+
+
+def test_key_sets_of_another_number_type(spark, rows):
+    from tallyloom.operators.keyed import rows_with_key, rows_without_key
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    keyset = spark.createDataFrame([(1,), (None,)], "k bigint")
+    assert rows(rows_with_key(df, keyset, ["k"])) == [(1, "a")]
+    assert rows(rows_with_key(df, keyset, ["k"], null_safe=True), "v") == [("a",), ("c",)]
+    assert rows(rows_without_key(df, keyset, ["k"]), "v") == [("b",), ("c",)]
