@@ -14,6 +14,7 @@ from catalog.groups import DIVIDEND_SQL, KEYS, RECON_SECTION, recon_sql
 from catalog.registry import query
 from catalog.rows import FEED_CODE_SQL, FLOOR, ISO_SQL, LISTED_SQL, SIGN_CHANGE, listed
 from tallyloom.functions.dates import compact_text, parse_compact
+from tallyloom.operators.filters import with_status
 from tallyloom.operators.measures import calendar_days, instruments
 from tallyloom.plans import processors
 from tallyloom.plans.cleaning import clean_sources
@@ -27,6 +28,7 @@ from tallyloom.sinks.snapshot import ShrinkError, SnapshotStore, fingerprint
 from tallyloom.sources.landing import (
     available_periods, first_files, in_range, landed_files, paths_of, read_layout)
 from tallyloom.sources.scan import file_digests, landing_scan, read_csv, read_table
+from tallyloom.streaming.landing import append_new, landed_stream
 
 ORDERS_SQL = """
     select o_orderkey, o_custkey, o_orderstatus, o_totalprice,
@@ -240,6 +242,15 @@ def _(t):
     return landing_scan(t.spark, paths_of(files)).select(*orders(t).columns)
 
 
+@query("stream_landing", ORDERS_SQL + " where o_orderstatus = 'F'")
+def _(t):
+    root = landed_orders(t)
+    stream = landed_stream(t.spark, f"{root}/vendor/orders", orders(t).schema)
+    append_new(stream, lambda df: with_status(df, "o_orderstatus", "F"), f"{root}-norm",
+               f"{root}-progress").awaitTermination()
+    return t.spark.read.parquet(f"{root}-norm").select(*orders(t).columns)
+
+
 @query("available_periods", "select distinct strftime(o_orderdate, '%Y%m') as period from {orders}")
 def _(t):
     return available_periods(landed_files(t.spark, landed_orders(t), "orders",

@@ -123,18 +123,19 @@ def period_end(label: Column, start: Column) -> Column:
 
 
 def bound_start(text: Column) -> Column:
-    """``yyyyMM`` or ``yyyyMMdd`` to the first day it names; other text raises."""
+    """``yyyyMM`` or ``yyyyMMdd`` to the first day it names; null stays, other text raises."""
     return _bound(text, F.to_date(F.concat(text, F.lit("01")), "yyyyMMdd"))
 
 
 def bound_end(text: Column) -> Column:
-    """``yyyyMM`` or ``yyyyMMdd`` to the last day it names; other text raises."""
+    """``yyyyMM`` or ``yyyyMMdd`` to the last day it names; null stays, other text raises."""
     return _bound(text, F.last_day(F.to_date(F.concat(text, F.lit("01")), "yyyyMMdd")))
 
 
 def _bound(text: Column, month_value: Column) -> Column:
     return (
-        F.when(F.length(text) == 6, month_value)
+        F.when(text.isNull(), F.lit(None).cast("date"))
+        .when(F.length(text) == 6, month_value)
         .when(F.length(text) == 8, F.to_date(text, "yyyyMMdd"))
         .otherwise(F.raise_error(F.concat(F.lit("date must be yyyyMM or yyyyMMdd: "), text))
                    .cast("date"))

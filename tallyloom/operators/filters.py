@@ -38,7 +38,7 @@ def matching(df: DataFrame, column: str, condition: str, on_error: str = "raise"
     literal = text[len(operator):].strip() if operator else ""
     if operator in ("==", "!="):
         value = F.lit(literal).try_cast(df.schema[column].dataType)
-        return df.where(c == value if operator == "==" else ~c.eqNullSafe(value))
+        return df.where(c == value if operator == "==" else ~F.coalesce(c == value, F.lit(False)))
     try:
         number = float(literal)
     except ValueError:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.contracts import DELISTED, LISTED
 from tallyloom.functions.dates import bound_end, bound_start, compact_text
 from tallyloom.operators import spine
 from tallyloom.operators.keyed import rows_without_key
@@ -14,7 +15,15 @@ from tallyloom.operators.keyed import rows_without_key
 # Placeholders of date lists.
 TRADE, NATURAL, MONTHS, QUARTERS, TODAY = (
     "<TRADE_DATE>", "<NATURAL_DATE>", "<MONTHLY_DATE_RANGE>", "<QUARTERLY_DATE>", "<TODAY>")
-REQUEST = ("dataset", "grain", "placeholder")
+DATE_PLACEHOLDERS = (TRADE, NATURAL, MONTHS, QUARTERS, TODAY)
+
+# Placeholders of code lists: the form of the codes and the listing status they are limited to.
+CODE_PLACEHOLDERS = {
+    "<LISTED_SYMBOL>": ("exchange_first", LISTED),
+    "<DELISTED_SYMBOL>": ("exchange_first", DELISTED),
+    "<VENDOR_SYMBOL>": ("vendor", None),
+    "<DIGIT_SYMBOL>": ("digits", None),
+}
 
 
 def with_bounds(requests: DataFrame) -> DataFrame:
@@ -23,13 +32,15 @@ def with_bounds(requests: DataFrame) -> DataFrame:
                                  "end_day": bound_end(F.col("end_date"))})
 
 
-def expand(requests: DataFrame, calendar: DataFrame, clip_quarters: bool = False) -> DataFrame:
+def expand(requests: DataFrame, calendar: DataFrame, clip_quarters: bool = False,
+           master: DataFrame | None = None) -> DataFrame:
     """One row per request and period, newest first.
 
     Requests carry ``dataset, grain, placeholder, start_date, end_date, lookback, multiplier,
     truncate``; only those that truncate are cut to their newest ``lookback * multiplier``
     periods, at least one. The result has ``block_index``, ``param_start``, ``param_end``
-    (equal, except for month ranges).
+    (equal, except for month ranges). With a security master, code placeholders give one row per
+    code, unnumbered. What is no placeholder stays as the one value it is.
     """
     bounded = with_bounds(requests)
     limit = F.when(F.col("truncate"), spine.max_periods(F.col("lookback"), F.col("multiplier")))
@@ -43,15 +54,34 @@ def expand(requests: DataFrame, calendar: DataFrame, clip_quarters: bool = False
                            compact_text(F.col(first)).alias("param_start"),
                            compact_text(F.col(last)).alias("param_end"))
 
-    today = of(TODAY).withColumns({"entry": F.lit(0), "day": F.current_date()})
-    return reduce(DataFrame.unionByName, [
+    def single(rows, value):
+        return rows.select(*kept, F.lit(0).alias("block_index"), value.alias("param_start"),
+                           value.alias("param_end"))
+
+    name = F.col("placeholder")
+    known = [*DATE_PLACEHOLDERS, *(CODE_PLACEHOLDERS if master is not None else ())]
+    parts = [
         shaped(spine.trade_days(of(TRADE), calendar, limit), "trade_day", "trade_day"),
         shaped(spine.natural_days(of(NATURAL), limit), "day", "day"),
         shaped(spine.month_ranges(of(MONTHS), limit), "month_start", "month_end"),
         shaped(spine.quarter_ends(of(QUARTERS), limit, clip_quarters), "quarter_end",
                "quarter_end"),
-        shaped(today, "day", "day"),
-    ])
+        single(of(TODAY), compact_text(F.current_date())),
+        single(bounded.where(name.isNull() | ~name.isin(*known)), name),
+    ]
+    if master is not None:
+        parts.append(_codes(requests.select(*kept), master))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _codes(requests: DataFrame, master: DataFrame) -> DataFrame:
+    """Requests for code lists, one row per code."""
+    lists = reduce(DataFrame.unionByName, [
+        spine.entity_spine(master, form, status).withColumn("placeholder", F.lit(name))
+        for name, (form, status) in CODE_PLACEHOLDERS.items()])
+    return requests.join(lists, "placeholder").select(
+        *requests.columns, F.lit(None).cast("int").alias("block_index"),
+        F.col("code").alias("param_start"), F.col("code").alias("param_end"))
 
 
 def block_period(blocks: DataFrame) -> DataFrame:
@@ -61,6 +91,7 @@ def block_period(blocks: DataFrame) -> DataFrame:
     return blocks.withColumn("period", F.when(F.col("grain") == "MONTHLY", F.substring(start, 1, 6))
                              .when(F.col("grain") == "QUARTERLY",
                                    F.concat(F.substring(start, 1, 4), F.lit("Q"), quarter))
+                             .when(F.col("grain") == "SNAPSHOT", F.lit("snapshot"))
                              .otherwise(start))
 
 
@@ -72,7 +103,8 @@ def missing_blocks(blocks: DataFrame, landed: DataFrame, force: bool = False) ->
 
 
 def backfill_plan(requests: DataFrame, calendar: DataFrame, landed: DataFrame,
-                  force: bool = False, clip_quarters: bool = False) -> DataFrame:
+                  force: bool = False, clip_quarters: bool = False,
+                  master: DataFrame | None = None) -> DataFrame:
     """Requests to spines to blocks, only what is missing."""
-    blocks = block_period(expand(requests, calendar, clip_quarters))
+    blocks = block_period(expand(requests, calendar, clip_quarters, master))
     return missing_blocks(blocks, landed, force)

@@ -43,8 +43,9 @@ def sort_day(columns: Sequence[str]) -> str:
 
 def write_daily(feed: DataFrame, path: str) -> int:
     """K4, K5: per-entity files plus calendar and instrument list."""
-    count = write_per_entity(feed, f"{path}/features", "symbol", "date", upper=True)
-    write_feed_lists(calendar_days(feed), instruments(feed), f"{path}/metadata")
+    day = sort_day(feed.columns)
+    count = write_per_entity(feed, f"{path}/features", "symbol", day, upper=True)
+    write_feed_lists(calendar_days(feed, day), instruments(feed, day=day), f"{path}/metadata")
     return count
 
 

@@ -21,6 +21,12 @@ def test_conditions(spark, condition, kept):
     assert sorted(got, key=str) == sorted(kept, key=str)
 
 
+def test_literal_of_another_type(spark):
+    df = spark.createDataFrame([(1,), (None,)], "v int")
+    assert filters.matching(df, "v", "==x").count() == 0
+    assert filters.matching(df, "v", "!=x").count() == 2
+
+
 def test_odd_conditions(spark):
     df = spark.createDataFrame([(1,)], "v int")
     assert filters.matching(df, "absent", "==1") is df

@@ -71,7 +71,8 @@ def test_quarters(spark, calendar):
 
 
 def test_unknown_and_bad(spark, calendar):
-    assert plan(spark, calendar, "<NO_SUCH>", "20250107", "20250115") == []
+    assert plan(spark, calendar, "<NO_SUCH>", "20250107", "20250115") == [("<NO_SUCH>", "<NO_SUCH>")]
+    assert plan(spark, calendar, "E", None, None, grain="SNAPSHOT") == [("E", "E")]
     with pytest.raises(Exception, match="yyyyMM"):
         plan(spark, calendar, "<NATURAL_DATE>", "2025", "20250115")
     assert len(plan(spark, calendar, "<TODAY>", "20250107", "20250115")) == 1
@@ -98,3 +99,17 @@ def test_available_from(spark, calendar):
     assert known(True) == {"20240105": "2024-01-08", "20240106": "2024-01-08",
                            "20231201": "2024-01-01", "20300101": None, None: None}
     assert known(False)["20240105"] == "2024-01-05"
+
+
+def test_code_lists(spark, calendar):
+    request = spark.createDataFrame(
+        [("d", "SYMBOL", "<LISTED_SYMBOL>", None, None, 1, 1.0, False),
+         ("e", "SYMBOL", "<DIGIT_SYMBOL>", None, None, 1, 1.0, False)],
+        "dataset string, grain string, placeholder string, start_date string, end_date string, "
+        "lookback int, multiplier double, truncate boolean")
+    master = spark.createDataFrame([("600000.SH", "L"), ("000001.SZ", "D")],
+                                   "ts_code string, list_status string")
+    landed = spark.createDataFrame([("e", "000001")], "dataset string, period string")
+    left = backfill.backfill_plan(request, calendar, landed, master=master)
+    assert sorted((r.dataset, r.period) for r in left.collect()) == [("d", "SH600000"),
+                                                                   ("e", "600000")]
