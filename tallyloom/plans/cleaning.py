@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.plans.steps import Step, run_steps
 from tallyloom.sources.landing import first_files, in_range, landed_files, paths_of
-from tallyloom.sources.scan import landing_scan, sidecar_digests, union_sources
+from tallyloom.sources.scan import ROW_IN_FILE, landing_scan, sidecar_digests, union_sources
 
 
 def clean_sources(sources: Mapping[str, DataFrame], settings: Mapping[str, Mapping],
@@ -26,19 +26,20 @@ def clean_sources(sources: Mapping[str, DataFrame], settings: Mapping[str, Mappi
 
 def landed_source(spark: SparkSession, root: str, method: str, start: str | None = None,
                   end: str | None = None, max_files: int | None = None) -> DataFrame:
-    """The landed files of a method with provenance, optionally of a period."""
+    """The landed files of a method with provenance and row order, optionally of a period."""
     files = landed_files(spark, root, method)
     if start is not None and end is not None:
         files = in_range(files, start, end)
     paths = paths_of(first_files(files, max_files))
     if not paths:
-        return landing_scan(spark, [])
+        return landing_scan(spark, [], position=True)
     notes = [p.removesuffix(".parquet") + ".json" for p in paths]
-    return landing_scan(spark, paths, sidecar_digests(spark, notes))
+    return landing_scan(spark, paths, sidecar_digests(spark, notes), position=True)
 
 
 def clean_method(spark: SparkSession, root: str, method: str, steps: Sequence[Mapping],
                  registry: Mapping[str, Step], start: str | None = None, end: str | None = None,
                  max_files: int | None = None) -> DataFrame:
     """One method from its landed files through the cleaning steps."""
-    return run_steps(landed_source(spark, root, method, start, end, max_files), steps, registry)
+    rows = landed_source(spark, root, method, start, end, max_files)
+    return run_steps(rows, steps, registry).drop(ROW_IN_FILE)

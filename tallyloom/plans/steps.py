@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import normalise_date, quarter_end_from_path
 from tallyloom.operators import columns, fill, filters, lookup, resolve
+from tallyloom.sources.scan import ROW_IN_FILE
 
 log = logging.getLogger(__name__)
 
@@ -73,10 +74,11 @@ def end_date_from_path(df, field_name="end_date", source_field="file_path", oper
 
 
 def cleaning_registry(master: DataFrame | None = None, code_map: DataFrame | None = None,
-                      row_order: Sequence[str] = ("file_path",)) -> dict[str, Step]:
+                      row_order: Sequence[str] = ("file_path", ROW_IN_FILE)) -> dict[str, Step]:
     """The cleaning steps, bound to the reference tables they look up.
 
-    ``row_order`` says which of equal rows is the first, as Spark rows have no order.
+    ``row_order`` says which row comes first, as Spark rows have no order; landed files know the
+    order they were written in.
     """
     def add_ts_code(df, source_field, field_name="ts_code", operation="add"):
         if master is None:
@@ -94,6 +96,8 @@ def cleaning_registry(master: DataFrame | None = None, code_map: DataFrame | Non
 
     def drop_duplicates(df, subset=None, **_):
         order = [c for c in row_order if c in df.columns]
+        if not subset and ROW_IN_FILE in df.columns:
+            subset = [c for c in df.columns if c != ROW_IN_FILE]
         return resolve.distinct_on(df, subset, order)
 
     def rename_column(df, old_name, new_name=None, field_name=None, **_):

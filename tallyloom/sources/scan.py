@@ -13,6 +13,9 @@ from pyspark.sql import types as T
 from tallyloom.operators.lookup import remapped_master
 from tallyloom.operators.resolve import distinct_rows
 
+# Position of a row in its file; with ``file_path`` it is the order the rows were landed in.
+ROW_IN_FILE = "file_row"
+
 # A sidecar row is a path and a digest, below 1 KB; up to this many are broadcast.
 BROADCAST_FILES = 500_000
 
@@ -112,7 +115,8 @@ def _footer_types(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str,
 def _merged_scan(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     rows = (spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True)
             .option("ignoreMissingFiles", True).parquet(*paths))
-    return rows.select("*", F.col("_metadata.file_path").alias("file_path"))
+    return rows.select("*", F.col("_metadata.file_path").alias("file_path"),
+                       F.col("_metadata.row_index").alias(ROW_IN_FILE))
 
 
 def _union_of_kinds(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -132,14 +136,17 @@ def _union_of_kinds(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def landing_scan(spark: SparkSession, paths: Sequence[str], digests: DataFrame | None = None,
-                 expected: T.StructType | None = None) -> DataFrame:
+                 expected: T.StructType | None = None, position: bool = False) -> DataFrame:
     """Every file by column name, with ``file_path`` and ``file_md5``.
 
+    ``position`` adds the row's place in its file, for steps that depend on row order.
+
     Columns a file lacks are null; missing and unreadable files are skipped; no file at all gives
     an empty frame. Columns that change type between files come as text unless ``expected`` says
     otherwise, in which case they are cast leniently.
     """
-    provenance = "file_path string, file_md5 string"
+    provenance = "file_path string, file_md5 string" + (
+        f", {ROW_IN_FILE} bigint" if position else "")
     paths = list(paths)
     if not paths:
         return empty(spark, provenance)
@@ -148,7 +155,7 @@ def landing_scan(spark: SparkSession, paths: Sequence[str], digests: DataFrame |
     except AnalysisException as error:
         if is_missing_path(error):
             kept = [p for p in paths if _exists(spark, p)]
-            return landing_scan(spark, kept, digests, expected)
+            return landing_scan(spark, kept, digests, expected, position)
         if error.getCondition() != "CANNOT_MERGE_SCHEMAS":
             raise
         rows = _union_of_kinds(spark, paths)
@@ -157,6 +164,8 @@ def landing_scan(spark: SparkSession, paths: Sequence[str], digests: DataFrame |
         if "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
         rows = _union_of_kinds(spark, paths)
+    if not position:
+        rows = rows.drop(ROW_IN_FILE)
     if expected is not None:
         rows = rows.withColumns({f.name: F.col(f"`{f.name}`").try_cast(f.dataType)
                                  for f in expected if f.name in rows.columns})

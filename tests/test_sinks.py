@@ -151,6 +151,21 @@ def test_landing(spark, tmp_path, rows):
     assert landed_source(spark, str(root), "absent").count() == 0
 
 
+def test_steps_see_rows_in_landed_order(spark, tmp_path, rows):
+    root = tmp_path / "landing"
+    land(root / "a" / "m" / "202401", pa.table({"k": ["x", "x", "y"], "v": [1.0, None, None]}))
+    land(root / "a" / "m" / "202402", pa.table({"k": ["x", "z", "z"], "v": [None, 5.0, 5.0]}))
+    def run(*steps):
+        return clean_method(spark, str(root), "m", steps, cleaning_registry())
+    filled = run({"function": "fill_na", "field_name": "v", "method": "ffill"})
+    assert rows(filled, "k", "v") == [("x", 1.0), ("x", 1.0), ("x", 1.0), ("y", 1.0), ("z", 5.0),
+                                      ("z", 5.0)]
+    first = run({"function": "drop_duplicates", "subset": ["k"]})
+    assert rows(first, "k", "v") == sorted([("x", 1.0), ("y", None), ("z", 5.0)], key=repr)
+    assert run({"function": "drop_duplicates"}).count() == 5
+    assert "file_row" not in first.columns
+
+
 def test_scan_with_type_drift_and_bad_files(spark, tmp_path, rows):
     for i, value in enumerate(([1.5], ["n/a"], [2])):
         pq.write_table(pa.table({"k": [str(i)], "v": value}), tmp_path / f"f{i}.parquet")
