@@ -19,17 +19,16 @@ def _checked(valid: Column, value: Column, source: Column, on_invalid: str, what
 
 def to_feed_code(c: Column, upper: bool = False, on_invalid: str = "raise") -> Column:
     """``600000.SH`` to ``sh600000``; a bad code stops the job, or gives null on request."""
-    exchange = F.regexp_extract(c, VENDOR_CODE, 2)
-    exchange = exchange if upper else F.lower(exchange)
-    value = F.concat(exchange, F.regexp_extract(c, VENDOR_CODE, 1))
+    # A code that passed the check has its parts at fixed places; one pattern match is enough.
+    exchange = F.substring(c, 8, 2)
+    value = F.concat(exchange if upper else F.lower(exchange), F.substring(c, 1, 6))
     return _checked(c.rlike(VENDOR_CODE), value, c, on_invalid, "vendor code")
 
 
 def from_feed_code(c: Column, on_invalid: str = "raise") -> Column:
     """``sh600000`` (any case) to ``600000.SH``."""
     low = F.lower(c)
-    value = F.concat(F.regexp_extract(low, FEED_CODE, 2), F.lit("."),
-                     F.upper(F.regexp_extract(low, FEED_CODE, 1)))
+    value = F.concat(F.substring(c, 3, 6), F.lit("."), F.upper(F.substring(c, 1, 2)))
     return _checked(low.rlike(FEED_CODE), value, c, on_invalid, "feed code")
 
 
@@ -37,7 +36,8 @@ def code_digits(c: Column) -> Column:
     """part before the dot; without a dot a leading SZ or SH is dropped."""
     text = F.trim(c)
     return (F.when(text.contains("."), F.split_part(text, F.lit("."), F.lit(1)))
-            .otherwise(F.regexp_replace(text, "^(SZ|SH)", "")))
+            .when(text.startswith("SZ") | text.startswith("SH"), F.substr(text, F.lit(3)))
+            .otherwise(text))
 
 
 def exchange_first(c: Column) -> Column:

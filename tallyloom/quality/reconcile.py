@@ -67,13 +67,14 @@ def load_groups(config: DataFrame) -> list[Group]:
 
     A statement has some hundred fields; this is configuration, never data.
     """
-    items = relationship_items(config)
-    components: dict[str, dict[tuple[str, bool], None]] = {}
-    for row in items.where(~F.col("is_total")).orderBy("position").collect():
-        components.setdefault(row.group_id, {})[(row.field, row.negative)] = None
-    groups = complete_groups(items).orderBy(F.col("group_id").cast("int")).collect()
-    return [Group(r.group_id, r.group_name, r.total, tuple(components[r.group_id]))
-            for r in groups]
+    totals, components = {}, {}
+    for row in relationship_items(config).orderBy("position").collect():
+        if row.is_total:
+            totals.setdefault(row.group_id, row)
+        else:
+            components.setdefault(row.group_id, {})[(row.field, row.negative)] = None
+    return [Group(g, totals[g].report_item, totals[g].field, tuple(components[g]))
+            for g in sorted(totals.keys() & components.keys(), key=int)]
 
 
 def groups_from_section(section: Mapping[str, Mapping[str, str]], spark) -> list[Group]:

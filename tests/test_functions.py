@@ -26,6 +26,15 @@ def test_date_column_types(spark):
     assert tuple(days) == ("2020-01-31", "2020-02-01", "2020-03-01")
 
 
+@pytest.mark.parametrize("text, day", [
+    ("20240229", "2024-02-29"), ("20230229", None), ("19000229", None), ("20000229", "2000-02-29"),
+    ("20240431", None), ("20241301", None), ("20240100", None), ("00000101", None), ("2024", None),
+    ("99991231", "9999-12-31"), ("20240101x", None), ("", None), (None, None), ("-20240101", None)])
+def test_compact_dates(spark, text, day):
+    parsed = dates.parse_compact(F.col("t")).cast("string")
+    assert values(spark, "t string", [(text,)], parsed) == [(day,)]
+
+
 def test_fiscal_period(spark):
     data = [(20240331,), (20240630,), (20241231,), (None,)]
     got = values(spark, "d int", data, dates.fiscal_period(F.col("d")),
