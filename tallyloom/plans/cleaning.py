@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.plans.steps import Step, run_steps
+from tallyloom.sinks.writers import FORMATS, write_cleaned
 from tallyloom.sources.landing import first_files, in_range, landed_files, paths_of
 from tallyloom.sources.scan import ROW_IN_FILE, landing_scan, sidecar_digests, union_sources
 
@@ -43,3 +44,14 @@ def clean_method(spark: SparkSession, root: str, method: str, steps: Sequence[Ma
     """One method from its landed files through the cleaning steps."""
     rows = landed_source(spark, root, method, start, end, max_files)
     return run_steps(rows, steps, registry).drop(ROW_IN_FILE)
+
+
+def clean_and_save(spark: SparkSession, root: str, method: str, steps: Sequence[Mapping],
+                   registry: Mapping[str, Step], path: str, fmt: str = "parquet",
+                   start: str | None = None, end: str | None = None,
+                   max_files: int | None = None) -> int:
+    """The cleaned table of a method, written; returns its row count."""
+    if fmt not in FORMATS:
+        raise ValueError(f"format must be one of {FORMATS}, not {fmt}")
+    cleaned = clean_method(spark, root, method, steps, registry, start, end, max_files)
+    return write_cleaned(cleaned, path, fmt)

@@ -13,12 +13,17 @@ from tallyloom.operators.columns import ordered
 FORMATS = ("parquet", "csv")
 
 
-def write_table(df: DataFrame, path: str, fields: Sequence[str] = (),
-                mode: str = "overwrite") -> int:
+def write_table(df: DataFrame, path: str, fields: Sequence[str] = (), mode: str = "overwrite",
+                row_group_bytes: int | None = None, rows_per_file: int | None = None) -> int:
     """K1, K2: existing fields in order as Snappy Parquet; returns the row count of the write."""
+    options = {"compression": "snappy"}
+    if row_group_bytes:
+        options["parquet.block.size"] = row_group_bytes
+    if rows_per_file:
+        options["maxRecordsPerFile"] = rows_per_file
     seen = Observation()
     (ordered(df, fields).observe(seen, F.count("*").alias("rows"))
-     .write.mode(mode).option("compression", "snappy").parquet(path))
+     .write.mode(mode).options(**options).parquet(path))
     return seen.get["rows"]
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyloom.functions.amounts import nan_to_null
 from tallyloom.operators.lookup import remapped_master
 from tallyloom.operators.resolve import distinct_rows
 
@@ -35,7 +36,10 @@ def type_family(dtype: T.DataType) -> str:
 
 
 def conform(df: DataFrame, expected: T.StructType) -> DataFrame:
-    """Expected columns in order; missing ones are null, an incompatible type raises."""
+    """Expected columns in order; missing ones are null, an incompatible type raises.
+
+    NaN becomes null, as every comparison in the rest of the package takes null for "no value".
+    """
     columns = []
     for field in expected:
         if field.name not in df.columns:
@@ -45,7 +49,10 @@ def conform(df: DataFrame, expected: T.StructType) -> DataFrame:
         if type_family(actual) != type_family(field.dataType):
             raise TypeError(f"{field.name} is {actual.simpleString()}, "
                             f"expected {field.dataType.simpleString()}")
-        columns.append(F.col(f"`{field.name}`").cast(field.dataType).alias(field.name))
+        value = F.col(f"`{field.name}`").cast(field.dataType)
+        if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+            value = nan_to_null(value)
+        columns.append(value.alias(field.name))
     return df.select(*columns)
 
 

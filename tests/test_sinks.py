@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.plans import processors
-from tallyloom.plans.cleaning import clean_method, landed_source
+from tallyloom.plans.cleaning import clean_and_save, clean_method, landed_source
 from tallyloom.plans.steps import cleaning_registry
 from tallyloom.quality.gates import DuplicateKeyError
 from tallyloom.quality.reconcile import ReconcileError
@@ -149,6 +149,11 @@ def test_landing(spark, tmp_path, rows):
                              "condition": "notna"}], cleaning_registry())
     assert rows(cleaned, "k", "end_date") == [("3", "20240930")]
     assert landed_source(spark, str(root), "absent").count() == 0
+    saved = str(tmp_path / "saved")
+    assert clean_and_save(spark, str(root), "m", [], cleaning_registry(), saved, "csv",
+                          "20240101", "20240229") == 2
+    with pytest.raises(ValueError):
+        clean_and_save(spark, str(root), "m", [], cleaning_registry(), saved, "xlsx")
 
 
 def test_steps_see_rows_in_landed_order(spark, tmp_path, rows):
@@ -192,6 +197,9 @@ def test_missing_tables(spark, tmp_path):
     spark.createDataFrame([(1, "x")], "a int, b string").write.parquet(path)
     wanted = spark.createDataFrame([], "a bigint, c string").schema
     assert scan.read_table(spark, path, wanted).first().asDict() == {"a": 1, "c": None}
+    spark.sql("select double('NaN') as v union all select 1.0D").write.parquet(path + "2")
+    clean = scan.read_table(spark, path + "2", spark.createDataFrame([], "v double").schema)
+    assert clean.where("v is null").count() == 1 and clean.where("v > 0").count() == 1
     with pytest.raises(TypeError):
         scan.read_table(spark, path, spark.createDataFrame([], "b double").schema)
 
