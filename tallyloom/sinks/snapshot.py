@@ -115,13 +115,14 @@ class SnapshotStore:
         (a second extract must agree) or ``allow``. Empty input is refused. ``check`` sees the
         written version and may raise to keep it from being published.
         """
-        old = self.latest(dataset)
-        known = self._judge(dataset, fingerprint(df).first(), old, shrink, second, force)
+        old, seen = self.latest(dataset), fingerprint(df).first()
+        known = self._judge(dataset, seen, old, shrink, second, force)
         if known is not None:
             return known
         version, path, facts = self._write(df, dataset)
-        again = self._judge(dataset, facts, old, shrink, second, force)
-        return again or self._publish(df, dataset, info, version, path, facts, old, check)
+        if _text(facts) != _text(seen):  # the extract changed between the two reads
+            known = self._judge(dataset, facts, old, shrink, second, force)
+        return known or self._publish(df, dataset, info, version, path, facts, old, check)
 
     def save_computed(self, df: DataFrame, dataset: str, info: str = "", shrink: str = "raise",
                       second: Callable[[], DataFrame] | None = None, force: bool = False,
