@@ -32,18 +32,42 @@ def _valid_span(requests: DataFrame) -> DataFrame:
     return requests.where(F.col("start_day") <= F.col("end_day"))
 
 
+def day_list(limit: Column | None = None) -> Column:
+    """T2 as an array of days, newest first."""
+    return _newest(F.sequence("start_day", "end_day"), limit)
+
+
+def month_list(limit: Column | None = None) -> Column:
+    """T3 as an array of month starts, newest first."""
+    return _newest(F.sequence(F.trunc("start_day", "MM"), "end_day", F.expr("interval 1 month")),
+                   limit)
+
+
+def month_end(start: Column) -> Column:
+    """The end of a month, clipped to the last day asked for."""
+    return F.least(F.last_day(start), F.col("end_day"))
+
+
+def quarter_list(limit: Column | None = None, clip: bool = False) -> Column:
+    """T4 as an array of quarter ends, newest first."""
+    first = F.make_date(F.year("start_day") - 1, F.lit(3), F.lit(1))
+    last = F.make_date(F.year("end_day"), F.lit(12), F.lit(1))
+    ends = F.transform(F.sequence(first, last, F.expr("interval 3 months")), F.last_day)
+    if clip:
+        ends = F.filter(ends, lambda d: d.between(F.col("start_day"), F.col("end_day")))
+    return _newest(ends, limit)
+
+
 def natural_days(requests: DataFrame, limit: Column | None = None) -> DataFrame:
     """Every day of the closed range."""
-    days = _newest(F.sequence("start_day", "end_day"), limit)
-    return _valid_span(requests).select("*", F.posexplode(days).alias("entry", "day"))
+    return _valid_span(requests).select("*", F.posexplode(day_list(limit)).alias("entry", "day"))
 
 
 def month_ranges(requests: DataFrame, limit: Column | None = None) -> DataFrame:
     """Month start (never clipped) and month end (clipped to the last day asked for)."""
-    months = _newest(F.sequence(F.trunc("start_day", "MM"), "end_day", F.expr("interval 1 month")),
-                     limit)
-    rows = _valid_span(requests).select("*", F.posexplode(months).alias("entry", "month_start"))
-    return rows.withColumn("month_end", F.least(F.last_day("month_start"), F.col("end_day")))
+    rows = _valid_span(requests).select(
+        "*", F.posexplode(month_list(limit)).alias("entry", "month_start"))
+    return rows.withColumn("month_end", month_end(F.col("month_start")))
 
 
 def quarter_ends(requests: DataFrame, limit: Column | None = None,
@@ -52,13 +76,8 @@ def quarter_ends(requests: DataFrame, limit: Column | None = None,
 
     They are not cut at the bounds unless ``clip`` is set.
     """
-    first = F.make_date(F.year("start_day") - 1, F.lit(3), F.lit(1))
-    last = F.make_date(F.year("end_day"), F.lit(12), F.lit(1))
-    ends = F.transform(F.sequence(first, last, F.expr("interval 3 months")), F.last_day)
-    if clip:
-        ends = F.filter(ends, lambda d: d.between(F.col("start_day"), F.col("end_day")))
-    rows = _valid_span(requests) if clip else requests
-    return rows.select("*", F.posexplode(_newest(ends, limit)).alias("entry", "quarter_end"))
+    return _valid_span(requests).select(
+        "*", F.posexplode(quarter_list(limit, clip)).alias("entry", "quarter_end"))
 
 
 def calendar_index(calendar: DataFrame) -> DataFrame:

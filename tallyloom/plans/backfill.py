@@ -45,30 +45,31 @@ def expand(requests: DataFrame, calendar: DataFrame, clip_quarters: bool = False
     bounded = with_bounds(requests)
     limit = F.when(F.col("truncate"), spine.max_periods(F.col("lookback"), F.col("multiplier")))
     kept = [c for c in requests.columns if c not in ("start_date", "end_date")]
-
-    def of(placeholder):
-        return bounded.where(F.col("placeholder") == placeholder)
-
-    def shaped(rows, first, last):
-        return rows.select(*kept, F.col("entry").alias("block_index"),
-                           compact_text(F.col(first)).alias("param_start"),
-                           compact_text(F.col(last)).alias("param_end"))
-
-    def single(rows, value):
-        return rows.select(*kept, F.lit(0).alias("block_index"), value.alias("param_start"),
-                           value.alias("param_end"))
-
     name = F.col("placeholder")
-    known = [*DATE_PLACEHOLDERS, *(CODE_PLACEHOLDERS if master is not None else ())]
-    parts = [
-        shaped(spine.trade_days(of(TRADE), calendar, limit), "trade_day", "trade_day"),
-        shaped(spine.natural_days(of(NATURAL), limit), "day", "day"),
-        shaped(spine.month_ranges(of(MONTHS), limit), "month_start", "month_end"),
-        shaped(spine.quarter_ends(of(QUARTERS), limit, clip_quarters), "quarter_end",
-               "quarter_end"),
-        single(of(TODAY), compact_text(F.current_date())),
-        single(bounded.where(name.isNull() | ~name.isin(*known)), name),
-    ]
+    apart = [TRADE, *(CODE_PLACEHOLDERS if master is not None else ())]
+
+    # What a request's own row determines is one list of days per row, so the requests are read
+    # once. A plain value has a list of one null.
+    span = F.col("start_day") <= F.col("end_day")
+    plain = name.isNull() | ~name.isin(*DATE_PLACEHOLDERS)
+    days = (
+        F.when((name == NATURAL) & span, spine.day_list(limit))
+        .when((name == MONTHS) & span, spine.month_list(limit))
+        .when((name == QUARTERS) & span, spine.quarter_list(limit, clip_quarters))
+        .when(name == TODAY, F.array(F.current_date()))
+        .when(plain, F.array(F.lit(None).cast("date"))))
+    own = bounded.where(name.isNull() | ~name.isin(*apart)).select(
+        *kept, "end_day", F.posexplode(days).alias("block_index", "_day"))
+    day = F.col("_day")
+    last = F.when(name == MONTHS, spine.month_end(day)).otherwise(day)
+    parts = [own.select(*kept, "block_index",
+                        F.when(plain, name).otherwise(compact_text(day)).alias("param_start"),
+                        F.when(plain, name).otherwise(compact_text(last)).alias("param_end"))]
+
+    traded = spine.trade_days(bounded.where(name == TRADE), calendar, limit)
+    day = compact_text(F.col("trade_day"))
+    parts.append(traded.select(*kept, F.col("entry").alias("block_index"),
+                               day.alias("param_start"), day.alias("param_end")))
     if master is not None:
         parts.append(_codes(requests.select(*kept), master))
     return reduce(DataFrame.unionByName, parts)
