@@ -65,3 +65,16 @@ def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     buffer = texts.buffers()[2]
     data = np.frombuffer(buffer, np.uint8) if buffer is not None else np.zeros(0, np.uint8)
     return data[at[0]:at[-1]], at - at[0]
+
+
+def joined(rows: DataFrame, per_key: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Rows joined with an aggregate per key, by hash and struct of the key.
+
+    Neither is a plain column, so the join never reuses the partitioning of the aggregate: both sides
+    come from an exchange of their own, which is the shape in which Spark splits a hot key.
+    """
+    other = per_key.select(F.xxhash64(*keys).alias("_join_hash"), F.struct(*keys).alias("_join_key"),
+                           *[c for c in per_key.columns if c not in keys])
+    on = (F.xxhash64(*[rows[k] for k in keys]) == F.col("_join_hash")) & (
+        F.struct(*[rows[k] for k in keys]) == F.col("_join_key"))
+    return rows.join(other, on, how).drop("_join_hash", "_join_key")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import quality_rules
+from tallyloom.llm import minhash, quality_rules
 from tallyloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,8 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return judged.select("doc_id", *[quality_rules.count(c).alias(c) for c in shown],
                          F.round(quality_rules.count("p_good"), 6).alias("p_good"))
+
+
+@query("op6_minhash")
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.group(table(spark, sf_dir, "documents"), words=2)
