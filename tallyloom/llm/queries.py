@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import minhash, quality_rules
+from tallyloom.llm import minhash, pii, quality_rules
 from tallyloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,8 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_minhash")
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.group(table(spark, sf_dir, "documents"), words=2)
+
+
+@query("op7_pii")
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.counts_of(pii.find(table(spark, sf_dir, "documents"), ["doc_id"]), ["doc_id"])
