@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import minhash, pii, quality_rules
+from tallyloom.llm import minhash, mixing, pii, quality_rules
 from tallyloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,11 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_pii")
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.counts_of(pii.find(table(spark, sf_dir, "documents"), ["doc_id"]), ["doc_id"])
+
+
+@query("op10_mixing", mixing.oracle())
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
+    own = {c: F.col(mixing.OWN + c) for c in ("source", "lang", "topic", "tokens", "prob", "sampled")}
+    own["prob"] = F.round(own["prob"], 6)
+    return mixed.select("doc_id", *[c.alias(name) for name, c in own.items()])
