@@ -54,6 +54,20 @@ def slices(texts: pa.LargeStringArray, most: int = SLICE_BYTES) -> Iterator[tupl
         row = last
 
 
+def merged(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in fewer batches, each closed once it holds so many bytes."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def offsets_of(texts: pa.Array) -> np.ndarray:
     at = np.frombuffer(texts.buffers()[1], np.int64)
     return at[texts.offset:texts.offset + len(texts) + 1]

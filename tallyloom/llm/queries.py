@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import minhash, mixing, pii, quality_rules
+from tallyloom.llm import minhash, mixing, pii, quality_rules, sentencepiece
 from tallyloom.llm.common import table
 
+# Read on the driver only; its tables go to the tasks.
+TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -47,3 +50,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = {c: F.col(mixing.OWN + c) for c in ("source", "lang", "topic", "tokens", "prob", "sampled")}
     own["prob"] = F.round(own["prob"], 6)
     return mixed.select("doc_id", *[c.alias(name) for name, c in own.items()])
+
+
+@query("op1_sentencepiece")
+def op1_sentencepiece(spark: SparkSession, sf_dir: str, model: str = TOKENIZER) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    coded = sentencepiece.encode(docs, sentencepiece.Model.read(model), ["doc_id"])
+    return coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), "round_trip")
