@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import minhash, mixing, pii, quality_rules, sentencepiece
+from tallyloom.llm import minhash, mixing, pii, quality_rules, sentencepiece, sharding
 from tallyloom.llm.common import table
+from tallyloom.session import scratch_path
 
 # Read on the driver only; its tables go to the tasks.
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
+SHARD_BYTES = 8 << 20
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +59,16 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str, model: str = TOKENIZER)
     docs = table(spark, sf_dir, "documents")
     coded = sentencepiece.encode(docs, sentencepiece.Model.read(model), ["doc_id"])
     return coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), "round_trip")
+
+
+@query("op2_sharding", sharding.oracle(SHARD_BYTES))
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shards are written and read back; sizes are those of the texts as read."""
+    docs = table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "shards")
+    sharding.write(sharding.assign(docs, "doc_id", F.octet_length("text"), SHARD_BYTES), path)
+    back = sharding.read(spark, path, docs.schema)
+    shard = F.col(sharding.OWN + "id")
+    return back.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+                       shard.alias("shard"), F.length(shard).cast("long").alias("depth"),
+                       F.col(sharding.OWN + "total").alias("shard_bytes"))
