@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import minhash, mixing, pii, quality_rules, sentencepiece, sharding
+from tallyloom.llm import minhash, mixing, pii, quality_rules, sentencepiece, sharding, warc
 from tallyloom.llm.common import table
 from tallyloom.session import scratch_path
 
@@ -72,3 +72,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
                        shard.alias("shard"), F.length(shard).cast("long").alias("depth"),
                        F.col(sharding.OWN + "total").alias("shard_bytes"))
+
+
+@query("op8_warc", warc.oracle())
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return warc.read(warc.archives(index)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
