@@ -61,6 +61,7 @@ def default_rules() -> list[Rule]:
         Rule("letters", 1 - _share("n_odd", "word_chars"), (0.9, 1), (0.8, 1)),
         Rule("repeated_lines", _share("n_dup_lines", "n_lines"), (0, 0.1), (0, 0.3)),
         Rule("repeated_words", _share("n_repeat_words", "n_words"), (0, 0.1), (0, 0.25)),
+        Rule("stutter", _share("n_same", "n_words"), (0, 0.05), (0, 0.25)),
         Rule("capitals", count("n_upper") / letters, (0, 0.2), (0, 0.4)),
         Rule("shouting", _share("n_shouts", "n_words"), (0, 0.05), (0, 0.2)),
         Rule("bare_words", _share("n_bare", "n_words"), (0, 0.05), (0, 0.2)),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import minhash, mixing, pii, quality_rules, sentencepiece, sharding, warc
+from tallyloom.llm import classifier, minhash, mixing, pii, quality_rules, sentencepiece, sharding, warc
 from tallyloom.llm.common import table
 from tallyloom.session import scratch_path
 
@@ -79,3 +79,12 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.write(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
     return warc.read(warc.archives(index)).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op9_quality_classifier")
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    scored = classifier.score(docs, labels.select("doc_id", F.col("quality").alias("label")).where(~held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))

@@ -22,7 +22,7 @@ WINDOW = 8  # words; a power of two
 COUNTS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
     "n_lines", "n_distinct", "n_upper", "n_lower", "n_wide", "n_digits", "n_marks",
-    "n_shouts", "n_bare", "n_ends", "n_odd",
+    "n_shouts", "n_bare", "n_ends", "n_odd", "n_same",
 )
 
 
@@ -111,6 +111,7 @@ def counts(texts: pa.LargeStringArray) -> dict[str, np.ndarray]:
     distinct = pd.unique(owner * base + codes) // base
     alnum = np.concatenate(([0], np.cumsum(ALNUM[data], dtype=np.int64)))
     bare = alnum[last] == alnum[first]  # words without a letter or digit
+    same = np.flatnonzero((codes[1:] == codes[:-1]) & (owner[1:] == owner[:-1])) + 1
     closing = data[last - 1] if len(last) else np.zeros(0, np.uint8)
     return {
         "n_words": np.bincount(owner, minlength=size),
@@ -125,6 +126,7 @@ def counts(texts: pa.LargeStringArray) -> dict[str, np.ndarray]:
         "n_wide": _per_text(WIDE[data], at),
         "n_digits": _per_text(DIGIT[data], at),
         "n_marks": _per_text(MARK[data], at),
+        "n_same": np.bincount(owner[same], minlength=size),  # words equal to the one before
         "n_odd": _per_text(~(ALNUM | SPACE)[data] & ~PLAIN[data], at),
         "n_shouts": _per_text(SHOUT[data], at),
         "n_bare": np.bincount(owner[bare], minlength=size),
