@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import classifier, minhash, mixing, pii, quality_rules, sentencepiece, sharding, warc
+from tallyloom.llm import classifier, embedding_dedup, minhash, mixing, pii, quality_rules, sentencepiece, sharding, warc
 from tallyloom.llm.common import table
 from tallyloom.session import scratch_path
 
@@ -88,3 +88,8 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = classifier.score(docs, labels.select("doc_id", F.col("quality").alias("label")).where(~held_out))
     return scored.select("doc_id", held_out.alias("held_out"), "score",
                          F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+@query("op3_embedding_dedup")
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.link(table(spark, sf_dir, "embeddings"))
