@@ -1,8 +1,8 @@
 """Connected components by alternating large-star and small-star.
 
 Edges stay a distributed table. A large-star links every larger neighbour of a node to its smallest
-neighbour, a small-star links the smaller ones and the node itself; when both change nothing, every
-node hangs on the smallest of its component. Each round is written to the shared folder, so the plan
+neighbour, a small-star links the smaller ones and the node itself. It ends when every node hangs on
+one other that hangs on none: then that is the smallest of its component. Each round is written to the shared folder, so the plan
 stays short and a lost executor costs one round at most. A hub's neighbours are never gathered: the
 smallest one is an aggregate, and the join that hands it out can split a hot key.
 """
@@ -36,9 +36,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
             .where("node <> other"))
 
 
-def _state(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("node", "other").cast("decimal(38,0)"))).first()
-    return row[0], row[1]
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every node hangs on one other, which itself hangs on none."""
+    ends = edges.select(F.col("node").alias("id"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).union(
+        edges.select("other", F.lit(0), F.lit(1)))
+    seen = ends.groupBy("id").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return seen.where("hangs > 1 or hangs = 1 and holds = 1").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -46,16 +49,11 @@ def components(edges: DataFrame) -> DataFrame:
 
     Self-links and repeated or reversed edges are allowed; edges with a null end are left out.
     """
-    start = (edges.where("a is not null and b is not null and a <> b")
-             .select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("other")).distinct())
-    now = as_table(start, "components")
-    state = _state(now)
-    while state[0]:
+    now = as_table(
+        edges.where("a is not null and b is not null and a <> b")
+        .select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("other")).distinct(), "components")
+    while not _is_stars(now):
         large = _large_star(now).where("node <> other").distinct()
         now = as_table(_small_star(large).distinct(), "components")
-        after = _state(now)
-        if after == state:
-            break
-        state = after
     return now.select("node", F.col("other").alias("root")).union(
         now.select(F.col("other").alias("node"), F.col("other").alias("root")).distinct())

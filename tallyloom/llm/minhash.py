@@ -5,12 +5,12 @@
 2. BANDS bands of ROWS minima each give a node its bucket keys. At a similarity of 0.8 a pair shares
    no bucket with a probability of (1 - 0.8^6)^48, about 5e-7.
 3. Buckets are not paired off. In each, all nodes are compared with one centre, the node with the
-   largest buckets of all, which in a group of copies is the original. After each such round nodes that are
-   already in one component need no comparison any more. When the rounds are over, what is left, the
-   pairs of nodes of different components in one bucket, is compared in full, so no link between
-   components is lost.
-4. A pair is compared by set size, then by signature (five standard deviations below the threshold
-   is out), and confirmed on the full sets.
+   largest buckets of all, which in a group of copies is the original. Nodes that are in one component
+   after that need no comparison any more: what is left, pairs of nodes of different components in one
+   bucket, is compared in full, so no link between components is lost.
+4. A pair is a candidate only if the set sizes allow it and the signatures agree: one bit of each of
+   SKETCH minima, within six standard deviations of what the threshold makes. Both are conditions of the
+   joins that look for pairs. Candidates are confirmed on the full sets.
 5. Components of the confirmed links by alternating large-star and small-star.
 
 Defined cases: a text without words, empty or null, has no shingles and is linked with nothing; with
@@ -28,8 +28,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,7 +41,7 @@ from tallyloom.session import as_table
 
 BANDS, ROWS = 48, 6
 MINIMA = BANDS * ROWS
-STAR_ROUNDS = 2
+SKETCH = 256  # minima that give a bit each
 OWN = "_near_"
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -106,27 +107,43 @@ def shingle_sets(texts: pa.LargeStringArray, words: int) -> tuple[np.ndarray, np
     return mixed[fresh], kept[edge]
 
 
-def signatures(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """16 bits of each minimum, one row per non-empty set."""
+def minima(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The MINIMA minima, one row per non-empty set."""
     full = at[:-1][at[1:] > at[:-1]]
-    out = np.empty((len(full), MINIMA), np.uint16)
+    out = np.empty((len(full), MINIMA), np.uint64)
     if len(full):
         factors, offsets = _multipliers()
         hashed = np.empty_like(sets)
         for i in range(MINIMA):
             np.multiply(sets, factors[i], out=hashed)
             np.add(hashed, offsets[i], out=hashed)
-            # Middle bits: the highest of a minimum are nearly all zero.
-            out[:, i] = (np.minimum.reduceat(hashed, full) >> np.uint64(24)).astype(np.uint16)
+            out[:, i] = np.minimum.reduceat(hashed, full)
     return out
 
 
+def bucket_keys(least: np.ndarray) -> np.ndarray:
+    """A key for each band of each row; bands have keys of their own."""
+    keys = np.empty((len(least), BANDS), np.uint64)
+    for band in range(BANDS):
+        key = np.full(len(least), band + 1, np.uint64)
+        for k in range(band * ROWS, (band + 1) * ROWS):
+            key = _scrambled((key + _MIX) ^ least[:, k])
+        keys[:, band] = key
+    return keys.view(np.int64)
+
+
+def sketches(least: np.ndarray) -> np.ndarray:
+    """A middle bit of the first SKETCH minima, packed into 64-bit numbers. (The highest are nearly all zero.)"""
+    bits = ((least[:, :SKETCH] >> np.uint64(24)) & np.uint64(1)).astype(np.uint8)
+    return np.packbits(bits, axis=1).view(np.int64)
+
+
 def with_signatures(docs: DataFrame, keep: list[str], words: int) -> DataFrame:
-    """``keep``, the text, and with the prefix OWN: n, the set's digest and its signature.
+    """``keep``, the text, and with the prefix OWN: n, the set's digest, its bucket keys and its sketch.
 
-    Digest and signature of an empty set are null.
+    For an empty set the last three are null.
     """
-    fields = [OWN + "text", OWN + "n", OWN + "set", OWN + "sig"]
+    fields = [OWN + c for c in ("text", "n", "set", "keys", "sketch")]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,17 +153,25 @@ def with_signatures(docs: DataFrame, keep: list[str], words: int) -> DataFrame:
                 sizes = np.diff(at)
                 digests = [hashlib.blake2b(sets[a:b].tobytes(), digest_size=16).digest() if b > a else None
                            for a, b in zip(at[:-1], at[1:])]
-                signed = iter(signatures(sets, at))
-                packed = [next(signed).tobytes() if n else None for n in sizes]
+                least = minima(sets, at)
+                empty = sizes == 0
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(i).slice(low, high - low) for i in range(batch.num_columns)),
                      pa.array(sizes.astype(np.int64)), pa.array(digests, pa.binary()),
-                     pa.array(packed, pa.binary())], names=[*keep, *fields])
+                     _rows(bucket_keys(least), empty), _rows(sketches(least), empty)], names=[*keep, *fields])
 
     read = docs.select(*keep, docs["text"].alias(OWN + "text"))
+    numbers = T.ArrayType(T.LongType())
     return read.mapInArrow(sign, T.StructType([
-        *read.schema.fields, T.StructField(fields[1], T.LongType()),
-        T.StructField(fields[2], T.BinaryType()), T.StructField(fields[3], T.BinaryType())]))
+        *read.schema.fields, T.StructField(fields[1], T.LongType()), T.StructField(fields[2], T.BinaryType()),
+        T.StructField(fields[3], numbers), T.StructField(fields[4], numbers)]))
+
+
+def _rows(values: np.ndarray, empty: np.ndarray) -> pa.ListArray:
+    """A list per text: the next row of values, or null for an empty set."""
+    ends = np.concatenate(([0], np.cumsum(~empty))) * values.shape[1]
+    lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values.reshape(-1)))
+    return pc.if_else(pa.array(empty), pa.scalar(None, lists.type), lists)
 
 
 @dataclass(frozen=True)
@@ -157,24 +182,16 @@ class Threshold:
     over: int = 100
 
     @property
-    def least_agreement(self) -> float:
-        """Share of equal minima below which a pair is out: five standard deviations."""
-        wanted = self.share / self.over
-        return wanted - 5 * (wanted * (1 - wanted) / MINIMA) ** 0.5
+    def most_bits(self) -> float:
+        """Sketch bits in which a linked pair differs at most, by six standard deviations."""
+        differs = (1 - self.share / self.over) / 2
+        return SKETCH * differs + 6 * (SKETCH * differs * (1 - differs)) ** 0.5
 
-
-def _agreeing(pairs: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) of (a, b, sig_a, sig_b) whose signatures agree often enough."""
-
-    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, MINIMA)
-                           for i in (2, 3))
-            use = pa.array((left == right).mean(axis=1) >= least)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i).filter(use) for i in (0, 1)], names=["a", "b"])
-
-    return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(agree, "a long, b long")
+    def candidates(self, a: str, b: str) -> Column:
+        """Whether the sizes and sketches of two structs (n, sketch) allow a link."""
+        sizes = self.over * F.least(a + ".n", b + ".n") >= self.share * F.greatest(a + ".n", b + ".n")
+        bits = [F.bit_count(F.col(a + ".sketch")[i].bitwiseXOR(F.col(b + ".sketch")[i])) for i in range(SKETCH // 64)]
+        return sizes & (sum(bits[1:], bits[0]) <= F.lit(self.most_bits))
 
 
 def _sets_of(nodes: DataFrame, words: int) -> DataFrame:
@@ -201,92 +218,74 @@ class Groups:
             OWN + "row", F.monotonically_increasing_id())
         # Written once: row numbers, texts and signatures are the same for all that follows.
         self.rows = as_table(tagged, "near-rows")
-        full = self.rows.where(F.col(OWN + "n") > 0)
+        # Keys and sketch are equal for equal sets, so the first will do.
         self.nodes = as_table(
-            full.groupBy(OWN + "set").agg(
+            self.rows.where(F.col(OWN + "n") > 0).groupBy(OWN + "set").agg(
                 F.min(OWN + "row").alias("node"),
                 F.min(F.struct(F.col(order).isNull().alias("missing"), F.col(order).alias("id"),
                                F.col(OWN + "row").alias("row"))).alias("first"),
-                F.min(OWN + "n").alias("n")), "near-nodes")
-        self.members = self._members()
-
-    def _of_nodes(self, *columns: str) -> DataFrame:
-        """Columns of the row that stands for each node."""
-        chosen = self.nodes.select(F.col("node").alias(OWN + "row"))
-        return self.rows.select(F.col(OWN + "row"), *columns).join(chosen, OWN + "row").withColumnRenamed(
-            OWN + "row", "node")
+                F.first(OWN + "n").alias("n"), F.first(OWN + "keys").alias("keys"),
+                F.first(OWN + "sketch").alias("sketch")), "near-nodes")
 
     def _members(self) -> DataFrame:
-        """(key, node) of all buckets that hold two nodes or more, with the node's weight."""
-        width = 2 * ROWS
-        keys = F.array(*[F.xxhash64(F.lit(i), F.substring(OWN + "sig", 1 + width * i, width))
-                         for i in range(BANDS)])
-        every = self._of_nodes(OWN + "sig").select("node", F.explode(keys).alias("key"))
+        """(key, node, info) of all buckets that hold two nodes or more; info has weight, node, n, sketch."""
+        every = self.nodes.select("node", F.explode("keys").alias("key"))
         shared = every.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
         found = as_table(joined(every, shared, ["key"]), "near-buckets")
         weights = found.groupBy("node").agg(F.sum("size").alias("weight"))
-        return as_table(joined(found.select("key", "node"), weights, ["node"]), "near-members")
-
-    def _confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are linked, out of candidates; tested by size, signature and set."""
+        info = weights.join(self.nodes.select("node", "n", "sketch"), "node").select(
+            "node", F.struct("weight", "node", "n", "sketch").alias("info"))
+        return as_table(joined(found.select("key", "node"), info, ["node"]), "near-members")
+
+    def _sets(self, members: DataFrame) -> DataFrame:
+        """(node, set) of the nodes that share a bucket, from the text of the row that stands for each."""
+        wanted = members.select(F.col("node").alias(OWN + "row")).distinct()
+        texts = self.rows.select(OWN + "row", OWN + "text").join(wanted, OWN + "row", "left_semi")
+        return as_table(_sets_of(texts, self.words), "near-sets")
+
+    def _confirmed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """The pairs (a, b) that are linked, out of candidates."""
         share, over = self.threshold.share, self.threshold.over
-        sizes = self.nodes.select("node", "n")
-        sized = (pairs.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b")
-                 .where(over * F.least("n_a", "n_b") >= share * F.greatest("n_a", "n_b")))
-        signed = self._of_nodes(OWN + "sig")
-        near = as_table(_agreeing(
-            sized.select("a", "b").join(signed.toDF("a", "sig_a"), "a").join(signed.toDF("b", "sig_b"), "b"),
-            self.threshold.least_agreement), "near-pairs")
-        wanted = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-        texts = self.rows.select(F.col(OWN + "row").alias("node"), OWN + "text").join(wanted, "node", "left_semi")
-        sets = as_table(_sets_of(texts, self.words), "near-sets")
         both = F.size(F.array_intersect("set_a", "set_b"))
-        linked = (near.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+        linked = (pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
                   .where(over * both >= share * (F.size("set_a") + F.size("set_b") - both)))
         return as_table(linked.select("a", "b"), "near-links")
 
-    def _labelled(self, links: DataFrame | None) -> DataFrame:
-        """Members with the component of their node so far."""
-        if links is None:
-            return self.members.withColumn("comp", F.col("node"))
-        roots = components(links)
-        return self.members.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+    def _around_centres(self, members: DataFrame) -> DataFrame:
+        """Candidate pairs of each bucket's centre with its other nodes."""
+        centres = members.groupBy("key").agg(F.max("info").alias("centre"))
+        met = joined(members, centres, ["key"]).where(
+            (F.col("node") != F.col("centre.node")) & self.threshold.candidates("info", "centre"))
+        return met.select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b")).distinct()
+
+    def _across(self, members: DataFrame, links: DataFrame) -> DataFrame:
+        """Candidate pairs of nodes that share a bucket and are in different components.
+
+        The largest component of a bucket meets the rest of it, and the rest meets itself.
+        """
+        labelled = as_table(joined(members, components(links), ["node"], "left").withColumn(
+            "comp", F.coalesce("root", "node")).drop("root"), "near-labelled")
+        largest = (labelled.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key")
+                   .agg(F.max(F.struct("n", "comp")).alias("top"), F.count("*").alias("comps"))
+                   .where("comps > 1").select("key", F.col("top.comp").alias("top")))
+        open_ = as_table(joined(labelled, largest, ["key"]).withColumn("rest", F.col("comp") != F.col("top"))
+                         .drop("top"), "near-open")
+        left = open_.where("rest").select("key", F.col("comp").alias("comp_a"), F.col("info").alias("info_a"))
+        right = open_.select("key", F.col("comp").alias("comp_b"), F.col("info").alias("info_b"), "rest")
+        fits = ((left["key"] == right["key"]) & (F.col("comp_a") != F.col("comp_b"))
+                & (~F.col("rest") | (F.col("info_a.node") < F.col("info_b.node")))
+                & self.threshold.candidates("info_a", "info_b"))
+        return left.join(right, fits).select(
+            F.least("info_a.node", "info_b.node").alias("a"), F.greatest("info_a.node", "info_b.node").alias("b")).distinct()
 
     def roots(self) -> DataFrame:
         """(node, root) of all nodes that are linked with another."""
-        links, tested = None, None
-        for turn in range(STAR_ROUNDS):
-            now = as_table(self._labelled(links), "near-labelled")
-            centre = (now.groupBy("key").agg(
-                F.max(F.struct("weight", "node", "comp")).alias("centre"),
-                F.min("comp").alias("low"), F.max("comp").alias("high"))
-                .where("low <> high").select("key", "centre"))
-            pairs = (joined(now, centre, ["key"]).where("comp <> centre.comp")
-                     .select(F.least("node", "centre.node").alias("a"),
-                             F.greatest("node", "centre.node").alias("b")).distinct())
-            links, tested = self._next(pairs, links, tested)
-        pairs = self._across(as_table(self._labelled(links), "near-labelled"))
-        links, _ = self._next(pairs, links, tested)
-        return components(links)
-
-    def _next(self, pairs: DataFrame, links: DataFrame | None, tested: DataFrame | None):
-        fresh = as_table(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "near-fresh")
-        found = self._confirmed(fresh)
-        return (found if links is None else links.union(found),
-                fresh if tested is None else tested.union(fresh))
-
-    def _across(self, now: DataFrame) -> DataFrame:
-        """All pairs of nodes that share a bucket and are in different components."""
-        there = now.select("key", "comp").distinct()
-        split = there.groupBy("key").agg(F.count("*").alias("comps")).where("comps > 1")
-        open_comps = joined(there, split, ["key"]).select("key", "comp")
-        couples = open_comps.toDF("key", "comp_a").join(open_comps.toDF("key", "comp_b"), "key").where(
-            "comp_a < comp_b")
-        left = now.select("key", F.col("comp").alias("comp_a"), F.col("node").alias("node_a"))
-        right = now.select("key", F.col("comp").alias("comp_b"), F.col("node").alias("node_b"))
-        return (couples.join(left, ["key", "comp_a"]).join(right, ["key", "comp_b"])
-                .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
-                .distinct())
+        members = self._members()
+        sets = self._sets(members)
+        tested = as_table(self._around_centres(members), "near-pairs")
+        links = self._confirmed(tested, sets)
+        left = self._across(members, links).join(tested, ["a", "b"], "left_anti")
+        return components(links.union(self._confirmed(left, sets)))
 
     def labelled(self) -> DataFrame:
         """The rows with ``first`` of their component: its smallest id and the row that has it."""
