@@ -11,6 +11,10 @@
 4. A pair is a candidate only if the set sizes allow it and the signatures agree: one bit of each of
    SKETCH minima, within six standard deviations of what the threshold makes. Both are conditions of the
    joins that look for pairs. Candidates are confirmed on the full sets.
+   Hundreds of copies of one original can all be too far from it and from each other. So the comparison
+   with the centre also leaves each node the elements in which it differs from the centre, as their
+   number and a bitmap of their hashes. Two nodes differ in all bits that only one of them has, at
+   least: a bound that loses no link and rules out nearly all such pairs in the join.
 5. Components of the confirmed links by alternating large-star and small-star.
 
 Defined cases: a text without words, empty or null, has no shingles and is linked with nothing; with
@@ -42,6 +46,7 @@ from tallyloom.session import as_table
 BANDS, ROWS = 48, 6
 MINIMA = BANDS * ROWS
 SKETCH = 256  # minima that give a bit each
+DELTA_WORDS = 8  # of 64 bits each, in the bitmap of a difference
 OWN = "_near_"
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -243,49 +248,95 @@ class Groups:
         texts = self.rows.select(OWN + "row", OWN + "text").join(wanted, OWN + "row", "left_semi")
         return as_table(_sets_of(texts, self.words), "near-sets")
 
+    def _linked(self, both: Column) -> Column:
+        share, over = self.threshold.share, self.threshold.over
+        return over * both >= share * (F.size("set_a") + F.size("set_b") - both)
+
     def _confirmed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The pairs (a, b) that are linked, out of candidates."""
-        share, over = self.threshold.share, self.threshold.over
         both = F.size(F.array_intersect("set_a", "set_b"))
         linked = (pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
-                  .where(over * both >= share * (F.size("set_a") + F.size("set_b") - both)))
+                  .where(self._linked(both)))
         return as_table(linked.select("a", "b"), "near-links")
 
-    def _around_centres(self, members: DataFrame) -> DataFrame:
-        """Candidate pairs of each bucket's centre with its other nodes."""
-        centres = members.groupBy("key").agg(F.max("info").alias("centre"))
+    def _around_centres(self, members: DataFrame, centres: DataFrame, sets: DataFrame) -> DataFrame:
+        """(centre, node, linked, differs, bits) of all candidate pairs of a bucket's centre and its nodes.
+
+        ``differs`` elements are in one of the two sets only, and ``bits`` are those of their hashes.
+        """
         met = joined(members, centres, ["key"]).where(
             (F.col("node") != F.col("centre.node")) & self.threshold.candidates("info", "centre"))
-        return met.select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b")).distinct()
+        pairs = met.select(F.col("centre.node").alias("centre"), "node").distinct()
+        full = pairs.join(sets.toDF("node", "set_a"), "node").join(sets.toDF("centre", "set_b"), "centre")
+        apart = full.withColumn("apart", F.concat(F.array_except("set_a", "set_b"), F.array_except("set_b", "set_a")))
+        word = ("aggregate(filter(apart, e -> ((e >> 6) & {mask}) = {w}), 0L,"
+                " (bits, e) -> bits | shiftleft(1L, int(e & 63)))")
+        bits = F.array(*[F.expr(word.format(mask=DELTA_WORDS - 1, w=w)) for w in range(DELTA_WORDS)])
+        both = (F.size("set_a") + F.size("set_b") - F.size("apart")) / 2
+        return as_table(apart.select("centre", "node", self._linked(both).alias("linked"),
+                                     F.size("apart").alias("differs"), bits.alias("bits")), "near-deltas")
+
+    def _fits(self) -> Column:
+        """Condition of the join within a bucket, cheapest part first.
+
+        All it reads are plain numbers of the two sides (a_ and b_), as it is evaluated for every pair of a
+        bucket's rest. What the differences from the centre allow counts as true where one is not known.
+        """
+        share, over = self.threshold.share, self.threshold.over
+
+        def bits(words: int, term) -> Column:
+            each = [F.bit_count(term(i)) for i in range(words)]
+            return sum(each[1:], each[0])
+
+        def only(x: str, y: str) -> Column:
+            return bits(DELTA_WORDS, lambda i: F.col(f"{x}_bits{i}").bitwiseAND(F.bitwise_not(F.col(f"{y}_bits{i}"))))
+
+        n_a, n_b = F.col("a_n"), F.col("b_n")
+        sizes = over * F.least(n_a, n_b) >= share * F.greatest(n_a, n_b)
+        common = F.least(F.col("a_differs") - only("a", "b"), F.col("b_differs") - only("b", "a"))
+        least = F.col("a_differs") + F.col("b_differs") - 2 * common
+        near = (over + share) * least <= (over - share) * (n_a + n_b)
+        agree = bits(SKETCH // 64, lambda i: F.col(f"a_sketch{i}").bitwiseXOR(F.col(f"b_sketch{i}")))
+        unknown = F.col("a_differs").isNull() | F.col("b_differs").isNull()
+        return sizes & (agree <= F.lit(self.threshold.most_bits)) & (unknown | near)
 
-    def _across(self, members: DataFrame, links: DataFrame) -> DataFrame:
+    def _across(self, members: DataFrame, centres: DataFrame, deltas: DataFrame) -> DataFrame:
         """Candidate pairs of nodes that share a bucket and are in different components.
 
         The largest component of a bucket meets the rest of it, and the rest meets itself.
         """
+        links = deltas.where("linked").select(F.col("centre").alias("a"), F.col("node").alias("b"))
         labelled = as_table(joined(members, components(links), ["node"], "left").withColumn(
             "comp", F.coalesce("root", "node")).drop("root"), "near-labelled")
         largest = (labelled.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key")
                    .agg(F.max(F.struct("n", "comp")).alias("top"), F.count("*").alias("comps"))
                    .where("comps > 1").select("key", F.col("top.comp").alias("top")))
-        open_ = as_table(joined(labelled, largest, ["key"]).withColumn("rest", F.col("comp") != F.col("top"))
-                         .drop("top"), "near-open")
-        left = open_.where("rest").select("key", F.col("comp").alias("comp_a"), F.col("info").alias("info_a"))
-        right = open_.select("key", F.col("comp").alias("comp_b"), F.col("info").alias("info_b"), "rest")
-        fits = ((left["key"] == right["key"]) & (F.col("comp_a") != F.col("comp_b"))
-                & (~F.col("rest") | (F.col("info_a.node") < F.col("info_b.node")))
-                & self.threshold.candidates("info_a", "info_b"))
-        return left.join(right, fits).select(
-            F.least("info_a.node", "info_b.node").alias("a"), F.greatest("info_a.node", "info_b.node").alias("b")).distinct()
+        known = largest.join(centres.select("key", F.col("centre.node").alias("centre")), "key")
+        zero = F.array(*[F.lit(0).cast("long")] * DELTA_WORDS)
+        differences = deltas.select("centre", "node", F.struct("differs", "bits").alias("delta"))
+        itself = F.when(F.col("node") == F.col("centre"), F.struct(F.lit(0).alias("differs"), zero.alias("bits")))
+        open_ = joined(joined(labelled, known, ["key"]), differences, ["centre", "node"], "left")
+        delta = F.coalesce(itself, "delta")
+        numbers = [F.col("info.n").alias("n"), delta["differs"].alias("differs"),
+                   *[F.col("info.sketch")[i].alias(f"sketch{i}") for i in range(SKETCH // 64)],
+                   *[delta["bits"][i].alias(f"bits{i}") for i in range(DELTA_WORDS)]]
+        open_ = as_table(open_.select("key", "comp", "node", (F.col("comp") != F.col("top")).alias("rest"), *numbers),
+                         "near-open")
+        left = open_.where("rest").select("key", *[F.col(c).alias("a_" + c) for c in open_.columns if c != "key"])
+        right = open_.select("key", *[F.col(c).alias("b_" + c) for c in open_.columns if c != "key"])
+        met = ((left["key"] == right["key"]) & (F.col("a_comp") != F.col("b_comp"))
+               & (~F.col("b_rest") | (F.col("a_node") < F.col("b_node"))) & self._fits())
+        return left.join(right, met).select(
+            F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
 
     def roots(self) -> DataFrame:
         """(node, root) of all nodes that are linked with another."""
         members = self._members()
         sets = self._sets(members)
-        tested = as_table(self._around_centres(members), "near-pairs")
-        links = self._confirmed(tested, sets)
-        left = self._across(members, links).join(tested, ["a", "b"], "left_anti")
-        return components(links.union(self._confirmed(left, sets)))
+        centres = as_table(members.groupBy("key").agg(F.max("info").alias("centre")), "near-centres")
+        deltas = self._around_centres(members, centres, sets)
+        first = deltas.where("linked").select(F.col("centre").alias("a"), F.col("node").alias("b"))
+        return components(first.union(self._confirmed(self._across(members, centres, deltas), sets)))
 
     def labelled(self) -> DataFrame:
         """The rows with ``first`` of their component: its smallest id and the row that has it."""

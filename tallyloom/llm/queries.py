@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import classifier, embedding_dedup, minhash, mixing, pii, quality_rules, sentencepiece, sharding, warc
-from tallyloom.llm.common import table
+from tallyloom.llm import classifier, embedding_dedup, minhash, mixing, pii, quality_rules, sentencepiece, sharding, url_filter, warc
+from tallyloom.llm.common import joined, table
 from tallyloom.session import scratch_path
 
 # Read on the driver only; its tables go to the tasks.
@@ -93,3 +93,18 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_embedding_dedup")
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link(table(spark, sf_dir, "embeddings"))
+
+
+URL_RULES = [url_filter.Fixed("block", "net", "/"), url_filter.Fixed("allow", "example.net", "/en/"),
+             url_filter.Fixed("block", "example.com", "/de/"), url_filter.Fixed("allow", "org", "/fr/")]
+
+
+@query("op5_url_filter")
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page is labelled by the document whose number ends its path: bad if poor or toxic."""
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    number = F.regexp_extract(url_filter.path_of(F.col("url")), r"/([0-9]{1,18})(?:\.[a-z]+|/)?$", 1)
+    numbered = pages.select("url", F.when(number != "", number).cast("long").alias("doc_id"))
+    bad = labels.groupBy("doc_id").agg(F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    labelled = joined(numbered, bad, ["doc_id"]).select("url", "bad")
+    return url_filter.judge(pages, labelled, URL_RULES).drop("url")
