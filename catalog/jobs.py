@@ -333,6 +333,81 @@ def _(t):
     return read_layout(t.spark, path, "19970210", "19980515").select(*orders(t).columns)
 
 
+FEED_SQL = f"""
+    select {FEED_CODE_SQL.format(c='d.ts_code')} as symbol,
+           {ISO_SQL.format(c='d.trade_date')} as date, d.low, d.volume, a.factor
+    from (select * from v_daily where {LISTED_SQL}) d
+    left join v_adj a on a.ts_code = d.ts_code and a.trade_date = d.trade_date"""
+
+
+def _feed(t):
+    return daily_feed({"daily": listed(t), "adj": t.view("v_adj")}, ["low", "volume"])
+
+
+@query("layout_append", """
+    select strftime(o_orderdate, '%Y%m') as period, count(*) as n_rows, min(o_orderkey) as low,
+           max(o_orderkey) as high from {orders} group by 1""")
+def _(t):
+    """Saved in two halves by month: the second save leaves the first one's months alone."""
+    path = scratch_path(t.spark, "layout")
+    half = F.substring("order_day", 5, 2).cast("int") <= 6
+    for part in (half, ~half):
+        layout.write_partitioned(orders(t).where(part), path, F.lit("MONTHLY"), F.col("order_day"))
+    return read_layout(t.spark, path).groupBy("period").agg(
+        F.count("*").alias("n_rows"), F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high"))
+
+
+@query("layout_replace", ORDERS_SQL + """
+    where strftime(o_orderdate, '%Y') <> '1997' or o_orderpriority <> '5-LOW'""")
+def _(t):
+    """The months of a year written again with fewer rows, nothing else touched."""
+    path = scratch_path(t.spark, "layout")
+    layout.write_partitioned(orders(t), path, F.lit("MONTHLY"), F.col("order_day"))
+    fewer = orders(t).where((F.substring("order_day", 1, 4) == "1997") & (F.col("o_orderpriority") != "5-LOW"))
+    layout.write_partitioned(fewer, path, F.lit("MONTHLY"), F.col("order_day"))
+    return read_layout(t.spark, path).select(*orders(t).columns)
+
+
+@query("layout_symbols", """
+    select lpad(cast(o_custkey as varchar), 6, '0') as period, count(*) as n_rows
+    from {orders} group by 1""")
+def _(t):
+    """Symbols of digits keep their zeros."""
+    path = scratch_path(t.spark, "layout")
+    symbol = F.lpad(F.col("o_custkey").cast("string"), 6, "0")
+    rows = orders(t).withColumn("symbol", symbol)
+    layout.write_partitioned(rows, path, F.lit("SYMBOL"), F.lit(None).cast("string"), F.col("symbol"))
+    return read_layout(t.spark, path).groupBy("period").agg(F.count("*").alias("n_rows"))
+
+
+@query("layout_rejects", """
+    select o_orderkey, case when o_orderstatus = 'P' then 'unknown_grain' else 'date_not_yyyymmdd' end as error
+    from {orders} where o_orderstatus in ('P', 'O')
+    union all select count(*), 'stored' from {orders} where o_orderstatus = 'F'""")
+def _(t):
+    """Requests that cannot be stored are set apart, each with its reason; the rest is stored."""
+    path, run = scratch_path(t.spark, "layout"), scratch_path(t.spark, "run")
+    grain = F.when(F.col("o_orderstatus") == "P", "HOURLY").otherwise("DAILY")
+    day = F.when(F.col("o_orderstatus") == "O", F.lit("2020-01-05")).otherwise(F.col("order_day"))
+    layout.write_partitioned(orders(t), path, grain, day,
+                             rejects=lambda rows: writers.write_rejects(rows, run, "r1"))
+    rejected = t.spark.read.parquet(f"{run}/rejects/r1").select(
+        "o_orderkey", F.array_join("errors", ",").alias("error"))
+    return rejected.union(read_layout(t.spark, path).agg(F.count("*"), F.lit("stored")))
+
+
+@query("entity_append", f"""
+    select upper(symbol) as symbol, date, low from ({FEED_SQL}) x""")
+def _(t):
+    """Per-entity files saved for two sets of entities, one after the other, and read back."""
+    path, feed = scratch_path(t.spark, "feed"), _feed(t)
+    even = F.pmod(F.crc32("symbol"), F.lit(2)) == 0
+    for part in (even, ~even):
+        writers.write_per_entity(feed.where(part), path, "symbol", "date", ["date", "low"], upper=True)
+    return writers.read_per_entity(t.spark, path, "date date, low double, symbol string").select(
+        "symbol", F.col("date").cast("string").alias("date"), "low")
+
+
 @query("read_back", "select count(*) as n_rows, 6 as n_columns, true as same_schema from {orders}")
 def _(t):
     path = scratch_path(t.spark, "orders")
@@ -350,17 +425,6 @@ def _(t):
     return t.spark.read.parquet(path).agg(F.count("*").alias("n_rows"))
 
 
-FEED_SQL = f"""
-    select {FEED_CODE_SQL.format(c='d.ts_code')} as symbol,
-           {ISO_SQL.format(c='d.trade_date')} as date, d.low, d.volume, a.factor
-    from (select * from v_daily where {LISTED_SQL}) d
-    left join v_adj a on a.ts_code = d.ts_code and a.trade_date = d.trade_date"""
-
-
-def _feed(t):
-    return daily_feed({"daily": listed(t), "adj": t.view("v_adj")}, ["low", "volume"])
-
-
 @query("per_entity_feed", f"""
     select upper(symbol) as symbol, count(*) as n_rows, count(*) - count(date) as null_date,
            count(*) - count(low) as null_low, count(*) - count(volume) as null_volume,
@@ -479,6 +543,29 @@ def _history(t, name, extracts) -> DataFrame:
                                                 "n_versions")
 
 
+@query("snapshot_content", ORDERS_SQL.replace("o_totalprice,", "o_totalprice + 1 as o_totalprice,"))
+def _(t):
+    """What readers get after an update: the rows of the new version, and nothing unpublished around."""
+    store = _store(t, "content")
+    store.save(orders(t), "orders")
+    store.save_computed(orders(t), "orders")  # unchanged: leaves nothing behind
+    store.save(orders(t).withColumn("o_totalprice", F.col("o_totalprice") + 1), "orders")
+    return store.read("orders")
+
+
+@query("fingerprint_change", """
+    select o_orderkey, true as differs from (select min(o_orderkey) as o_orderkey from {orders}) x""")
+def _(t):
+    """One changed cell gives another fingerprint."""
+    first = orders(t).agg(F.min("o_orderkey")).scalar()
+    changed = orders(t).withColumn("o_totalprice", F.when(
+        F.col("o_orderkey") == first, F.col("o_totalprice") + 0.01).otherwise(F.col("o_totalprice")))
+    both = fingerprint(orders(t)).unionByName(fingerprint(changed)).agg(
+        F.count_distinct("hash_sum", "hash_xor").alias("n"))
+    return both.select(orders(t).agg(F.min("o_orderkey").alias("k")).scalar().alias("o_orderkey"),
+                       (F.col("n") == 2).alias("differs"))
+
+
 @query("fingerprint", "select count(*) as n_rows, cast(1 as bigint) as n_fingerprints from {orders}")
 def _(t):
     moved = orders(t).repartition(5, "o_orderstatus").sortWithinPartitions(F.desc("o_orderkey"))

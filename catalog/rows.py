@@ -375,6 +375,17 @@ def _(t):
     return mapped.select("ts_code", "list_status", "new_ts_code")
 
 
+@query("code_remap_repeated", """
+    select s.ts_code, case when m.new_code is null then s.ts_code
+      else greatest(m.new_code, reverse(m.new_code)) || substr(s.ts_code, 7) end as new_ts_code
+    from v_security s left join v_codemap m on m.old_code = s.symbol""")
+def _(t):
+    """An old code with several new ones: one row per row, the largest new code."""
+    twice = t.view("v_codemap").select("old_code", "new_code")
+    twice = twice.union(twice.select("old_code", F.reverse("new_code")))
+    return lookup.remap_code(t.view("v_security"), twice, "ts_code", "new_ts_code").select("ts_code", "new_ts_code")
+
+
 @query("master_remapped", """
     select coalesce(m.new_code || substr(s.ts_code, 7), s.ts_code) as ts_code,
            coalesce(m.new_code, s.symbol) as symbol, s.list_status, s.list_date, s.delist_date

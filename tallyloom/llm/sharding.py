@@ -63,22 +63,25 @@ def _hashed(docs: DataFrame, key: str, size: Column) -> DataFrame:
 
 
 def _leaves(rows: DataFrame, low: int, high: int, limit: int) -> tuple[DataFrame, DataFrame]:
-    """(prefix, bytes) of the shards between two depths, and of the cells that need more bits.
+    """(prefix, bytes) of the shards between two depths, and the cells that need more bits.
 
-    All prefixes at ``low`` are known to be too large, but for the empty one.
+    All prefixes at ``low`` are known to be too large, but for the empty one. Of the cells it is told
+    whether all their rows have one key, or even one content.
     """
-    cells = rows.groupBy(_prefix(high).alias("cell")).agg(F.sum(OWN + "bytes").alias("bytes"))
+    key, content = F.col(OWN + "key"), F.col(OWN + "content")
+    cells = as_table(rows.groupBy(_prefix(high).alias("cell")).agg(
+        F.sum(OWN + "bytes").alias("bytes"), (F.min(key) == F.max(key)).alias("one_key"),
+        (F.min(content) == F.max(content)).alias("one_content")), "shard-cells")
     depths = F.sequence(F.lit(low), F.lit(high))
-    tree = as_table(cells.select(F.explode(depths).alias("depth"), "cell", "bytes")
-                    .groupBy(F.expr("substring(cell, 1, depth)").alias("prefix"))
-                    .agg(F.sum("bytes").alias("bytes")), "shard-tree")
+    tree = (cells.select(F.explode(depths).alias("depth"), "cell", "bytes")
+            .groupBy(F.expr("substring(cell, 1, depth)").alias("prefix")).agg(F.sum("bytes").alias("bytes")))
     full = tree.where(F.col("bytes") > limit).select(F.col("prefix").alias("parent"))
     fits = tree.where(F.col("bytes") <= limit)
     below = fits.withColumn("parent", F.expr("substring(prefix, 1, length(prefix) - 1)")).where("prefix <> ''")
     shards = below.join(full, "parent", "left_semi").select("prefix", "bytes")
     if low == 0:
         shards = shards.union(fits.where("prefix = ''").select("prefix", "bytes"))
-    return shards, tree.where((F.length("prefix") == high) & (F.col("bytes") > limit))
+    return shards, cells.where(F.col("bytes") > limit).drop("bytes")
 
 
 def _directory(shards: DataFrame, high: int) -> DataFrame:
@@ -109,23 +112,24 @@ def assign(docs: DataFrame, key: str, size: Column, limit: int) -> DataFrame:
         known = _directory(shards, high)
         placed = open_rows.withColumn(OWN + "cell", _prefix(high))
         done.append(joined(placed, known.withColumnRenamed("cell", OWN + "cell"), [OWN + "cell"]).drop(OWN + "cell"))
-        if over.isEmpty():
+        one_key, one_content = over.agg(F.min("one_key"), F.min("one_content")).first()
+        if one_key is None:
             break
-        if high == 2 * BITS:
-            done.append(_copies(open_rows, docs.columns, over, limit))
-            break
-        wanted = over.select(F.col("prefix").alias(OWN + "cell"))
+        wanted = over.select(F.col("cell").alias(OWN + "cell"))
         open_rows = joined(placed, wanted, [OWN + "cell"], "left_semi").drop(OWN + "cell")
+        if one_key and one_content:
+            done.append(_copies(open_rows, docs.columns, limit))
+            break
         open_narrow = as_table(open_rows.select(OWN + "bytes", OWN + "key", OWN + "content"), "shard-open")
-        low, high = high, min(high + STEP, BITS if high < BITS else 2 * BITS)
+        # Further bits of a key's hash are of no use where each cell holds one key.
+        low, high = high, (BITS + STEP if one_key and high < BITS else
+                           min(high + STEP, BITS if high < BITS else 2 * BITS))
     return reduce(DataFrame.union, [d.select(*docs.columns, OWN + "bytes", OWN + "id", OWN + "total") for d in done])
 
 
-def _copies(rows: DataFrame, columns: list[str], over: DataFrame, limit: int) -> DataFrame:
+def _copies(rows: DataFrame, columns: list[str], limit: int) -> DataFrame:
     """Rows alike in everything, given out again: as many to each shard as fit, one at least."""
-    wanted = over.select(F.col("prefix").alias(OWN + "cell"))
-    alike = joined(rows.withColumn(OWN + "cell", _prefix(2 * BITS)), wanted, [OWN + "cell"], "left_semi")
-    counted = alike.groupBy(OWN + "cell").agg(
+    counted = rows.withColumn(OWN + "cell", _prefix(2 * BITS)).groupBy(OWN + "cell").agg(
         F.min(F.struct(*columns)).alias("row"), F.min(OWN + "bytes").alias(OWN + "bytes"), F.count("*").alias("copies"))
     fit = F.greatest(F.lit(1).cast("long"), F.floor(F.lit(limit) / F.greatest(F.col(OWN + "bytes"), F.lit(1))))
     each = counted.withColumn("fit", fit).withColumn(

@@ -2,7 +2,9 @@
 
 Each row is sent to the periods it takes part in and the periods are grouped, so a symbol's
 history is never gathered: the grouping key is (symbol, period), not the symbol.
-A period is numbered ``year * 4 + quarter - 1``; (symbol, period) must be unique.
+A period is numbered ``year * 4 + quarter - 1``. (symbol, period) must be unique; a period that is
+there twice stops the job and is named, as either value could be the right one. Choose with one of
+the strategies in ``operators/resolve.py`` first.
 """
 
 from __future__ import annotations
@@ -17,6 +19,14 @@ def period_number(year: Column, quarter: Column) -> Column:
     return year * 4 + quarter - 1
 
 
+def _once(merged: DataFrame, key: str) -> DataFrame:
+    """Periods that are there, each once; ``rows`` counts a period's own rows."""
+    named = F.concat_ws(" ", F.lit("repeated period:"), F.col(key).cast("string"),
+                        F.floor(F.col("p") / 4).cast("string"), (F.col("p") % 4 + 1).cast("string"))
+    single = F.when(F.col("rows") > 1, F.raise_error(named).cast("boolean")).otherwise(F.col("rows") == 1)
+    return merged.where(single)
+
+
 def _with_shifted(df: DataFrame, key: str, year: str, quarter: str, value: str,
                   shift: int) -> DataFrame:
     """Each period with its own value and that of ``shift`` periods before."""
@@ -27,9 +37,9 @@ def _with_shifted(df: DataFrame, key: str, year: str, quarter: str, value: str,
                      F.lit(None).cast("double").alias("now"), F.col(value).alias("then"))
     sent = df.withColumn(value, F.col(value).cast("double")).select(
         key, F.inline(F.array(own, later)))
-    merged = sent.groupBy(key, "p").agg(F.max("own").alias("own"), F.max("now").alias("now"),
+    merged = sent.groupBy(key, "p").agg(F.count_if("own").alias("rows"), F.max("now").alias("now"),
                                         F.max("then").alias("then"))
-    return merged.where("own").select(
+    return _once(merged, key).select(
         key, F.floor(F.col("p") / 4).cast("int").alias(year),
         (F.col("p") % 4 + 1).cast("int").alias(quarter), "now", "then")
 
@@ -64,9 +74,9 @@ def trailing_year(df: DataFrame, key: str, year: str, quarter: str, value: str,
                      F.explode(F.sequence(number, number + 3)).alias("p"))
     own = F.col("_from") == F.col("p")
     merged = sent.groupBy(key, "p").agg(
-        F.max(own).alias("own"), F.max(F.when(own, F.col("_v"))).alias("now"),
+        F.count_if(own).alias("rows"), F.max(F.when(own, F.col("_v"))).alias("now"),
         F.count("_v").alias("n"), F.sum("_v").alias("total"))
-    return merged.where("own").select(
+    return _once(merged, key).select(
         key, F.floor(F.col("p") / 4).cast("int").alias(year),
         (F.col("p") % 4 + 1).cast("int").alias(quarter), F.col("now").alias(value),
         F.when(F.col("n") == 4, F.col("total")).alias(target))

@@ -62,18 +62,21 @@ def add_security(df: DataFrame, master: DataFrame, source: str,
 
 def remap_code(df: DataFrame, code_map: DataFrame, source: str,
                target: str | None = None) -> DataFrame:
-    """New code by digits, ``.EX`` kept; an unmapped or null code stays as it is."""
+    """New code by digits, ``.EX`` kept; an unmapped or null code stays as it is.
+
+    One row per row: of several new codes for one old code the largest is taken.
+    """
     target = target or source
     old = F.col(source)
     # A split code keeps its exchange; the digits before the dot are normalised like the rest.
     head = F.when(old.contains("."), code_digits(F.split_part(old, F.lit("."), F.lit(1))))
     rows = df.withColumn("_code", F.coalesce(head, code_digits(old)))
-    mapping = code_map.select(F.col("old_code").alias("_code"), F.col("new_code").alias("_new"))
-    joined = rows.join(mapping, "_code", "left")
+    mapping = code_map.where("old_code is not null").groupBy(F.col("old_code").alias("_code")).agg(F.max("new_code").alias("_new"))
+    joined = rows.join(tagged(mapping, ["_code"], rows), key_matches(["_code"]), "left")
     mapped = F.concat(F.col("_new"),
                       F.when(old.contains("."), F.concat(F.lit("."), code_suffix(old)))
                       .otherwise(F.lit("")))
-    return joined.withColumn(target, F.coalesce(mapped, old)).drop("_code", "_new")
+    return joined.withColumn(target, F.coalesce(mapped, old)).drop("_code", "_new", "_key_hash", "_key")
 
 
 def remapped_master(master: DataFrame, code_map: DataFrame) -> DataFrame:

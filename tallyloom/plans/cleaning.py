@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,8 +26,12 @@ def clean_sources(sources: Mapping[str, DataFrame], settings: Mapping[str, Mappi
 
 
 def landed_source(spark: SparkSession, root: str, method: str, start: str | None = None,
-                  end: str | None = None, max_files: int | None = None) -> DataFrame:
-    """The landed files of a method with provenance and row order, optionally of a period."""
+                  end: str | None = None, max_files: int | None = None,
+                  report: Callable[[DataFrame], object] | None = None) -> DataFrame:
+    """The landed files of a method with provenance and row order, optionally of a period.
+
+    Files that cannot be read to their end are left out whole; ``report`` gets them.
+    """
     files = landed_files(spark, root, method)
     if start is not None and end is not None:
         files = in_range(files, start, end)
@@ -35,23 +39,26 @@ def landed_source(spark: SparkSession, root: str, method: str, start: str | None
     if not paths:
         return landing_scan(spark, [], position=True)
     notes = [p.removesuffix(".parquet") + ".json" for p in paths]
-    return landing_scan(spark, paths, sidecar_digests(spark, notes), position=True)
+    return landing_scan(spark, paths, sidecar_digests(spark, notes), position=True,
+                        unreadable="skip", report=report)
 
 
 def clean_method(spark: SparkSession, root: str, method: str, steps: Sequence[Mapping],
                  registry: Mapping[str, Step], start: str | None = None, end: str | None = None,
-                 max_files: int | None = None) -> DataFrame:
+                 max_files: int | None = None,
+                 report: Callable[[DataFrame], object] | None = None) -> DataFrame:
     """One method from its landed files through the cleaning steps."""
-    rows = landed_source(spark, root, method, start, end, max_files)
+    rows = landed_source(spark, root, method, start, end, max_files, report)
     return run_steps(rows, steps, registry).drop(ROW_IN_FILE)
 
 
 def clean_and_save(spark: SparkSession, root: str, method: str, steps: Sequence[Mapping],
                    registry: Mapping[str, Step], path: str, fmt: str = "parquet",
                    start: str | None = None, end: str | None = None,
-                   max_files: int | None = None) -> int:
+                   max_files: int | None = None,
+                   report: Callable[[DataFrame], object] | None = None) -> int:
     """The cleaned table of a method, written; returns its row count."""
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}, not {fmt}")
-    cleaned = clean_method(spark, root, method, steps, registry, start, end, max_files)
+    cleaned = clean_method(spark, root, method, steps, registry, start, end, max_files, report)
     return write_cleaned(cleaned, path, fmt)

@@ -16,6 +16,7 @@ from tallyloom.operators.keyed import rows_with_key
 from tallyloom.operators.lookup import left_fold
 from tallyloom.operators.measures import calendar_days, instruments
 from tallyloom.operators.reshape import statements_to_point_in_time
+from tallyloom.sinks.layout import write_partitions
 from tallyloom.sinks.writers import in_ranges, write_feed_lists, write_per_entity
 
 
@@ -55,11 +56,13 @@ def point_in_time_feed(sources: Mapping[str, DataFrame], interval: str = "quarte
     return statements_to_point_in_time(sources, interval, field_names)
 
 
-def write_point_in_time(feed: DataFrame, path: str) -> None:
-    """All statement tables in one write, a directory per table and symbol."""
+def write_point_in_time(feed: DataFrame, path: str, replace: str = "partitions") -> None:
+    """All statement tables in one write, a directory per table and symbol.
+
+    Other tables and symbols keep their files; ``replace="all"`` drops them.
+    """
     keys = ("data_type", "symbol", "datetime", "field")
-    (in_ranges(feed, *keys).write.mode("overwrite").option("header", True)
-     .partitionBy("data_type", "symbol").csv(path))
+    write_partitions(in_ranges(feed, *keys), path, ("data_type", "symbol"), "csv", replace, header=True)
 
 
 def run_converters(converters: Mapping[str, Callable[[], int]]) -> list[dict]:

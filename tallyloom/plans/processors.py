@@ -147,8 +147,10 @@ def run(df: DataFrame, name: str, store: SnapshotStore, dataset: str,
 
     def check(written: DataFrame) -> None:
         keys = processor.keys or statement_keys(written.columns)
-        if all(k in written.columns for k in keys):
-            require_unique(written, keys, rejects_root, run_id)
+        missing = [k for k in keys if k not in written.columns]
+        if missing:
+            raise ValueError(f"{name}: key columns {missing} are missing, uniqueness cannot be checked")
+        require_unique(written, keys, rejects_root, run_id)
         if processor.reconciles and section:
             require_reconciled(reconciliation(written, name, section))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,14 +61,43 @@ def with_layout(df: DataFrame, grain: str, date: str, symbol: str) -> DataFrame:
         "period": F.when(valid, partition_label(g, d, s))})
 
 
+REPLACE_MODES = ("partitions", "all")
+
+
+def write_partitions(rows: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet",
+                     replace: str = "partitions", **options) -> None:
+    """Rows under ``<by>=`` folders.
+
+    ``partitions`` replaces exactly the folders that the rows fall into and leaves all others as they
+    are; ``all`` replaces the whole table. A folder is replaced as a whole, so a shorter rewrite
+    leaves no file of the longer one.
+    """
+    if replace not in REPLACE_MODES:
+        raise ValueError(f"replace must be one of {REPLACE_MODES}, not {replace}")
+    mode = "dynamic" if replace == "partitions" else "static"
+    (rows.write.mode("overwrite").format(fmt).options(partitionOverwriteMode=mode, **options)
+     .partitionBy(*by).save(path))
+
+
 def write_partitioned(df: DataFrame, path: str, grain: Column, date: Column,
-                      symbol: Column | None = None) -> None:
-    """Rows written under ``grain=/period=``.
+                      symbol: Column | None = None, replace: str = "partitions",
+                      rejects: Callable[[DataFrame], object] | None = None) -> None:
+    """Rows written under ``grain=/period=``, each request asked first.
 
-    The rebalance hint gathers each period for large files and lets adaptive execution split a
-    period that is too large for one task.
+    Rows whose request cannot be stored go to ``rejects`` with their ``errors``; without it the first
+    of them stops the write. The rebalance hint gathers each period for large files and lets adaptive
+    execution split a period that is too large for one task.
     """
-    label = partition_label(grain, date, symbol if symbol is not None else F.lit(None).cast("string"))
+    symbol = symbol if symbol is not None else F.lit(None).cast("string")
+    errors = request_errors(grain, date, symbol)
+    if rejects is not None:
+        rejects(df.withColumn("errors", errors).where(F.size("errors") > 0))
+        df = df.where(F.size(errors) == 0)
+        label = partition_label(grain, date, symbol)
+    else:
+        stop = F.raise_error(F.concat(F.lit("request cannot be stored: "), F.array_join(errors, ", ")))
+        label = F.when(F.size(errors) > 0, stop.cast("string")).otherwise(
+            partition_label(grain, date, symbol))
     rows = df.withColumns({"grain": F.upper(grain), "period": label})
-    rows = rows.hint("rebalance", "grain", "period")
-    rows.write.mode("overwrite").partitionBy("grain", "period").parquet(path)
+    write_partitions(rows.hint("rebalance", "grain", "period"), path, ("grain", "period"),
+                     replace=replace)

@@ -23,6 +23,10 @@ MANIFEST_SCHEMA = (
     "info string, created_at timestamp, updated_at timestamp")
 
 
+class StaleError(RuntimeError):
+    """Another save published a version of the dataset while this one was being made."""
+
+
 class ShrinkError(ValueError):
     """The new content has fewer rows than the current version and nothing confirmed it."""
 
@@ -120,9 +124,9 @@ class SnapshotStore:
         if known is not None:
             return known
         version, path, facts = self._write(df, dataset)
-        if _text(facts) != _text(seen):  # the extract changed between the two reads
-            known = self._judge(dataset, facts, old, shrink, second, force)
-        return known or self._publish(df, dataset, info, version, path, facts, old, check)
+        judged = _text(facts) == _text(seen)  # else the extract changed between the two reads
+        return self._settle(df, dataset, info, shrink, second, force, version, path, facts, old,
+                            check, judged)
 
     def save_computed(self, df: DataFrame, dataset: str, info: str = "", shrink: str = "raise",
                       second: Callable[[], DataFrame] | None = None, force: bool = False,
@@ -134,8 +138,26 @@ class SnapshotStore:
         """
         old = self.latest(dataset)
         version, path, facts = self._write(df, dataset)
-        known = self._judge(dataset, facts, old, shrink, second, force)
-        return known or self._publish(df, dataset, info, version, path, facts, old, check)
+        return self._settle(df, dataset, info, shrink, second, force, version, path, facts, old, check)
+
+    def _settle(self, df, dataset, info, shrink, second, force, version, path, facts, old, check,
+                judged: bool = False) -> Outcome:
+        """Publishes a written version, or deletes it: nothing that is not published stays."""
+        try:
+            known = None if judged else self._judge(dataset, facts, old, shrink, second, force)
+            outcome = known or self._publish(df, dataset, info, version, path, facts, old, check)
+        except Exception:
+            self._discard(path)
+            raise
+        if known is not None:
+            self._discard(path)
+        return outcome
+
+    def _discard(self, path: str) -> None:
+        """Deletes a version that this save wrote and did not publish."""
+        context = self.spark.sparkContext
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
     def _judge(self, dataset, facts, old, shrink, second, force) -> Outcome | None:
         """Skip for unchanged content, an error for refused content, None for content to publish."""
@@ -173,6 +195,10 @@ class SnapshotStore:
         """Checks the written version, then adds the manifest row that makes it current."""
         if check is not None:
             check(self.spark.read.parquet(path))
+        there = self.latest(dataset)
+        if (there.version if there else None) != (old.version if old else None):
+            raise StaleError(f"{dataset}: {there.version if there else 'no version'} is current, "
+                             f"this save began with {old.version if old else 'none'}")
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         row = (dataset, version, path, facts["rows"], len(df.columns), _text(facts),
                old.version if old else None, old.rows if old else None,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.operators.columns import ordered
+from tallyloom.sinks.layout import write_partitions
 
 FORMATS = ("parquet", "csv")
 
@@ -73,8 +74,11 @@ def in_ranges(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def write_per_entity(df: DataFrame, path: str, key: str, day: str,
-                     columns: Sequence[str] | None = None, upper: bool = False) -> int:
-    """One CSV directory per entity, in date order; returns the number of entities.
+                     columns: Sequence[str] | None = None, upper: bool = False,
+                     replace: str = "partitions") -> int:
+    """One CSV directory per entity, in date order; returns the number of entities there.
+
+    Entities that are not in the rows keep their files; ``replace="all"`` drops them.
 
     Ranges over (entity, day) rather than a hash of the entity: small entities share a task, an
     entity with much of the data is spread over several tasks and gets one file per range, and
@@ -85,8 +89,7 @@ def write_per_entity(df: DataFrame, path: str, key: str, day: str,
     if day not in kept:
         kept.append(day)
     rows = df.select(label.alias(key), *[f"`{c}`" for c in kept])
-    (in_ranges(rows, key, day)
-     .write.mode("overwrite").option("header", True).partitionBy(key).csv(path))
+    write_partitions(in_ranges(rows, key, day), path, [key], "csv", replace, header=True)
     # Counted from the directory names; no file is opened.
     files = df.sparkSession.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
     return files.select(key).distinct().count()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.functions.dates import path_period, period_end, period_start
 from tallyloom.sources.scan import empty, file_stem, is_missing_path
@@ -59,10 +60,13 @@ def read_layout(spark: SparkSession, path: str, start: str | None = None,
     """S5 on a table partitioned by ``grain`` and ``period``.
 
     The range is a condition on the partition columns alone, so Spark lists and reads only the
-    partitions in it.
+    partitions in it. Both are declared as text: an inferred period would lose leading zeros.
     """
-    label = F.col("period").cast("string")
-    table = spark.read.parquet(path).withColumn("period", label)
+    label = F.col("period")
+    stored = [f for f in spark.read.parquet(path).schema if f.name not in ("grain", "period")]
+    declared = T.StructType([*stored, T.StructField("grain", T.StringType()),
+                             T.StructField("period", T.StringType())])
+    table = spark.read.schema(declared).parquet(path)
     if start is None or end is None:
         return table
     first = period_start(label)
@@ -71,7 +75,10 @@ def read_layout(spark: SparkSession, path: str, start: str | None = None,
 
 
 def available_periods(files: DataFrame) -> DataFrame:
-    """The distinct period labels in order. Files kept per symbol carry no period."""
+    """The distinct period labels in order. Files kept per symbol carry no period.
+
+    Six digits are a month only where the month is one: a folder named 000001 is a symbol.
+    """
     return files.where(F.col("period_start").isNotNull()).select("period").distinct().orderBy(
         "period")
 

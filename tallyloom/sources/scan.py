@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -17,9 +17,6 @@ from tallyloom.operators.resolve import distinct_rows
 # Position of a row in its file; with ``file_path`` it is the order the rows were landed in.
 ROW_IN_FILE = "file_row"
 
-# A sidecar row is a path and a digest, below 1 KB; up to this many are broadcast.
-BROADCAST_FILES = 500_000
-
 
 def empty(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
     return spark.createDataFrame([], schema)
@@ -98,30 +95,52 @@ def file_digests(spark: SparkSession, path: str) -> DataFrame:
     return files.select(file_stem(F.col("path")).alias("stem"), F.md5("content").alias("file_md5"))
 
 
-def _footer_types(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, str]]:
-    """(path, column types) per file, read from the footers in tasks."""
-    def footers(batches):
+def _per_file(spark: SparkSession, paths: Sequence[str], look, schema: str) -> DataFrame:
+    """Rows that ``look(path, file system, path in it)`` yields for every file, in tasks."""
+    def each(batches):
         import pandas as pd
-        import pyarrow.parquet as pq
         from pyarrow import fs
+        names = [c.split()[0] for c in schema.split(", ")]
         for batch in batches:
             found = []
             for path in batch["path"]:
-                system, local = fs.FileSystem.from_uri(path.replace("file:///", "/", 1)
-                                                       .replace("file:/", "/", 1))
-                schema = pq.read_schema(local, filesystem=system)
-                found.append(";".join(f"{f.name}:{f.type}" for f in schema))
-            yield pd.DataFrame({"path": batch["path"], "types": found})
+                plain = path.replace("file:///", "/", 1).replace("file:/", "/", 1)
+                found += look(path, *fs.FileSystem.from_uri(plain))
+            yield pd.DataFrame(found, columns=names)
 
     files = spark.createDataFrame([(p,) for p in paths], "path string")
     slices = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
-    rows = files.repartition(slices).mapInPandas(footers, "path string, types string").collect()
-    return [(r.path, r.types) for r in rows]
+    return files.repartition(slices).mapInPandas(each, schema)
+
+
+def _footer_types(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, str]]:
+    """(path, column types) per file, read from the footers in tasks."""
+    def types(path, system, local):
+        import pyarrow.parquet as pq
+        schema = pq.read_schema(local, filesystem=system)
+        return [(path, ";".join(f"{f.name}:{f.type}" for f in schema))]
+
+    return [(r.path, r.types) for r in _per_file(spark, paths, types, "path string, types string").collect()]
+
+
+def unreadable_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, error) of the files that are missing or cannot be read to their end."""
+    def trial(path, system, local):
+        import pyarrow.parquet as pq
+        try:
+            with pq.ParquetFile(local, filesystem=system) as file:
+                for _ in file.iter_batches(batch_size=4096):
+                    pass
+        except Exception as error:  # whatever the reader says is the answer
+            return [(path, (str(error).splitlines() or [type(error).__name__])[0][:500])]
+        return []
+
+    return _per_file(spark, paths, trial, "path string, error string")
 
 
 def _merged_scan(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    rows = (spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True)
-            .option("ignoreMissingFiles", True).parquet(*paths))
+    rows = (spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", False)
+            .option("ignoreMissingFiles", False).parquet(*paths))
     return rows.select("*", F.col("_metadata.file_path").alias("file_path"),
                        F.col("_metadata.row_index").alias(ROW_IN_FILE))
 
@@ -143,26 +162,34 @@ def _union_of_kinds(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def landing_scan(spark: SparkSession, paths: Sequence[str], digests: DataFrame | None = None,
-                 expected: T.StructType | None = None, position: bool = False) -> DataFrame:
+                 expected: T.StructType | None = None, position: bool = False,
+                 unreadable: str = "raise",
+                 report: Callable[[DataFrame], object] | None = None) -> DataFrame:
     """Every file by column name, with ``file_path`` and ``file_md5``.
 
     ``position`` adds the row's place in its file, for steps that depend on row order.
 
-    Columns a file lacks are null; missing and unreadable files are skipped; no file at all gives
-    an empty frame. Columns that change type between files come as text unless ``expected`` says
+    A missing or broken file stops the job. With ``unreadable="skip"`` every file is first read to its
+    end; those that cannot be are left out whole, and ``report`` gets them as (path, error). No file
+    at all gives an empty frame. Columns a file lacks are null. Columns that change type between files come as text unless ``expected`` says
     otherwise, in which case they are cast leniently.
     """
     provenance = "file_path string, file_md5 string" + (
         f", {ROW_IN_FILE} bigint" if position else "")
+    if unreadable not in ("raise", "skip"):
+        raise ValueError(f"unreadable must be raise or skip, not {unreadable}")
     paths = list(paths)
+    if paths and unreadable == "skip":
+        bad = unreadable_files(spark, paths).collect()
+        if report is not None:
+            report(spark.createDataFrame([tuple(r) for r in bad], "path string, error string"))
+        gone = {r.path for r in bad}
+        paths = [p for p in paths if p not in gone]
     if not paths:
         return empty(spark, provenance)
     try:
         rows = _merged_scan(spark, paths)
     except AnalysisException as error:
-        if is_missing_path(error):
-            kept = [p for p in paths if _exists(spark, p)]
-            return landing_scan(spark, kept, digests, expected, position)
         if error.getCondition() != "CANNOT_MERGE_SCHEMAS":
             raise
         rows = _union_of_kinds(spark, paths)
@@ -178,20 +205,8 @@ def landing_scan(spark: SparkSession, paths: Sequence[str], digests: DataFrame |
                                  for f in expected if f.name in rows.columns})
     if digests is None:
         return rows.withColumn("file_md5", F.lit(None).cast("string"))
-    small = digests.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES
-    other = F.broadcast(digests) if small else digests
     with_stem = rows.withColumn("stem", file_stem(F.col("file_path")))
-    return with_stem.join(other, "stem", "left").drop("stem")
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("binaryFile").load(path)
-        return True
-    except AnalysisException as error:
-        if is_missing_path(error):
-            return False
-        raise
+    return with_stem.join(digests, "stem", "left").drop("stem")
 
 
 def merge_pages(pages: Sequence[DataFrame], spark: SparkSession | None = None,

@@ -181,9 +181,18 @@ def test_scan_with_type_drift_and_bad_files(spark, tmp_path, rows):
                               expected=spark.createDataFrame([], "v double").schema)
     assert rows(typed, "k", "v") == [("0", 1.5), ("1", None), ("2", 2.0)]
     (tmp_path / "bad.parquet").write_text("not parquet")
-    some = scan.landing_scan(spark, [paths[0], str(tmp_path / "bad.parquet"),
-                                     str(tmp_path / "gone.parquet")])
-    assert rows(some, "k") == [("0",)]
+    whole = pa.table({"k": [str(i) for i in range(50_000)], "v": [f"{i * 7919}" for i in range(50_000)]})
+    pq.write_table(whole, tmp_path / "half.parquet", row_group_size=5000)
+    content = bytearray((tmp_path / "half.parquet").read_bytes())
+    content[len(content) // 2:len(content) // 2 + 2000] = b"x" * 2000
+    (tmp_path / "half.parquet").write_bytes(bytes(content))
+    broken = [str(tmp_path / f"{name}.parquet") for name in ("bad", "half", "gone")]
+    with pytest.raises(Exception):
+        scan.landing_scan(spark, [paths[1], broken[1]]).collect()
+    listed = []
+    some = scan.landing_scan(spark, [paths[0], *broken], unreadable="skip", report=listed.append)
+    assert rows(some, "k") == [("0",)]  # a broken file is left out whole
+    assert sorted(r[0] for r in rows(listed[0], "path")) == sorted(broken)
     assert scan.landing_scan(spark, []).columns == ["file_path", "file_md5"]
 
 
