@@ -133,7 +133,7 @@ class Archive:
     def _begin(self) -> None:
         system, path = _filesystem(self.path)
         system.create_dir(path.rsplit("/", 1)[0], recursive=True)
-        self.stream = system.open_output_stream(path)
+        self.stream = system.open_output_stream(path, compression=None)  # no second time, whatever the suffix
         words = dictionary([r for _, _, r in self.waiting], self.settings)
         if words is not None:
             content = zstandard.ZstdCompressor(level=self.settings.level).compress(words.as_bytes())
@@ -264,7 +264,7 @@ def read(files: DataFrame, payloads: bool = False) -> DataFrame:
             for file in batch.column(0).to_pylist():
                 system, path = _filesystem(file)
                 rows, size = [], 0
-                with system.open_input_stream(path) as source:
+                with system.open_input_stream(path, compression=None) as source:
                     for headers, block in records(open_archive(source)):
                         if headers["warc-type"] == "warcinfo":
                             continue
