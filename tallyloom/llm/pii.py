@@ -36,7 +36,7 @@ OWN = "_pii_"
 
 # Kinds in their order, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
-_PART = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+_PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 EMAIL = (r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}+"
 CARD = r"[0-9](?:[ -]?+[0-9])++"

@@ -57,6 +57,19 @@ def test_base_spans(docs_of):
         assert set(filter(None, spans.split(","))) <= set(filter(None, r["spans"].split(",")))
 
 
+def test_addresses_with_zero_parts(docs_of):
+    texts = ["10.0.0.1", "0.0.0.0", "192.168.000.1", "127.0.0.1 and 8.8.8.8", "at 192.168.0.17.", "00.000.0000.0255",
+             "0.0.0.256", "10.0.0.1000", "10.0.0300.1", "0." * 400 + "0", "1." + "0" * 4000 + ".0.1", "0" * 4000 + ".0.0.999"]
+    docs = docs_of(list(enumerate(texts)))
+    rows = pii.counts_of(pii.find(docs, ["doc_id"]), ["doc_id"]).collect()
+    for r in rows:
+        counts, _ = base(texts[r["doc_id"]])
+        assert (r["n_email"], r["n_ip"], r["n_card"], r["n_phone"], r["base_sha256"]) == counts, texts[r["doc_id"]][:40]
+    assert [r["n_ip"] for r in sorted(rows, key=lambda r: r["doc_id"])][:9] == [1, 1, 1, 2, 1, 1, 0, 0, 0]
+    redacted = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
+    assert redacted[0] == "[IP]" and redacted[3] == "[IP] and [IP]" and redacted[4] == "at [IP]."
+
+
 def test_query_on_the_table(spark):
     texts = dict(duckdb.execute(f"select doc_id, text from '{SF_DIR}/documents.parquet'").fetchall())
     for r in QUERIES["op7_pii"](spark, SF_DIR).collect():
