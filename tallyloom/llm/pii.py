@@ -8,7 +8,9 @@ of the text around it.
 The trees are fitted without hand-made labels: a proposal that passes the base check of its kind is a
 positive, one that fails a negative, and the features leave the checks out. So a proposal is
 redacted if numbers of its form, in such surroundings, are nearly always valid: a card number with one
-wrong digit is, a run of digits within a hexadecimal token is not.
+wrong digit is, a run of digits within a hexadecimal token is not. The form is that of the usual writing:
+a spelt-out address is read as a plain one. Proposals that overlap a base span are redacted with
+it and are no negatives, and a span that two generators of a kind propose counts once.
 
 All features are bits. What the trees need from the corpus is one count per kind and bit pattern, so
 every proposal of every text is in the fit and at most ``4 * 2 ** FEATURES`` counts reach the
@@ -107,17 +109,32 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def _plain(kind: str, match: Column) -> Column:
+    """A match in the usual writing of its kind: at and dot as signs, groups apart by one separator."""
+    if kind == "email":
+        at = F.regexp_replace(match, r" ?[\[(](?:at|AT)[\])] ?| @ ?", "@")
+        return F.regexp_replace(at, r" ?[\[(](?:dot|DOT)[\])] ?", ".")
+    if kind == "card":
+        return F.regexp_replace(match, "[ ./_-]{2,3}|[./_]", " ")
+    return match
+
+
 def _bits(kind: str, s: Column) -> list[Column]:
     """Features of a span: its form, then what stands around it. None repeats a base check."""
-    match, before, after, digits = s["match"], s["before"], s["after"], _digits(s["match"])
+    match, before, after = _plain(kind, s["match"]), s["before"], s["after"]
+    digits = _digits(match)
+    if kind == "phone":  # valid by the number of digits, so groups take its place
+        first = [match.rlike("(?<![0-9])[0-9]{3,4}[ .-]?[0-9]{4}$"),
+                 match.rlike(r"^[0-9]{1,4}([./-])[0-9]{1,2}\1[0-9]{1,4}$"),
+                 match.contains("/")]
+    else:
+        first = [F.length(digits) >= 12, F.length(digits).between(9, 15), F.length(digits) < 9]
     return [
-        F.length(digits) >= 12,
-        F.length(digits).between(9, 15),
-        F.length(digits) < 9,
+        *first,
         match.rlike(r"[()\[\]]"),
         match.rlike("[0-9][ -][0-9]"),
         match.rlike("^[0-9]{4}(?:[ -]?[0-9]{4}){2,3}$"),
-        match.rlike(r"[A-Za-z]{2,}$"),
+        match.rlike(r"\.[A-Za-z]{2,}$"),
         match.rlike(r"[.][0-9]+[.]"),
         before.rlike(r"(?:^|\s)$"),
         before.rlike("[A-Za-z0-9=\"'_/:#]$"),
@@ -142,17 +159,35 @@ def _judged(kind: str, rank: int, spans: Column, valid: Column | None) -> Column
 _PROPOSALS = "array<struct<start:int,kind:int,end:int,base:boolean,bits:int>>"
 
 
+def _unlike(spans: Column, usual: Column) -> Column:
+    """The spans that are none of the usual ones."""
+    return F.filter(spans, lambda s: ~F.exists(usual, lambda u: (u["start"] == s["start"]) & (u["end"] == s["end"])))
+
+
 def propose(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep`` and all proposals of every row, base matches included."""
+    """``keep``, the text, the base spans and the other proposals of every row.
+
+    Left out are proposals that overlap a base span of their text, and those of a wider generator that
+    the base pattern of the kind has found already.
+    """
     text = F.coalesce(F.col(OWN + "text"), F.lit(""))
     rows = docs.select(*keep, docs["text"].alias(OWN + "text"))
     generators = [("email", EMAIL, True), ("ip", IP, True), ("card", CARD, True), ("phone", PHONE, True),
                   ("email", WIDE_EMAIL, False), ("phone", WIDE_PHONE, False), ("card", WIDE_CARD, False)]
     found = rows.select("*", *[_spans(text, pattern).alias(f"{OWN}spans{i}")
                                for i, (_, pattern, _) in enumerate(generators)])
-    judged = [_judged(kind, KINDS.index(kind), F.col(f"{OWN}spans{i}"), F.lit(True) if base else None)
-              for i, (kind, _, base) in enumerate(generators)]
-    return found.select(*keep, OWN + "text", F.concat(*judged).cast(_PROPOSALS).alias(OWN + "all"))
+    judged = []
+    for i, (kind, _, base) in enumerate(generators):
+        spans, usual = F.col(f"{OWN}spans{i}"), F.col(f"{OWN}spans{KINDS.index(kind)}")
+        if not base:
+            spans = _unlike(spans, usual)
+        judged.append(_judged(kind, KINDS.index(kind), spans, F.lit(True) if base else None))
+    everything = F.col(OWN + "all")
+    apart = found.select(*keep, OWN + "text", F.concat(*judged).cast(_PROPOSALS).alias(OWN + "all")).withColumn(
+        OWN + "base", F.array_sort(F.filter(everything, lambda p: p["base"])))
+    others = F.filter(everything, lambda p: ~p["base"] & ~F.exists(
+        F.col(OWN + "base"), lambda b: (b["start"] < p["end"]) & (p["start"] < b["end"])))
+    return apart.select(*keep, OWN + "text", OWN + "base", others.alias(OWN + "others"))
 
 
 @dataclass(frozen=True)
@@ -240,23 +275,20 @@ def _code(p: Column) -> Column:
 
 
 def select_spans(proposed: DataFrame, least: float) -> DataFrame:
-    """Adds the base spans and all spans to redact, each sorted by start and kind.
+    """Adds all spans to redact, sorted by start and kind.
 
     ``proposed`` must be a table, as it is read once for the counts and once for the result.
     """
-    everything = F.col(OWN + "all")
+    base, others = F.col(OWN + "base"), F.col(OWN + "others")
     fold = F.pmod(F.xxhash64(OWN + "text"), F.lit(2)).cast("int")
-    counted = (proposed.where(F.size(everything) > 0)
-               .select(fold.alias("fold"), F.explode(everything).alias("p"))
+    counted = (proposed.where((F.size(base) > 0) | (F.size(others) > 0))
+               .select(fold.alias("fold"), F.explode(F.concat(base, others)).alias("p"))
                .groupBy("p.kind", "fold", "p.bits")
                .agg(F.count("*").alias("n"), F.sum(F.col("p.base").cast("int")).alias("good")))
     codes = redacted_patterns([tuple(r) for r in counted.collect()], least)
     accepted = F.array(*[F.lit(c) for c in codes]).cast("array<int>")
-    base = F.array_sort(F.filter(everything, lambda p: p["base"]))
     # An added span overlaps no base span, and no added one before it.
-    fresh = F.array_sort(F.filter(everything, lambda p: ~p["base"] & F.array_contains(accepted, _code(p))
-                                  & ~F.exists(F.col(OWN + "base"), lambda b: (b["start"] < p["end"])
-                                              & (p["start"] < b["end"]))))
+    fresh = F.array_sort(F.filter(others, lambda p: F.array_contains(accepted, _code(p))))
     nothing = F.array().cast(_PROPOSALS)
 
     def apart(state: Column, p: Column) -> Column:
@@ -264,9 +296,8 @@ def select_spans(proposed: DataFrame, least: float) -> DataFrame:
             F.struct(p["end"].alias("at"), F.concat(state["kept"], F.array(p)).alias("kept")))
 
     added = F.aggregate(fresh, F.struct(F.lit(0).alias("at"), nothing.alias("kept")), apart)["kept"]
-    return (proposed.withColumn(OWN + "base", base)
-            .withColumn(OWN + "spans", F.when(F.size(everything) == F.size(OWN + "base"), F.col(OWN + "base"))
-                        .otherwise(F.array_sort(F.concat(F.col(OWN + "base"), added)))))
+    return proposed.withColumn(OWN + "spans", F.when(F.size(others) == 0, base).otherwise(
+        F.array_sort(F.concat(base, added))))
 
 
 def spans_text(spans: Column) -> Column:

@@ -90,6 +90,31 @@ def test_numbers_like_valid_ones_are_added(docs_of):
     assert added == set(range(500, 508))
 
 
+def test_unusual_forms_are_added_among_valid_ones(docs_of):
+    draw = random.Random(5)
+
+    def digits(n):
+        return "".join(draw.choice("0123456789") for _ in range(n))
+
+    def card():
+        return " ".join(["4" + digits(3), digits(4), digits(4), digits(4)])
+
+    cards = [card() for _ in range(6000)]
+    good = [f"pay by card {c} now" for c in cards if luhn(c.replace(" ", ""))][:400]
+    good += [f"please write to amy{i}@mail.example.org today" for i in range(400)]
+    good += [f"please call +1 ({digits(3)}) {digits(3)}-{digits(4)} today" for _ in range(400)]
+    wanted = {f"pay by card {c} now": f"card:12:{12 + len(c)}" for c in [c for c in cards if not luhn(c.replace(" ", ""))][:6]}
+    wanted["pay by card 4111.1111.1111.1112 now"] = "card:12:31"
+    wanted["please write to amy [at] example [dot] org today"] = "email:16:42"
+    wanted["please write to bob(at)example(dot)org today"] = "email:16:38"
+    wanted |= {f"please call ({a}) 555-3436 today": "phone:12:26" for a in range(201, 207)}
+    not_wanted = ["please meet @ noon today", "please call 2024-05-12 today", "please call 12/05/2024 today"]
+    texts = good + list(wanted) + not_wanted
+    rows = pii.counts_of(pii.find(docs_of(list(enumerate(texts))), ["doc_id"]), ["doc_id"]).collect()
+    assert len(good) == 1200
+    assert {texts[r["doc_id"]]: r["spans"] for r in rows if r["n_added"]} == wanted
+
+
 def test_redaction(clashing, awkward):
     docs = clashing([*awkward, (30, "write a@b.example.com or call +1 (974) 555-3436!"), (31, "\U0001f600 1.2.3.4")])
     found = pii.redact(docs)
