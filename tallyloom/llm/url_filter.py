@@ -1,15 +1,17 @@
 """URL filters by association rules.
 
 A URL becomes a set of tokens: labels and domain of its host, segments and ending of its path, names in
-its query, its fragment. Spark's FP-growth mines the token sets of labelled pages for combinations that go with
-a bad label; rules with enough support and confidence stay. They match through an inverted index: each
+its query, its fragment. Spark's FP-growth mines the token sets of bad pages for combinations that enough of
+them hold; how many labelled pages hold a combination is counted by a join, and rules with enough
+confidence stay. They match through an inverted index: each
 rule is listed once, under the rarest of its tokens, so a URL meets only the rules of its own tokens and
 then checks that the rest of a rule is there as well.
 
 Fixed rules by host and path come before the mined ones; of those that fit, the longest decides.
 
-Itemsets are mined from all labelled pages. Support bounds how many there can be; rules and index
-stay a table. URLs are judged once each, however often they occur.
+Itemsets are mined from all bad pages and counted over all labelled ones. A number of bad pages is
+proof at every size of the table, so a rule found on a small table is found in a large one as well.
+Itemsets, rules and index stay tables. URLs are judged once each, however often they occur.
 
 Defined cases: a null URL and one without ``://`` have an empty host and path, no tokens, and are
 allowed; with hardly any labelled pages nothing is mined and pages without a fixed rule are allowed; of
@@ -19,6 +21,7 @@ an empty table gives an empty result. Only the columns named are read.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import FPGrowth
@@ -29,7 +32,6 @@ from tallyloom.llm.common import joined
 from tallyloom.session import as_table
 
 ALLOW, BLOCK = "allow", "block"
-BAD = "=bad"  # the item that stands for a bad label; no token begins like this
 
 
 @dataclass(frozen=True)
@@ -50,7 +52,7 @@ class Fixed:
 
 @dataclass(frozen=True)
 class Mining:
-    support: float = 0.005  # least share of the labelled pages that hold all tokens and are bad
+    support: float = 0.0  # least share of the labelled pages that hold all tokens and are bad
     pages: int = 20  # and least number of such pages: fewer prove nothing
     confidence: float = 0.6  # least share of bad pages among those that hold all tokens
 
@@ -91,21 +93,30 @@ def tokens_of(url: Column) -> Column:
 
 def mine(labelled: DataFrame, mining: Mining = Mining()) -> DataFrame | None:
     """(tokens, anchor, confidence, name) of the rules; ``labelled`` holds (url, bad)."""
-    baskets = as_table(labelled.where("bad is not null").select(F.when(
-        F.col("bad"), F.concat(tokens_of(F.col("url")), F.array(F.lit(BAD)))).otherwise(tokens_of(F.col("url")))
-        .alias("items")).where(F.size("items") > 0), "url-baskets")
-    count = baskets.count()
-    if count < mining.pages:
+    bad = F.col("bad")
+    sets = as_table(labelled.where("bad is not null").select(F.array_sort(tokens_of(F.col("url"))).alias("own"), "bad")
+                    .where((F.size("own") > 0) | bad).groupBy("own")
+                    .agg(F.count("*").alias("pages"), F.sum(bad.cast("long")).alias("bad")), "url-token-sets")
+    baskets = sets.where(F.size("own") > 0)
+    count = sets.agg(F.sum("pages")).first()[0] or 0
+    proofs = baskets.agg(F.sum("bad")).first()[0] or 0
+    least = max(mining.pages, math.ceil(mining.support * count - 1e-9), 1)
+    if proofs < least:
         return None
-    support = max(mining.support, mining.pages / count)
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=mining.confidence).fit(baskets)
-    rules = (model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD)))
-             .select(F.array_sort("antecedent").alias("tokens"), "confidence"))
-    often = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), F.col("freq"))
-    rarest = (rules.select("tokens", F.explode("tokens").alias("token")).join(often, "token")
-              .groupBy("tokens").agg(F.min(F.struct("freq", "token")).alias("rarest")))
-    named = rules.join(rarest, "tokens").select(
-        "tokens", F.col("rarest.token").alias("anchor"), "confidence", F.array_join("tokens", " ").alias("name"))
+    each = baskets.where(bad > 0).select("own", F.explode(F.sequence(F.lit(1).cast("long"), bad))).select("own")
+    # Half a page less, so that rounding of the share cannot ask for one more.
+    model = FPGrowth(itemsCol="own", minSupport=(least - 0.5) / proofs).fit(each)
+    sought = as_table(model.freqItemsets.select(F.array_sort("items").alias("tokens"), F.col("freq").alias("bad")),
+                      "url-itemsets")
+    exploded = baskets.select("own", "pages", F.explode("own").alias("anchor"))
+    often = exploded.groupBy(F.col("anchor").alias("token")).agg(F.sum("pages").alias("freq"))
+    rarest = (sought.select("tokens", "bad", F.explode("tokens").alias("token")).join(often, "token")
+              .groupBy("tokens").agg(F.max("bad").alias("bad"), F.min(F.struct("freq", "token")).alias("rarest"))
+              .select("tokens", "bad", F.col("rarest.token").alias("anchor")))
+    held = (joined(exploded, rarest, ["anchor"]).where(F.size(F.array_except("tokens", "own")) == 0)
+            .groupBy("tokens").agg(F.max("anchor").alias("anchor"), (F.max("bad") / F.sum("pages")).alias("confidence")))
+    named = held.where(F.col("confidence") >= mining.confidence).select(
+        "tokens", "anchor", "confidence", F.array_join("tokens", " ").alias("name"))
     return as_table(named, "url-rules")
 
 

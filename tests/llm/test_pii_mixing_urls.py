@@ -226,3 +226,13 @@ def test_mined_rules_against_brute_force(spark):
                                 labelled, [], mining).collect()
     for r, (own, _) in zip(sorted(verdicts, key=lambda r: r["page_id"]), tokens):
         assert r["verdict"] == ("block" if any(rule <= own for rule in wanted) else "allow")
+
+
+def test_enough_bad_pages_are_proof_at_every_size(spark):
+    def pages(others):
+        rows = [(f"http://casino.example/{i}", True) for i in range(25)] + [(f"http://few.example/{i}", True) for i in range(19)]
+        return spark.createDataFrame(rows + [(f"http://news{i % 7}.example.org/{i}", i % 50 == 0) for i in range(others)],
+                                     "url string, bad boolean")
+    for others in (500, 8000):
+        rules = {tuple(r["tokens"]): r["confidence"] for r in url_filter.mine(pages(others)).collect()}
+        assert rules == {("domain:casino.example",): 1.0}
