@@ -236,3 +236,31 @@ def test_enough_bad_pages_are_proof_at_every_size(spark):
     for others in (500, 8000):
         rules = {tuple(r["tokens"]): r["confidence"] for r in url_filter.mine(pages(others)).collect()}
         assert rules == {("domain:casino.example",): 1.0}
+
+
+def test_url_query_against_brute_force(spark, tmp_path):
+    import itertools
+    draw = random.Random(6)
+    urls = [f"http://{draw.choice(['casino', 'news', 'blog'])}.example.org/{draw.choice(['a', 'b'])}/{i}" for i in range(400)]
+    pages = [(i, u, "") for i, u in enumerate(urls)] + [(900, "http://casino.example.org/a/", ""), (901, None, "")]
+    labels = [(i, int("casino" not in u and draw.random() < 0.9), int("/b/" in u and "blog" in u)) for i, u in enumerate(urls) if i % 4]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality long, toxic long").write.parquet(f"{tmp_path}/labels.parquet")
+    tokens = {r["url"]: frozenset(r["t"]) for r in spark.createDataFrame([(u,) for _, u, _ in pages], "url string").select(
+        "url", url_filter.tokens_of(F.col("url")).alias("t")).collect()}
+    known = [(tokens[urls[i]], quality == 0 or toxic == 1) for i, quality, toxic in labels]
+    wanted = {}
+    every = sorted({t for own, _ in known for t in own})
+    for some in (frozenset(c) for n in range(1, len(every) + 1) for c in itertools.combinations(every, n)):
+        held = [bad for own, bad in known if some <= own]
+        if sum(held) >= 20 and sum(held) >= 0.6 * len(held):
+            wanted[some] = sum(held) / len(held)
+    assert wanted
+    rows = QUERIES["op5_url_filter"](spark, str(tmp_path)).collect()
+    assert len(rows) == len(pages)
+    by_id = {i: u for i, u, _ in pages}
+    for r in rows:
+        fits = sorted((-p, " ".join(sorted(some))) for some, p in wanted.items() if some <= tokens[by_id[r["page_id"]]])
+        assert r["rule"] is None and r["verdict"] == ("block" if fits else "allow")
+        assert (r["mined"], r["confidence"]) == ((fits[0][1], pytest.approx(-fits[0][0])) if fits else (None, None))
+    assert {r["verdict"] for r in rows} == {"allow", "block"}
