@@ -33,6 +33,7 @@ from tallyloom.llm.common import joined
 from tallyloom.session import as_table
 
 OWN = "_shard_"
+FOLDER = OWN + "folder"  # what the folders of written shards are named by
 BITS = 60  # of each of the two hashes
 EXTRA_BITS = 5  # of the first directory beyond the expected number of shards
 STEP = 8  # bits of every further directory
@@ -142,13 +143,13 @@ def _copies(rows: DataFrame, columns: list[str], limit: int) -> DataFrame:
 
 
 def write(assigned: DataFrame, path: str) -> None:
-    """A folder ``shard=<id>`` per shard; the shard of all rows, without bits, is ``shard=all``.
+    """A folder ``_shard_folder=<id>`` per shard; the shard of all rows, without bits, is ``all``.
 
     The rebalance hint keeps a shard in one task unless it is larger than a task should be.
     """
     shard = F.when(F.col(OWN + "id") == "", "all").otherwise(F.col(OWN + "id"))
-    (assigned.withColumn("shard", shard).drop(OWN + "id").hint("rebalance", "shard")
-     .write.partitionBy("shard").parquet(path))
+    (assigned.withColumn(FOLDER, shard).drop(OWN + "id").hint("rebalance", FOLDER)
+     .write.partitionBy(FOLDER).parquet(path))
 
 
 def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -157,9 +158,9 @@ def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     The ids are declared as text: inferred, they would lose leading zeros.
     """
     own = [T.StructField(OWN + "bytes", T.LongType()), T.StructField(OWN + "total", T.LongType()),
-           T.StructField("shard", T.StringType())]
+           T.StructField(FOLDER, T.StringType())]
     back = spark.read.schema(T.StructType([*schema.fields, *own])).parquet(path)
-    return back.withColumn(OWN + "id", F.when(F.col("shard") == "all", "").otherwise(F.col("shard"))).drop("shard")
+    return back.withColumn(OWN + "id", F.when(F.col(FOLDER) == "all", "").otherwise(F.col(FOLDER))).drop(FOLDER)
 
 
 def oracle(limit: int) -> str:

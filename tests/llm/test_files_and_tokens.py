@@ -137,6 +137,15 @@ def test_shards_are_written_and_read_back(spark, clashing, awkward):
     assert sharding.assign(docs.limit(0), "doc_id", F.octet_length("text"), 10).count() == 0
 
 
+def test_a_column_called_shard_is_kept(spark, docs_of):
+    docs = docs_of([(i, "abc" * 30) for i in range(40)]).withColumn("shard", F.concat(F.lit("mine "), "doc_id"))
+    path = scratch_path(spark, "shards-test")
+    sharding.write(sharding.assign(docs, "doc_id", F.octet_length("text"), 500), path)
+    back = sharding.read(spark, path, docs.schema)
+    assert {r["doc_id"]: r["shard"] for r in back.collect()} == {i: f"mine {i}" for i in range(40)}
+    assert len({r[sharding.OWN + "id"] for r in back.collect()}) > 1
+
+
 PAGES = [(1, "http://a/x", "same"), (2, "http://a/y", "same"), (2, "http://a/y", "same"), (3, "http://a/z z\r\n", "other " * 4000),
          (4, None, None), (5, "http://e", ""), (None, "http://n", "same"), (None, "http://m", "lonely"), (6, "u", "é\U0001f600\r\n\r\nWARC/1.1\r\n")]
 
