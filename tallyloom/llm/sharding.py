@@ -164,7 +164,11 @@ def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def oracle(limit: int) -> str:
-    """The shards of the documents by doc_id: for each row the shortest prefix that fits."""
+    """The shards of the documents by doc_id: for each row the shortest prefix that fits.
+
+    It leaves out documents above the limit and returns rows alike in id and size once; the query has
+    both, and a brute-force test covers them.
+    """
     return f"""WITH hashed AS (SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes, lpad(bin(
         ('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT), {BITS}, '0') AS bits FROM documents),
     spread AS (SELECT *, left(bits, depth::INT) AS prefix FROM hashed, range(0, 41) AS r(depth)),

@@ -146,6 +146,24 @@ def test_a_column_called_shard_is_kept(spark, docs_of):
     assert len({r[sharding.OWN + "id"] for r in back.collect()}) > 1
 
 
+def test_cases_the_sql_leaves_out(docs_of):
+    """Rows above the limit and repeated rows, by the shortest prefix that fits."""
+    import hashlib
+    pairs = [(i, "y" * (30 + i)) for i in range(60)] + [(3, "y" * 33)] * 2 + [(200, "z" * 5000)]
+    rows = shards_of(sharding.assign(docs_of(pairs), "doc_id", F.octet_length("text"), 1000))
+    assert sorted((r[0], r[1]) for r in rows) == sorted(pairs)
+    bits = {i: f"{int(hashlib.md5(str(i).encode()).hexdigest()[:15], 16):060b}" for i, _ in pairs}
+    for doc_id, text, _, shard, total in rows:
+        if doc_id == 200:
+            assert total == 5000 and sum(r[3] == shard for r in rows) == 1
+            continue
+        for depth in range(61):
+            held = sum(len(t) for i, t in pairs if bits[i].startswith(bits[doc_id][:depth]))
+            if held <= 1000:
+                break
+        assert (shard, total) == (bits[doc_id][:depth], held)
+
+
 PAGES = [(1, "http://a/x", "same"), (2, "http://a/y", "same"), (2, "http://a/y", "same"), (3, "http://a/z z\r\n", "other " * 4000),
          (4, None, None), (5, "http://e", ""), (None, "http://n", "same"), (None, "http://m", "lonely"), (6, "u", "é\U0001f600\r\n\r\nWARC/1.1\r\n")]
 
