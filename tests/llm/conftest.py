@@ -1,5 +1,5 @@
 import pytest
-from textkit import DOCS, PROSE
+from llm.textkit import DOCS, PROSE
 
 
 @pytest.fixture(scope="session")

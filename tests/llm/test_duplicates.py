@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 import pytest
-from textkit import PROSE, SF_DIR, WORD
+from llm.textkit import PROSE, SF_DIR, WORD
 
 from tallyloom.llm import components, embedding_dedup, minhash
 from tallyloom.llm.queries import QUERIES

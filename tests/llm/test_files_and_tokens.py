@@ -6,7 +6,7 @@ import pytest
 import sentencepiece as library
 import zstandard
 from pyspark.sql import functions as F
-from textkit import PROSE, SF_DIR
+from llm.textkit import PROSE, SF_DIR
 
 from tallyloom.llm import sentencepiece, sharding, warc
 from tallyloom.llm.queries import QUERIES, TOKENIZER

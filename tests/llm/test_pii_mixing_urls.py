@@ -5,7 +5,7 @@ import re
 import duckdb
 import pytest
 from pyspark.sql import functions as F
-from textkit import DOCS, PROSE, SF_DIR
+from llm.textkit import DOCS, PROSE, SF_DIR
 
 from tallyloom.llm import mixing, pii, url_filter
 from tallyloom.llm.queries import ORACLES, QUERIES, URL_RULES

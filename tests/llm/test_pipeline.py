@@ -2,7 +2,7 @@ import os
 import subprocess
 import sys
 
-from textkit import PROSE, SF_DIR
+from llm.textkit import PROSE, SF_DIR
 
 import corpus_pipeline
 from tallyloom.llm import minhash, mixing, pii

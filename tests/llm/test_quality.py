@@ -2,7 +2,7 @@ import collections
 import random
 
 from pyspark.sql import functions as F
-from textkit import PROSE, SF_DIR, WORD
+from llm.textkit import PROSE, SF_DIR, WORD
 
 from tallyloom.llm import classifier, quality_rules
 from tallyloom.llm.queries import QUERIES
