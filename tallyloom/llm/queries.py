@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import classifier, embedding_dedup, minhash, mixing, pii, quality_rules, sentencepiece, sharding, url_filter, warc
+from tallyloom.llm import (
+    classifier, embedding_dedup, line_dedup, minhash, mixing, pii, quality_rules, sentencepiece, sharding, url_filter,
+    vector_codes, warc, whitening)
 from tallyloom.llm.common import joined, table
 from tallyloom.session import scratch_path
 
@@ -108,3 +110,22 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = labels.groupBy("doc_id").agg(F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
     labelled = joined(numbered, bad, ["doc_id"]).select("url", "bad")
     return url_filter.judge(pages, labelled, URL_RULES).drop("url")
+
+
+@query("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_vector_codes")
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+@query("op13_line_dedup", line_dedup.oracle())
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.drop_common_lines(table(spark, sf_dir, "documents"))
+    own = {c: F.col(line_dedup.OWN + c) for c in ("n_lines", "n_dropped", "kept")}
+    return done.select("doc_id", own["n_lines"].alias("n_lines"), own["n_dropped"].alias("n_dropped"),
+                       F.sha2(F.coalesce(own["kept"], F.lit("")), 256).alias("kept_sha256"))
