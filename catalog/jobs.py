@@ -317,11 +317,13 @@ def _(t):
            count(*) as n_rows
     from (select *, quarter(o_orderdate) as q from {orders}) x group by 1, 2""")
 def _(t):
+    """Requests of a quarter carry its last day."""
     path = scratch_path(t.spark, "layout")
-    quarter = F.quarter(parse_compact(F.col("order_day")))
-    rows = orders(t)
-    layout.write_partitioned(rows, path, F.when(quarter % 2 == 0, "monthly").otherwise("quarterly"),
-                             F.col("order_day"))
+    day = parse_compact(F.col("order_day"))
+    monthly = F.quarter(day) % 2 == 0
+    quarter_end = compact_text(F.last_day(F.add_months(F.trunc(day, "quarter"), 2)))
+    layout.write_partitioned(orders(t), path, F.when(monthly, "monthly").otherwise("quarterly"),
+                             F.when(monthly, F.col("order_day")).otherwise(quarter_end))
     return t.spark.read.parquet(path).groupBy("grain", "period").agg(F.count("*").alias("n_rows"))
 
 
