@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.session import as_table
+from tallyloom.operators.carry import carry_forward
 
 
 def fill_constant(df: DataFrame, value, column: str | None = None) -> DataFrame:
@@ -21,31 +19,8 @@ def fill_from_neighbours(df: DataFrame, columns: Sequence[str], order_by: Sequen
                          partition_by: Sequence[str] = (), forward: bool = True) -> DataFrame:
     """the last value before (or first after) each null, in the given order.
 
-    ``partition_by`` and ``order_by`` together must identify a row. The rows are range-partitioned
-    on both, so neither a whole-frame fill nor one hot entity ends up in a single task: each range
-    is filled on its own, and only the last value per range and entity travels to the next one.
-    The ranges are written to a table, as all steps must see the same cut.
+    ``partition_by`` and ``order_by`` together must identify a row. One shuffle into sorted ranges; neither
+    a whole-frame fill nor one hot entity ends up in a single task.
     """
-    keys = [*partition_by, *order_by]
-    cut = as_table(df.repartitionByRange(*keys).select(
-        "*", F.spark_partition_id().alias("_range"),
-        F.struct(F.lit(0).alias("_all"), *partition_by).alias("_entity")), "fill-ranges")
-    way = [F.col(c).asc() if forward else F.col(c).desc() for c in order_by]
-    position = F.struct(*order_by)
-    pick = F.max_by if forward else F.min_by
-    tails = cut.groupBy("_range", "_entity").agg(
-        *[pick(F.when(F.col(c).isNotNull(), F.col(c)),
-               F.when(F.col(c).isNotNull(), position)).alias(f"_v_{c}") for c in columns])
-    # One row per range and entity: what an entity has here is at most the number of ranges.
-    step = F.col("_range").asc() if forward else F.col("_range").desc()
-    before = Window.partitionBy("_entity").orderBy(step).rowsBetween(
-        Window.unboundedPreceding, -1)
-    carried = tails.select("_range", "_entity", *[
-        F.last(f"_v_{c}", ignorenulls=True).over(before).alias(f"_v_{c}") for c in columns])
-    carried = carried.where(reduce(or_, [F.col(f"_v_{c}").isNotNull() for c in columns]))
-    near = Window.partitionBy("_range", "_entity").orderBy(*way).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    joined = cut.join(carried, ["_range", "_entity"], "left")
-    filled = {c: F.coalesce(F.last(c, ignorenulls=True).over(near), F.col(f"_v_{c}"))
-              for c in columns}
-    return joined.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
+    order = [F.col(f"`{c}`").asc() if forward else F.col(f"`{c}`").desc() for c in order_by]
+    return carry_forward(df, columns, partition_by, order)

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.codes import to_feed_code
 from tallyloom.functions.dates import parse_compact
+from tallyloom.operators.asof import asof_join
 from tallyloom.operators.columns import ordered
 from tallyloom.operators.filters import first_entities
 from tallyloom.operators.keyed import rows_with_key
 from tallyloom.operators.lookup import left_fold
 from tallyloom.operators.measures import calendar_days, instruments
 from tallyloom.operators.reshape import statements_to_point_in_time
+from tallyloom.operators.spine import available_from
 from tallyloom.sinks.layout import write_partitions
 from tallyloom.sinks.writers import in_ranges, write_feed_lists, write_per_entity
 
@@ -56,6 +58,19 @@ def point_in_time_feed(sources: Mapping[str, DataFrame], interval: str = "quarte
     return statements_to_point_in_time(sources, interval, field_names)
 
 
+def point_in_time_panel(days: DataFrame, statements: DataFrame, calendar: DataFrame, values: Sequence[str],
+                        per_field: bool = False) -> DataFrame:
+    """Every (symbol, date) with the statement values known by then.
+
+    ``statements`` carry ``symbol`` and the day ``ann_date``; a value is known from the first open day after
+    its announcement. Of values known from one day the latest announced counts, then the largest.
+    """
+    known = available_from(statements, calendar, "ann_date", "available")
+    tied = ["ann_date", *[c for c in values if c != "ann_date"]]
+    panel = asof_join(days, known, ["symbol"], "date", "available", tied, per_field=per_field)
+    return panel if per_field else panel.drop(*[c for c in ("ann_date", "available") if c not in values])
+
+
 def write_point_in_time(feed: DataFrame, path: str, replace: str = "partitions") -> None:
     """All statement tables in one write, a directory per table and symbol.
 
