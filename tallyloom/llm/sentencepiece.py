@@ -2,7 +2,7 @@
 
 Texts are cut into units, a run of spaces and what follows it up to the next space; no piece crosses
 such a cut (the model is checked for that). Each distinct unit of a slice of rows is segmented once.
-Units of equal length advance together, a column of characters at a time:
+Units of equal length (long ones: of about equal length) advance together, a column of characters at a time:
 
 * hashes of all substrings come from prefix hashes, and are looked up in the sorted keys of the pieces;
 * at each position the best last piece of every unit is a maximum over the piece lengths, taken for all
@@ -15,11 +15,16 @@ position, so the same recursion finds it. Whether two pieces stay apart follows
 merged: they do not if a part at the end of the first and one at the start of the second exist at the same
 time and together are a piece that merges before either grows on.
 
+A very long unit (a text without spaces) is cut into blocks that advance side by side, each from a start of its
+own some characters before the block. What comes next depends on the last few positions only, as many
+as the longest piece has characters; where those agree with the block before, all that follows is what one
+pass over the whole unit gives. A block that does not agree is tried from other starts (text with a period),
+and at last in one go with the block before it.
+
 A character without a piece becomes its bytes (or the unknown id, if the model has no byte pieces).
 
 Defined cases: a null text gives null ids, an empty one an empty list; null ids give a null text; the
-character U+2581 is the model's own sign for a space and is decoded as a space; very long units are
-worked on alone; repeated rows give equal ids; an empty table gives an empty result. Only the columns
+character U+2581 is the model's own sign for a space and is decoded as a space; repeated rows give equal ids; an empty table gives an empty result. Only the columns
 asked for are read.
 """
 
@@ -37,13 +42,20 @@ from pyspark.sql import types as T
 
 from tallyloom.llm.common import bytes_of, filled, merged, slices
 
-SLICE = 12 << 20
+SLICE = 6 << 20
 SPACE_SIGN = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # piece types of the model format
 UNIGRAM, BPE = 1, 2  # model types of the model format
 FACTOR = np.uint64(0x100000001B3)
 WIDE = 1 << 22  # substrings looked up at once
 HINT_BITS = 18  # leading bits of a hash that tell most substrings from pieces before any search
+EQUAL = 32  # units up to this length advance with units of the same length only
+LONG = 4096  # longer units are cut into blocks
+BLOCK, WARM = 1024, 128  # characters of a block, and before it where its own start has no effect any more
+SIDE_BY_SIDE = 512  # blocks that advance together
+PARTS = 1 << 18  # pairs of parts of pieces that are looked at together
+RUNS = 1 << 16  # runs that are copied at once: bounds the index of every copied value
+NO_CHARACTER = 0x110000  # fills up rows; part of no piece
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -117,6 +129,10 @@ def _hashes(chars: np.ndarray) -> np.ndarray:
     return out
 
 
+def _code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
 class Codec:
     """Tables of a model, ready to segment; made once per task."""
 
@@ -227,6 +243,12 @@ class Codec:
 
     def _clash(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         """Whether merging joins a part at the end of the first piece with one that starts the second."""
+        deep, wide = self.right_edge[2], self.left_edge[2]
+        upto = np.cumsum(deep[first] * wide[second])
+        cuts = np.searchsorted(upto, np.arange(0, upto[-1], PARTS)[1:]) + 1 if len(upto) else []
+        return np.concatenate([self._some_clash(a, b) for a, b in zip(np.split(first, cuts), np.split(second, cuts))])
+
+    def _some_clash(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         (ends, end_grows, deep), (starts, start_grows, wide) = self.right_edge, self.left_edge
         number = deep[first] * wide[second]
         pair = np.repeat(np.arange(len(first)), number)
@@ -255,16 +277,14 @@ class Codec:
             good[rows] = ~self._clash(pairs // count, pairs % count)[back]
         return good
 
-    def _segment(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Units of one length, a row each: (unit, id) of all pieces in order.
-
-        The id of a character without a piece is minus its code point, minus one.
-        """
+    def _forward(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For rows of characters, at each end: the last piece (-1: none to merge with), its size, the score."""
         count, length = chars.shape
         hashes = _hashes(chars)
-        score = np.zeros((length + 1, count))
-        last = np.full((length + 1, count), -1, np.int64)  # piece that ends here; -1: none to merge with
-        size_at = np.zeros((length + 1, count), np.int64)
+        score = np.zeros((length + 1, count if self.model.kind == UNIGRAM else 0))
+        last = np.full((length + 1, count), -1, np.int32)
+        size_at = np.zeros((length + 1, count), np.uint8 if self.longest < 256 else np.int32)
+        every = np.arange(count)
         for end in range(1, length + 1):
             sizes = range(min(end, self.longest), 0, -1)  # of equals the longest
             worth = np.full((len(sizes), count), -np.inf)
@@ -275,20 +295,28 @@ class Codec:
                 if self.model.kind == UNIGRAM:
                     worth[k, rows] = score[end - size, rows] + self.scores[piece[k, rows]]
                 elif len(rows):
-                    good = self._stay_apart(last[end - size, rows], piece[k, rows])
+                    good = self._stay_apart(last[end - size, rows].astype(np.int64), piece[k, rows])
                     worth[k, rows[good]] = 0.0
             bare = piece[-1] < 0
             worth[-1, bare] = score[end - 1, bare] + self.scores[-1] if self.model.kind == UNIGRAM else 0.0
             best = worth.argmax(axis=0)
-            every = np.arange(count)
-            score[end] = worth[best, every]
+            if self.model.kind == UNIGRAM:
+                score[end] = worth[best, every]
             last[end] = piece[best, every]
             size_at[end] = len(sizes) - best
-        taken, at = [], np.full(count, length)
+        return last, size_at, score
+
+    def _segment(self, chars: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Units, a row each, filled up with NO_CHARACTER: (unit, id) of all pieces in order.
+
+        The id of a character without a piece is minus its code point, minus one.
+        """
+        last, size_at, _ = self._forward(chars)
+        taken, at = [], lengths.copy()
         while (at > 0).any():
             rows = np.flatnonzero(at > 0)
             here = at[rows]
-            ids = last[here, rows]
+            ids = last[here, rows].astype(np.int64)
             taken.append((rows, np.where(ids >= 0, ids, -1 - chars[rows, here - 1].astype(np.int64))))
             at[rows] -= size_at[here, rows]
         if not taken:
@@ -298,18 +326,74 @@ class Codec:
         order = np.argsort(rows, kind="stable")
         return rows[order], ids[order]
 
+    def _segment_long(self, chars: np.ndarray) -> np.ndarray:
+        """Ids of one long unit, as ``_segment`` gives them, from blocks that advance side by side."""
+        length, reach = len(chars), self.longest
+        wide = BLOCK + max(WARM, 4 * reach)
+        padded = np.concatenate((chars, np.full(wide + reach, NO_CHARACTER, np.uint32)))
+        windows = np.lib.stride_tricks.sliding_window_view(padded, wide + reach)
+        starts = np.arange(0, max(length - wide, 0) + BLOCK, BLOCK)
+        last, size_at = np.full(length + 1, -1, np.int32), np.zeros(length + 1, np.int32)
+        score = np.zeros(length + 1)
+        known, anchor = 0, 0  # the ends up to here are right, and a pass from the anchor gives them
+
+        def take(run, column: int, start: int, end: int) -> None:
+            """The ends after ``known`` up to ``end`` from a column of a run that began at ``start``."""
+            nonlocal known, anchor
+            mine = slice(known + 1 - start, end + 1 - start)
+            last[known + 1:end + 1], size_at[known + 1:end + 1] = run[0][mine, column], run[1][mine, column]
+            if self.model.kind == UNIGRAM:
+                score[known + 1:end + 1] = run[2][mine, column] + (score[known] - run[2][known - start, column])
+            known, anchor = end, start
+
+        def agrees(run, column: int, start: int) -> bool:
+            mine, theirs = slice(known + 1 - reach - start, known + 1 - start), slice(known + 1 - reach, known + 1)
+            if not (np.array_equal(run[0][mine, column], last[theirs]) and np.array_equal(run[1][mine, column], size_at[theirs])):
+                return False
+            return self.model.kind != UNIGRAM or np.ptp(run[2][mine, column] - score[theirs]) < 1e-6
+
+        for low in range(0, len(starts), SIDE_BY_SIDE):
+            group = starts[low:low + SIDE_BY_SIDE]
+            runs: dict[int, tuple] = {0: self._forward(windows[group])}
+            for column, start in enumerate(group.tolist()):
+                end = min(start + wide, length)
+                if start == 0:
+                    take(runs[0], column, 0, end)
+                    continue
+                for shift in range(reach):
+                    if shift not in runs:
+                        runs[shift] = self._forward(windows[np.maximum(group - shift, 0)])
+                    if agrees(runs[shift], column, start - shift):
+                        take(runs[shift], column, start - shift, end)
+                        break
+                else:
+                    take(self._forward(chars[None, anchor:end]), 0, anchor, end)
+        ids, at = [], length
+        while at > 0:
+            ids.append(int(last[at]) if last[at] >= 0 else -1 - int(chars[at - 1]))
+            at -= int(size_at[at])
+        return np.array(ids[::-1], np.int64)
+
     def units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all units, one after the other, and where each unit's begin."""
         lengths = np.array([len(u) for u in units], np.int64)
         owners, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for length in np.unique(lengths[lengths > 0]).tolist():
-            chosen = np.flatnonzero(lengths == length)
-            step = max(1, WIDE // (length * min(length, self.longest)))
+        for i in np.flatnonzero(lengths > LONG).tolist():
+            found.append(self._segment_long(_code_points(units[i])))
+            owners.append(np.full(len(found[-1]), i))
+        room = lengths.copy()
+        long = lengths > EQUAL
+        grain = 1 << np.maximum(np.log2(np.maximum(lengths, 1)).astype(np.int64) - 2, 0)  # a quarter more at most
+        room[long] = (-(-lengths // grain) * grain)[long]
+        for width in np.unique(room[(lengths > 0) & (lengths <= LONG)]).tolist():
+            chosen = np.flatnonzero((room == width) & (lengths <= LONG))
+            step = max(1, WIDE // (width * min(width, self.longest)))
             for low in range(0, len(chosen), step):
                 group = chosen[low:low + step]
                 text = "".join([units[i] for i in group.tolist()])
-                chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, length)
-                rows, ids = self._segment(chars)
+                chars = np.full((len(group), width), NO_CHARACTER, np.uint32)
+                chars[np.arange(width) < lengths[group][:, None]] = _code_points(text)
+                rows, ids = self._segment(chars, lengths[group])
                 owners.append(group[rows])
                 found.append(ids)
         owner, ids = np.concatenate(owners), np.concatenate(found)
@@ -324,7 +408,7 @@ class Codec:
             owner = np.repeat(owner, extra)
             ids = np.repeat(ids, extra)
             ids[ids < 0] = np.concatenate(spelt)
-        return ids, np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(units)))))
+        return ids.astype(np.int32), np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(units)))))
 
     def encode(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and where each text's begin."""
@@ -349,31 +433,34 @@ class Codec:
         code = coded.indices.to_numpy(zero_copy_only=False)
         ids = _gathered(unit_ids, unit_at, code)
         sizes = np.concatenate(([0], np.cumsum(np.diff(unit_at)[code])))
-        return ids.astype(np.int32), sizes[np.searchsorted(first, at)]
+        return ids, sizes[np.searchsorted(first, at)]
 
     def decode(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """UTF-8 bytes of all texts, one after the other, and where each text's begin."""
         data = _gathered(self.surface, self.surface_at, ids)
-        ends = np.concatenate(([0], np.cumsum(np.diff(self.surface_at)[ids])))[at]
+        upto = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(np.diff(self.surface_at)[ids], out=upto[1:])
+        ends = upto[at]
         if self.model.dummy_prefix and len(data):
-            full = np.diff(ends) > 0
-            lead = ends[:-1][full]
-            lead = lead[data[lead] == 32]
-            cut = np.zeros(len(data) + 1, np.int64)
-            cut[lead] = 1
-            data = np.delete(data, lead)
-            ends = ends - np.concatenate(([0], np.cumsum(cut)))[ends]
+            begins = ends[:-1]
+            leads = np.diff(ends) > 0
+            leads[leads] = data[begins[leads]] == 32
+            data = np.delete(data, begins[leads])
+            ends = ends - np.concatenate(([0], np.cumsum(leads)))
         return data, ends
 
 
 def _gathered(values: np.ndarray, at: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """The chosen runs of values, one after the other."""
-    sizes = (at[1:] - at[:-1])[chosen]
-    ends = np.cumsum(sizes)
-    if not len(ends) or not ends[-1]:
-        return values[:0]
-    shift = np.repeat(at[:-1][chosen] - (ends - sizes), sizes)
-    return values[shift + np.arange(ends[-1])]
+    """The chosen runs of values, one after the other; a bounded number of runs at once."""
+    sizes = np.diff(at)[chosen]
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    out = np.empty(ends[-1], values.dtype)
+    for low in range(0, len(chosen), RUNS):
+        part = slice(low, low + RUNS)
+        first, after = ends[low], ends[min(low + RUNS, len(chosen))]
+        shift = np.repeat(at[:-1][chosen[part]] - (ends[:-1][part] - first), sizes[part])
+        out[first:after] = values[shift + np.arange(after - first)]
+    return out
 
 
 def encode(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:

@@ -1,11 +1,13 @@
 import random
 import struct
 
+import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece as library
 import zstandard
 from pyspark.sql import functions as F
+
 from llm.textkit import PROSE, SF_DIR
 
 from tallyloom.llm import sentencepiece, sharding, warc
@@ -86,6 +88,54 @@ def test_token_query_on_the_table(spark):
     assert all(list(r["ids"]) == theirs.encode(texts_of[r["doc_id"]]) for r in rows)
 
 
+def long_units():
+    draw = random.Random(1)
+    base64 = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    chinese = [chr(c) for c in range(0x4E00, 0x5200)]
+    return {"one letter": "x" * 20_000, "period": "xyz" * 7000, "genes": "".join(draw.choices("ACGT", k=20_000)),
+            "base64": "".join(draw.choices(base64, k=20_000)), "chinese": "".join(draw.choices(chinese, k=20_000)),
+            "words": "".join(draw.choices("the of and ing tion over river mill people town".split(), k=4000)),
+            "no pieces": "😀é" * 6000, "runs": "a" * 7 + "1" * 9000 + "b" * 9001,
+            "just cut": "n" * (sentencepiece.LONG + 1), "not cut": "nm" * (sentencepiece.LONG // 2)}
+
+
+@pytest.mark.parametrize("name", list(long_units()))
+def test_long_units_are_those_of_the_library(name):
+    codec = sentencepiece.Codec(sentencepiece.Model.read(TOKENIZER))
+    theirs = library.SentencePieceProcessor(model_file=TOKENIZER)
+    text = long_units()[name]
+    ids, at = codec.encode(pa.array([text, "a b", text[::-1]], pa.large_string()))
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [theirs.encode(t) for t in (text, "a b", text[::-1])]
+    back, ends = codec.decode(ids, at)
+    assert back[:ends[1]].tobytes().decode() == text
+
+
+def test_blocks_of_a_unigram_model_and_of_few_characters(monkeypatch):
+    """Small blocks, so that starts that never agree occur too; both kinds of model."""
+    monkeypatch.setattr(sentencepiece, "LONG", 40)
+    monkeypatch.setattr(sentencepiece, "BLOCK", 16)
+    monkeypatch.setattr(sentencepiece, "WARM", 4)
+    monkeypatch.setattr(sentencepiece, "SIDE_BY_SIDE", 3)
+    draw = random.Random(2)
+    for kind in (1, 2):
+        model = sentencepiece.Model.parse(unigram_model()) if kind == 1 else sentencepiece.Model.read(TOKENIZER)
+        codec = sentencepiece.Codec(model)
+        for text in ["".join(draw.choices("abc", k=400)), "a" * 333, "ab" * 200, "".join(draw.choices("ab\u00e9", k=300))]:
+            chars = sentencepiece._code_points(text)
+            rows, whole = codec._segment(chars[None], np.array([len(chars)]))
+            assert codec._segment_long(chars).tolist() == whole.tolist()
+
+
+def test_a_megabyte_without_spaces_takes_seconds():
+    import time
+    codec = sentencepiece.Codec(sentencepiece.Model.read(TOKENIZER))
+    draw = random.Random(3)
+    text = "".join(draw.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=1_000_000))
+    began = time.process_time()
+    ids, at = codec.encode(pa.array([text], pa.large_string()))
+    assert time.process_time() - began < 60 and len(ids) > 100_000
+
+
 def shards_of(frame):
     own = sharding.OWN
     return [(r["doc_id"], r["text"], r[own + "bytes"], r[own + "id"], r[own + "total"]) for r in frame.collect()]
