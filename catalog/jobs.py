@@ -26,7 +26,7 @@ from tallyloom.session import scratch_path
 from tallyloom.sinks import layout, runlog, writers
 from tallyloom.sinks.snapshot import ShrinkError, SnapshotStore, fingerprint
 from tallyloom.sources.landing import (
-    available_periods, first_files, in_range, landed_files, paths_of, read_layout)
+    available_periods, first_files, landed_files, method_folder, period_patterns, read_layout)
 from tallyloom.sources.scan import file_digests, landing_scan, read_csv, read_table
 from tallyloom.streaming.landing import append_new, landed_stream
 
@@ -228,8 +228,7 @@ def landed_orders(t) -> str:
 @query("landing_scan", ORDERS_SQL.replace("select", "select true as has_digest,", 1))
 def _(t):
     root = landed_orders(t)
-    files = landed_files(t.spark, root, "orders", with_sidecar=False)
-    rows = landing_scan(t.spark, paths_of(files), file_digests(t.spark, f"{root}/vendor/orders"))
+    rows = landing_scan(t.spark, [method_folder(root, "orders")], file_digests(t.spark, f"{root}/vendor/orders"))
     checked = F.col("file_md5").isNotNull() & F.col("file_path").contains("month=")
     return rows.select(*orders(t).columns, checked.alias("has_digest"))
 
@@ -237,9 +236,8 @@ def _(t):
 @query("landing_range", ORDERS_SQL + """
     where strftime(o_orderdate, '%Y%m') between '199702' and '199805'""")
 def _(t):
-    files = in_range(landed_files(t.spark, landed_orders(t), "orders", with_sidecar=False),
-                     "19970210", "19980515")
-    return landing_scan(t.spark, paths_of(files)).select(*orders(t).columns)
+    patterns = period_patterns(landed_orders(t), "orders", "19970210", "19980515")
+    return landing_scan(t.spark, patterns).select(*orders(t).columns)
 
 
 @query("stream_landing", ORDERS_SQL + " where o_orderstatus = 'F'")

@@ -2,38 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.functions.dates import path_period, period_end, period_start
-from tallyloom.sources.scan import empty, file_stem, is_missing_path
+from tallyloom.functions.dates import path_period, period_end, period_grain, period_start
+from tallyloom.sources.scan import file_listing, file_stem
 
-FILE_SCHEMA = "path string, modificationTime timestamp, length bigint"
+UNDATED = ("SYMBOL", "SNAPSHOT")  # grains whose folders name no period
 
+def method_folder(root: str, method: str) -> str:
+    """Where the files of a method lie, over all sources."""
+    return f"{root.rstrip('/')}/*/{method}"
 
-def _listing(spark: SparkSession, root: str, method: str, pattern: str) -> DataFrame:
-    """File names, times and sizes below ``<root>/*/<method>``; no file is opened."""
-    try:
-        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-                 .option("pathGlobFilter", pattern).load(f"{root}/*/{method}"))
-    except AnalysisException as error:
-        if not is_missing_path(error):
-            raise
-        return empty(spark, FILE_SCHEMA)
-    return files.select("path", "modificationTime", "length")
 
+def period_patterns(root: str, method: str, start: str, end: str) -> list[str]:
+    """Path patterns of the folders whose period can overlap a range: years, quarters and months.
 
-def landed_files(spark: SparkSession, root: str, method: str,
-                 with_sidecar: bool = True) -> DataFrame:
-    """The Parquet files of a method over all sources, those with a sidecar if so asked."""
-    data = _listing(spark, root, method, "*.parquet").withColumn("stem", file_stem(F.col("path")))
+    As many as the range has periods, however many files there are. A folder's name may have a prefix
+    (``month=199702``); days are folders below their month.
+    """
+    first, last = (int(t[:4]) * 12 + int(t[4:6]) - 1 for t in (start, end))
+    months = [(m // 12, m % 12) for m in range(first, last + 1)]
+    names = {f"{y:04d}{m + 1:02d}" for y, m in months} | {f"{y:04d}{q}{m // 3 + 1}" for y, m in months for q in "Qq"}
+    names |= {f"{y:04d}" for y, _ in months}
+    return [f"{method_folder(root, method)}/*{{{','.join(sorted(names))}}}"] if names else []
+
+
+def file_period(path: Column, method: str) -> Column:
+    """the period label in the part of a path below its method's folder."""
+    return path_period(F.substring_index(path, f"/{method}/", -1))
+
+
+def landed_files(spark: SparkSession, root: str, method: str, with_sidecar: bool = True,
+                 grain: str | None = None) -> DataFrame:
+    """The Parquet files of a method over all sources, those with a sidecar if so asked.
+
+    Files of a method kept by symbol (``grain="SYMBOL"``) or as a whole carry no period, whatever their folders
+    are called; without a grain the period is read from the path.
+    """
+    where = [method_folder(root, method)]
+    data = file_listing(spark, where).withColumnRenamed("file_path", "path").withColumn("stem", file_stem(F.col("path")))
     if with_sidecar:
-        notes = _listing(spark, root, method, "*.json")
-        data = data.join(notes.select(file_stem(F.col("path")).alias("stem")), "stem", "left_semi")
-    inside = F.substring_index("path", f"/{method}/", -1)
-    return with_period_bounds(data.withColumn("period", path_period(inside)))
+        notes = file_listing(spark, where, "*.json")
+        data = data.join(notes.select(file_stem(F.col("file_path")).alias("stem")), "stem", "left_semi")
+    label = file_period(F.col("path"), method)
+    if grain is not None:
+        label = F.when(period_grain(label) == grain.lower(), label) if grain.upper() not in UNDATED else F.lit(None).cast("string")
+    return with_period_bounds(data.withColumn("period", label))
 
 
 def with_period_bounds(files: DataFrame) -> DataFrame:
@@ -77,7 +93,8 @@ def read_layout(spark: SparkSession, path: str, start: str | None = None,
 def available_periods(files: DataFrame) -> DataFrame:
     """The distinct period labels in order. Files kept per symbol carry no period.
 
-    Six digits are a month only where the month is one: a folder named 000001 is a symbol.
+    Without a stored grain six digits are a month wherever the month is one, so a method kept by symbol needs
+    its grain given to ``landed_files`` or kept in the catalogue: 200011 is a month, or a symbol.
     """
     return files.where(F.col("period_start").isNotNull()).select("period").distinct().orderBy(
         "period")
@@ -87,8 +104,3 @@ def first_files(files: DataFrame, max_files: int | None) -> DataFrame:
     """The first N files by path."""
     ranked = files.orderBy("path")
     return ranked if max_files is None else ranked.limit(max_files)
-
-
-def paths_of(files: DataFrame) -> list[str]:
-    """The path list a Parquet read takes; as long as Spark's own file index."""
-    return [r.path for r in files.select("path").orderBy("path").toLocalIterator()]

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tallyloom.functions.amounts import nan_to_null
 from tallyloom.operators.lookup import remapped_master
 from tallyloom.operators.resolve import distinct_rows
+from tallyloom.session import as_table
 
 # Position of a row in its file; with ``file_path`` it is the order the rows were landed in.
 ROW_IN_FILE = "file_row"
@@ -81,9 +82,16 @@ def file_stem(path: Column) -> Column:
     return F.regexp_replace(path, r"\.[A-Za-z]+$", "")
 
 
-def sidecar_digests(spark: SparkSession, json_paths: Sequence[str]) -> DataFrame:
-    """S3: ``data_md5`` of each sidecar under the stem it shares with its data file."""
-    rows = spark.read.schema("data_md5 string").option("multiLine", True).json(list(json_paths))
+def sidecar_digests(spark: SparkSession, where: Sequence[str]) -> DataFrame:
+    """S3: ``data_md5`` of each sidecar in files, folders or path patterns, under the stem it shares with
+    its data file."""
+    try:
+        rows = (spark.read.schema("data_md5 string").option("multiLine", True).option("recursiveFileLookup", True)
+                .option("pathGlobFilter", "*.json").json(list(where)))
+    except AnalysisException as error:
+        if not is_missing_path(error):
+            raise
+        return empty(spark, "stem string, file_md5 string")
     return rows.select(file_stem(F.col("_metadata.file_path")).alias("stem"),
                        F.col("data_md5").alias("file_md5"))
 
@@ -95,62 +103,62 @@ def file_digests(spark: SparkSession, path: str) -> DataFrame:
     return files.select(file_stem(F.col("path")).alias("stem"), F.md5("content").alias("file_md5"))
 
 
-def _per_file(spark: SparkSession, paths: Sequence[str], look, schema: str) -> DataFrame:
-    """Rows that ``look(path, file system, path in it)`` yields for every file, in tasks."""
+def _footer_types(spark: SparkSession, where: Sequence[str], tolerant: bool) -> list[tuple[str, str]]:
+    """(path, column types) per file, read from the footers in tasks; only for files that do not agree."""
     def each(batches):
         import pandas as pd
+        import pyarrow as pa
+        import pyarrow.parquet as pq
         from pyarrow import fs
-        names = [c.split()[0] for c in schema.split(", ")]
         for batch in batches:
             found = []
-            for path in batch["path"]:
-                plain = path.replace("file:///", "/", 1).replace("file:/", "/", 1)
-                found += look(path, *fs.FileSystem.from_uri(plain))
-            yield pd.DataFrame(found, columns=names)
-
-    files = spark.createDataFrame([(p,) for p in paths], "path string")
-    slices = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
-    return files.repartition(slices).mapInPandas(each, schema)
-
-
-def _footer_types(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, str]]:
-    """(path, column types) per file, read from the footers in tasks."""
-    def types(path, system, local):
-        import pyarrow.parquet as pq
-        schema = pq.read_schema(local, filesystem=system)
-        return [(path, ";".join(f"{f.name}:{f.type}" for f in schema))]
-
-    return [(r.path, r.types) for r in _per_file(spark, paths, types, "path string, types string").collect()]
-
+            for path in batch["file_path"]:
+                system, local = fs.FileSystem.from_uri(path.replace("file:///", "/", 1).replace("file:/", "/", 1))
+                try:
+                    schema = pq.read_schema(local, filesystem=system)
+                except (pa.ArrowException, OSError):
+                    if tolerant:
+                        continue  # reported with the files that have no rows
+                    raise
+                found.append((path, ";".join(f"{f.name}:{f.type}" for f in schema)))
+            yield pd.DataFrame(found, columns=["path", "types"])
+
+    files = file_listing(spark, where).select("file_path").repartition(spark.sparkContext.defaultParallelism)
+    return [(r.path, r.types) for r in files.mapInPandas(each, "path string, types string").collect()]
+
+
+def file_listing(spark: SparkSession, where: Sequence[str], pattern: str = "*.parquet") -> DataFrame:
+    """(file_path, modified, length) of the files in folders or path patterns; no file is opened."""
+    schema = "file_path string, modified timestamp, length bigint"
+    try:
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                 .option("pathGlobFilter", pattern).load(list(where)))
+    except AnalysisException as error:
+        if not is_missing_path(error):
+            raise
+        return empty(spark, schema)
+    about = F.col("_metadata")
+    return files.select(about["file_path"].alias("file_path"), about["file_modification_time"].alias("modified"),
+                        about["file_size"].alias("length"))
 
-def unreadable_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(path, error) of the files that are missing or cannot be read to their end."""
-    def trial(path, system, local):
-        import pyarrow.parquet as pq
-        try:
-            with pq.ParquetFile(local, filesystem=system) as file:
-                for _ in file.iter_batches(batch_size=4096):
-                    pass
-        except Exception as error:  # whatever the reader says is the answer
-            return [(path, (str(error).splitlines() or [type(error).__name__])[0][:500])]
-        return []
 
-    return _per_file(spark, paths, trial, "path string, error string")
+def _reader(spark: SparkSession, tolerant: bool):
+    return (spark.read.option("mergeSchema", True).option("recursiveFileLookup", True)
+            .option("pathGlobFilter", "*.parquet").option("ignoreCorruptFiles", tolerant)
+            .option("ignoreMissingFiles", tolerant))
 
 
-def _merged_scan(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    rows = (spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", False)
-            .option("ignoreMissingFiles", False).parquet(*paths))
+def _placed(rows: DataFrame) -> DataFrame:
     return rows.select("*", F.col("_metadata.file_path").alias("file_path"),
                        F.col("_metadata.row_index").alias(ROW_IN_FILE))
 
 
-def _union_of_kinds(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def _union_of_kinds(spark: SparkSession, where: Sequence[str], tolerant: bool) -> DataFrame:
     """Files whose columns differ in type: one read per set of types, drifting columns as text."""
     kinds: dict[str, list[str]] = {}
-    for path, types in _footer_types(spark, paths):
+    for path, types in _footer_types(spark, where, tolerant):
         kinds.setdefault(types, []).append(path)
-    parts = [_merged_scan(spark, members) for members in kinds.values()]
+    parts = [_placed(_reader(spark, tolerant).parquet(*members)) for members in kinds.values()]
     seen: dict[str, set[str]] = {}
     for part in parts:
         for field in part.schema:
@@ -161,43 +169,72 @@ def _union_of_kinds(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), texts)
 
 
-def landing_scan(spark: SparkSession, paths: Sequence[str], digests: DataFrame | None = None,
-                 expected: T.StructType | None = None, position: bool = False,
-                 unreadable: str = "raise",
-                 report: Callable[[DataFrame], object] | None = None) -> DataFrame:
-    """Every file by column name, with ``file_path`` and ``file_md5``.
-
-    ``position`` adds the row's place in its file, for steps that depend on row order.
-
-    A missing or broken file stops the job. With ``unreadable="skip"`` every file is first read to its
-    end; those that cannot be are left out whole, and ``report`` gets them as (path, error). No file
-    at all gives an empty frame. Columns a file lacks are null. Columns that change type between files come as text unless ``expected`` says
-    otherwise, in which case they are cast leniently.
-    """
-    provenance = "file_path string, file_md5 string" + (
-        f", {ROW_IN_FILE} bigint" if position else "")
-    if unreadable not in ("raise", "skip"):
-        raise ValueError(f"unreadable must be raise or skip, not {unreadable}")
-    paths = list(paths)
-    if paths and unreadable == "skip":
-        bad = unreadable_files(spark, paths).collect()
-        if report is not None:
-            report(spark.createDataFrame([tuple(r) for r in bad], "path string, error string"))
-        gone = {r.path for r in bad}
-        paths = [p for p in paths if p not in gone]
-    if not paths:
-        return empty(spark, provenance)
+def _merged_scan(spark: SparkSession, where: Sequence[str], tolerant: bool) -> DataFrame | None:
+    """The rows of all files; None where no file has a schema to read by."""
     try:
-        rows = _merged_scan(spark, paths)
+        return _placed(_reader(spark, tolerant).parquet(*where))
     except AnalysisException as error:
+        if is_missing_path(error) or error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
         if error.getCondition() != "CANNOT_MERGE_SCHEMAS":
             raise
-        rows = _union_of_kinds(spark, paths)
     except Exception as error:
         # Schema merging runs as a job, so its conflict can also arrive as a job failure.
         if "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
-        rows = _union_of_kinds(spark, paths)
+    return _union_of_kinds(spark, where, tolerant)
+
+
+UNREADABLE = "path string, error string"
+
+
+def _whole_files(spark: SparkSession, where: Sequence[str], rows: DataFrame | None) -> tuple[DataFrame | None, DataFrame]:
+    """The rows of files that were read to their end, and (path, error) of the others.
+
+    The data are read once, into a table. Spark leaves a file at the first page it cannot read; how many rows
+    it should have had is counted from the footers alone, which a scan without columns reads. A file
+    with fewer rows than that is left out whole.
+    """
+    listed = file_listing(spark, where).select("file_path")
+    if rows is None:
+        return None, listed.select(F.col("file_path").alias("path"), F.lit("no rows: empty or no Parquet file").alias("error"))
+    table = as_table(rows, "landed-rows")
+    got = table.groupBy("file_path").agg(F.count("*").alias("n_read"))
+    stated = (_reader(spark, True).schema("_none string").parquet(*where)
+              .groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count("*").alias("n_stated")))
+    both = listed.join(stated, "file_path", "left").join(got, "file_path", "left")
+    short = F.coalesce("n_read", F.lit(0)) < F.col("n_stated")
+    bad = as_table(both.where(F.col("n_stated").isNull() | short).select(
+        F.col("file_path").alias("path"),
+        F.when(short, F.concat(F.lit("read "), F.coalesce("n_read", F.lit(0)), F.lit(" of "), "n_stated", F.lit(" rows")))
+        .otherwise("no rows: empty or no Parquet file").alias("error")), "unreadable-files")
+    return table.join(bad, table["file_path"] == bad["path"], "left_anti"), bad
+
+
+def landing_scan(spark: SparkSession, where: Sequence[str], digests: DataFrame | None = None,
+                 expected: T.StructType | None = None, position: bool = False,
+                 unreadable: str = "raise", report: Callable[[DataFrame], object] | None = None,
+                 need_digest: bool = False) -> DataFrame:
+    """The rows of files, folders or path patterns by column name, with ``file_path`` and ``file_md5``.
+
+    ``position`` adds the row's place in its file, for steps that depend on row order. A broken file stops
+    the job; with ``unreadable="skip"`` files that cannot be read to their end are left out whole, and
+    ``report`` gets them as (path, error). No file at all gives an empty frame. Columns a file lacks
+    are null. Columns that change type between files come as text unless ``expected`` says otherwise, in
+    which case they are cast leniently. ``need_digest`` keeps only files that have one.
+    """
+    if unreadable not in ("raise", "skip"):
+        raise ValueError(f"unreadable must be raise or skip, not {unreadable}")
+    tolerant, where = unreadable == "skip", list(where)
+    rows = _merged_scan(spark, where, tolerant) if where else None
+    if tolerant and where:
+        rows, bad = _whole_files(spark, where, rows)
+        if report is not None:
+            with_notes = bad if not need_digest else bad.join(
+                digests.select("stem"), file_stem(F.col("path")) == F.col("stem"), "left_semi")
+            report(with_notes)
+    if rows is None:
+        return empty(spark, "file_path string, file_md5 string" + (f", {ROW_IN_FILE} bigint" if position else ""))
     if not position:
         rows = rows.drop(ROW_IN_FILE)
     if expected is not None:
@@ -206,7 +243,7 @@ def landing_scan(spark: SparkSession, paths: Sequence[str], digests: DataFrame |
     if digests is None:
         return rows.withColumn("file_md5", F.lit(None).cast("string"))
     with_stem = rows.withColumn("stem", file_stem(F.col("file_path")))
-    return with_stem.join(digests, "stem", "left").drop("stem")
+    return with_stem.join(digests, "stem", "inner" if need_digest else "left").drop("stem")
 
 
 def merge_pages(pages: Sequence[DataFrame], spark: SparkSession | None = None,
