@@ -244,7 +244,9 @@ class Groups:
 
     def _sets(self, members: DataFrame) -> DataFrame:
         """(node, set) of the nodes that share a bucket, from the text of the row that stands for each."""
-        wanted = members.select(F.col("node").alias(OWN + "row")).distinct()
+        # By shuffle at every size, as the ids grow with the table: a broadcast of few of them would only make
+        # small runs say nothing about large ones.
+        wanted = members.select(F.col("node").alias(OWN + "row")).distinct().hint("merge")
         texts = self.rows.select(OWN + "row", OWN + "text").join(wanted, OWN + "row", "left_semi")
         return as_table(_sets_of(texts, self.words), "near-sets")
 
