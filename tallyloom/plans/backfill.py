@@ -24,6 +24,9 @@ CODE_PLACEHOLDERS = {
     "<VENDOR_SYMBOL>": ("vendor", None),
     "<DIGIT_SYMBOL>": ("digits", None),
 }
+# The words existing request files use for the four lists above, in the same order.
+CODE_WORDS = ("<AK_LISTED_SYMBOL>", "<AK_DELISTED_SYMBOL>", "<AK_SYMBOL_EASTMONEY>", "<AK_SYMBOL_A_STOCK>")
+CODE_PLACEHOLDERS |= dict(zip(CODE_WORDS, tuple(CODE_PLACEHOLDERS.values())))
 
 
 def with_bounds(requests: DataFrame) -> DataFrame:
