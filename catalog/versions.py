@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,10 @@ from catalog.registry import query
 from tallyloom.functions.dates import compact_text
 from tallyloom.session import scratch_path
 from tallyloom.sinks.changes import as_of, change_feed, digest_diff, validity
+from tallyloom.sinks.cluster import read_clustered, write_clustered
 from tallyloom.sinks.partitions import PartitionStore
+from tallyloom.sinks.retention import compact, hold, stored, vacuum, vacuum_plan
+from tallyloom.streaming.resolved import keep_resolved
 
 COLUMNS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, period"
 FIRST = """select o_orderkey, o_custkey, o_orderstatus, o_totalprice,
@@ -188,3 +193,78 @@ def _(t):
         select {COLUMNS} from ({THIRD}) a except select {COLUMNS} from ({SECOND}) b) x) y""")
 def _(t):
     return validity(three_versions(t, "validity"))
+
+
+@query("vacuum_plan", f"""
+    with gone as (select distinct period from (({FIRST}) except all ({SECOND})) x union
+                  select distinct period from (({SECOND}) except all ({FIRST})) y)
+    select period as label, 'superseded' as reason from gone""")
+def _(t):
+    """Of three versions the first may go, the second is held by a reader: what only the first needs."""
+    kept = three_versions(t, "vacuum-plan")
+    later = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(hours=1)
+    hold(kept, "report", 1, later)
+    return vacuum_plan(kept, later, now=later - dt.timedelta(minutes=1)).select("label", "reason")
+
+
+@query("vacuum_keeps", f"select *, 'held' as version from ({SECOND}) a union all select *, 'current' from ({THIRD}) b")
+def _(t):
+    """After the deletion the held and the current version read as before."""
+    kept = three_versions(t, "vacuum-keeps")
+    later = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(hours=1)
+    hold(kept, "report", 1, later)
+    vacuum(kept, later, now=later - dt.timedelta(minutes=1))
+    return kept.read(1).withColumn("version", F.lit("held")).unionByName(kept.read().withColumn("version", F.lit("current")))
+
+
+@query("compaction_plan", f"""
+    select period as label, count(*) as n_rows, cast(1 as bigint) as n_files from ({FIRST}) a group by period""")
+def _(t):
+    """A table saved in small pieces: after the compaction each partition is one file, its rows as they were."""
+    kept, size = store(t, "compaction"), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = t.spark.conf.get(size, None)
+    t.spark.conf.set(size, "1k")
+    try:
+        kept.save(first(t))
+    finally:
+        t.spark.conf.unset(size) if before is None else t.spark.conf.set(size, before)
+    compact(kept, 128 << 20)
+    folders = kept.state().select("label", "folder")
+    files = stored(kept).join(folders, ["label", "folder"]).select("label", "n_files")
+    return kept.read().groupBy(F.col("period").alias("label")).agg(F.count("*").alias("n_rows")).join(files, "label")
+
+
+@query("clustered_read", """
+    select 'customer' as way, o_orderkey, o_custkey, strftime(o_orderdate, '%Y%m%d') as day, o_totalprice from {orders}
+    where o_custkey between 20 and 40
+    union all
+    select 'day', o_orderkey, o_custkey, strftime(o_orderdate, '%Y%m%d'), o_totalprice from {orders}
+    where strftime(o_orderdate, '%Y%m%d') between '19960301' and '19960410'
+    union all
+    select 'both', o_orderkey, o_custkey, strftime(o_orderdate, '%Y%m%d'), o_totalprice from {orders}
+    where o_custkey between 20 and 400 and strftime(o_orderdate, '%Y%m%d') between '19960301' and '19961010'""")
+def _(t):
+    """A table clustered by customer and day, read by either and by both."""
+    path = scratch_path(t.spark, "clustered")
+    rows = t.table("orders").select("o_orderkey", "o_custkey", compact_text(F.col("o_orderdate")).alias("day"), "o_totalprice")
+    write_clustered(rows, path, ("o_custkey", "day"), 16)
+    days = {"day": ("19960301", "19960410")}
+    parts = [read_clustered(t.spark, path, w).select(F.lit(way).alias("way"), "*") for way, w in (
+        ("customer", {"o_custkey": (20, 40)}), ("day", days), ("both", {"o_custkey": (20, 400), "day": ("19960301", "19961010")}))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("stream_resolved", """
+    select symbol, period_end, update_flag, ann_date, report_type, amount, order_key from (
+      select *, row_number() over (partition by symbol, period_end order by cast(update_flag as int) desc, ann_date desc,
+        update_flag, ann_date, report_type, amount, order_key) as rn from v_revisions) x where rn = 1""")
+def _(t):
+    """Revisions landed in four drops, the oldest last, each taken up by a stream of its own batches."""
+    root = scratch_path(t.spark, "revisions")
+    rows = t.view("v_revisions").withColumn("label", F.col("period_end").cast("string"))
+    kept = PartitionStore(t.spark, f"{root}/table", "label", ["symbol", "period_end", "label"])
+    for drop in (3, 1, 2, 0):
+        rows.where(F.pmod("order_key", F.lit(4)) == drop).coalesce(1).write.mode("append").parquet(f"{root}/drop")
+        stream = t.spark.readStream.schema(rows.schema).parquet(f"{root}/drop")
+        keep_resolved(stream, kept, "keep_latest_update", f"{root}/progress").awaitTermination()
+    return kept.read().drop("label")

@@ -257,7 +257,7 @@ class PartitionStore:
          .write.mode("append").partitionBy(self.by).parquet(f"{self.root}/data/folder={folder}"))
         return labels
 
-    def _commit(self, judged, changed, folder, actions, head, schema, info) -> bool:
+    def _commit(self, judged, changed, folder, actions, head, schema, info, operation: str = "save") -> bool:
         action = F.when(F.col("method") == "remove", "remove").otherwise("add")
         (changed.select(
             "label", F.lit(folder).alias("folder"), F.lit(head + 1).cast("long").alias("number"), "new.rows",
@@ -271,7 +271,7 @@ class PartitionStore:
         known = [] if head < 0 else list(self._schema(head))
         names = {f.name for f in known}
         columns = T.StructType([*known, *[f for f in schema if f.name not in names]])
-        entry = {"at": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(), "operation": "save",
+        entry = {"at": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(), "operation": operation,
                  "info": info, "folder": actions, "n_partitions": facts["n"], "n_rows": facts["rows"],
                  "rows": total["rows"] or 0, "hash_sum": str(total["hash_sum"] or 0), "hash_xor": total["hash_xor"] or 0,
                  "columns": columns.json()}
