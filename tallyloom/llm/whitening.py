@@ -26,6 +26,7 @@ from dataclasses import dataclass
 from itertools import accumulate
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.linalg import DenseMatrix
 from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
@@ -102,7 +103,13 @@ def blocks_of(fitted: DataFrame, means: list[float]) -> BlockMatrix:
     vectors = fitted.select("index", array_to_vector(centred(F.col("x"), means)).alias("row"))
     matrix = IndexedRowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "row"))
     across = min(size, 1024)
-    return matrix.toBlockMatrix(max(1, ENTRIES // across), across)
+    blocks = matrix.toBlockMatrix(max(1, ENTRIES // across), across)
+    # Two products read each block several times; one that is lost with its executor is made again.
+    return blocks.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _released(blocks: BlockMatrix) -> None:
+    blocks._java_matrix_wrapper._java_model.blocks().unpersist(False)
 
 
 def scatter(blocks: BlockMatrix) -> np.ndarray:
@@ -127,6 +134,7 @@ def fit(fitted: DataFrame, components: int = 4) -> tuple[Fit | None, BlockMatrix
     values, vectors, trace = values[::-1], vectors[:, ::-1], float(np.trace(covariance))
     good = values[:components] > NO_VARIANCE * trace if trace > 0 else np.zeros(0, bool)
     if not good.any():
+        _released(blocks)
         return None, None
     count = int(good.sum())
     return Fit(n, sums, values[:count].copy(), np.ascontiguousarray(vectors[:, :count]), trace), blocks
@@ -163,6 +171,7 @@ def whiten(vectors: DataFrame, scale: int = 256, components: int = 4) -> DataFra
     if model is None:
         return spark.createDataFrame([], OUT)
     white = as_table(projected(blocks, model.matrix, spark), "whitened")
+    _released(blocks)
     error = identity_error(white, len(model.values))
     largest = fitted.agg(F.max(F.greatest(F.array_max("x"), -F.array_min("x")))).first()[0]
     results = fitted.join(white, "index").select(
