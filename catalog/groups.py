@@ -11,6 +11,8 @@ from tallyloom.operators.lookup import mapped_name
 from tallyloom.plans.backfill import backfill_plan
 from tallyloom.quality import reconcile as rec
 from tallyloom.quality import rules
+from tallyloom.session import scratch_path
+from tallyloom.sinks.writers import write_audit_report
 from tallyloom.sources.scan import merge_pages, union_sources
 
 KEYS = ["ts_code", "end_date", "f_ann_date"]
@@ -38,6 +40,16 @@ def _(t):
     return resolve.resolve_11(t.view("v_stmt"))
 
 
+@query("flag_11_slashes", f"""
+    select {STMT} from ({STAMPED_SQL}) x where not coalesce({LOSES_11}, false)""")
+def _(t):
+    """Announcement days written with slashes: the later of two rows stays, as with any other form."""
+    day = F.col("ann_date").cast("string")
+    slashes = F.concat_ws("/", F.substring(day, 1, 4), F.substring(day, 5, 2), F.substring(day, 7, 2))
+    rows = t.view("v_stmt").withColumn("ann_date", F.when(F.col("ann_date").isNotNull(), slashes))
+    return resolve.resolve_11(rows).withColumn("ann_date", F.replace("ann_date", F.lit("/"), F.lit("")).cast("int"))
+
+
 @query("flag_01_11", f"""
     select {STMT} from ({STAMPED_SQL}) x
     where not coalesce({LOSES_01}, false) and not coalesce({LOSES_11}, false)""")
@@ -263,6 +275,14 @@ def _(t):
     return _audited(t).select("rule_id", "category", "level", "status")
 
 
+@query("audit_sink", AUDIT_SQL)
+def _(t):
+    """The report as it was written and is read back."""
+    path, results = scratch_path(t.spark, "audit"), _audited(t)
+    write_audit_report(results, rules.verdict(results), path)
+    return t.spark.read.schema("rule_id string, category string, level string, status string").json(f"{path}/results")
+
+
 @query("audit_rollup", f"""
     with a as ({AUDIT_SQL})
     select 'status' as dimension, status as value, count(*) as n_results from a group by 2

@@ -19,7 +19,7 @@ from tallyloom.operators.measures import calendar_days, instruments
 from tallyloom.plans import processors
 from tallyloom.plans.cleaning import clean_sources
 from tallyloom.plans.collect import collect
-from tallyloom.plans.feed import daily_feed, point_in_time_feed, run_converters, write_point_in_time
+from tallyloom.plans.feed import daily_feed, point_in_time_feed, run_converters, sort_day, write_point_in_time
 from tallyloom.plans.steps import cleaning_registry
 from tallyloom.quality.rules import feed_check, field_presence
 from tallyloom.session import scratch_path
@@ -27,7 +27,7 @@ from tallyloom.sinks import layout, runlog, writers
 from tallyloom.sinks.snapshot import ShrinkError, SnapshotStore, fingerprint
 from tallyloom.sources.landing import (
     available_periods, first_files, landed_files, method_folder, period_patterns, read_layout)
-from tallyloom.sources.scan import file_digests, landing_scan, read_csv, read_table
+from tallyloom.sources.scan import file_digests, landing_scan, read_calendar, read_csv, read_table
 from tallyloom.streaming.landing import append_new, landed_stream
 
 ORDERS_SQL = """
@@ -620,3 +620,86 @@ def _(t):
 def _(t):
     return runlog.latest_runs(t.view("v_runs")).select(
         "task_id", "execution_status", "data_rows", compact_text(F.col("updated_at")).alias("day"))
+
+
+# --- published tables, one per processor ----------------------------------------------------
+
+STATEMENT_ROWS = """select ts_code, ann_date as f_ann_date, end_date, ann_date, revenue
+    from v_stmt_clean where ts_code is not null"""
+
+
+def _statement_rows(t) -> DataFrame:
+    return t.view("v_stmt_clean").select(
+        "ts_code", F.col("ann_date").alias("f_ann_date"), "end_date", F.lit("1").alias("comp_type"), "ann_date",
+        F.lit("0").alias("update_flag"), "revenue", F.lit(1.0).alias("ebit"), F.lit(1.0).alias("free_cashflow"),
+        F.lit(1.0).alias("fcff"), F.lit("F").alias("div_proc"), F.col("ann_date").alias("imp_ann_date"))
+
+
+def _published(t, name: str, rows: DataFrame, section, overrides=None) -> DataFrame:
+    store = SnapshotStore(t.spark, scratch_path(t.spark, f"publish-{name}"))
+    processors.run(rows, name, store, name, section, overrides)
+    return store.read(name)
+
+
+def _publish_statement(name: str, columns: str, section, overrides=None, prepare=lambda rows: rows) -> None:
+    @query(f"publish_{name}", f"select {columns} from ({STATEMENT_ROWS}) x")
+    def _(t):
+        done = _published(t, name, prepare(_statement_rows(t)), section, overrides)
+        return done.select(*[c.split(" as ")[-1] for c in columns.split(", ")])
+
+
+TOTAL = {"revenue": {"renamed_field": "total", "relationship": "1", "report_item": "total"}}
+for _name in ("balance_sheet", "cash_flow"):
+    _publish_statement(_name, "ts_code, f_ann_date, end_date, revenue as total", TOTAL)
+_publish_statement("income", "ts_code, f_ann_date, end_date, revenue as total_opcost", {"total_opcost": {}},
+                   prepare=lambda rows: rows.withColumns({
+                       "total_opcost": F.col("revenue"), "total_cogs": F.col("revenue"),
+                       "credit_impa_loss": F.lit(0.0), "assets_impair_loss": F.lit(0.0)}))
+_publish_statement("indicator", "ts_code, ann_date, end_date, revenue as total", TOTAL)
+_publish_statement("dividend", "ts_code, end_date, ann_date, revenue as cash_div_tax", {},
+                   {"filter_implementation_only": {"status": "F"}, "handle_duplicate_records": {"tie_break": ["ts_code"]}},
+                   lambda rows: rows.withColumn("cash_div_tax", F.col("revenue")))
+
+
+def _publish_quotes(name: str, view: str, value: str) -> None:
+    @query(f"publish_{name}", f"""
+        select q.ts_code, q.trade_date, q.{value} from {view} q
+        join (select ts_code, trade_date from v_daily where {LISTED_SQL}) d
+          on d.ts_code = q.ts_code and d.trade_date = q.trade_date""")
+    def _(t):
+        days = t.view("v_daily").select("ts_code", "trade_date", "list_date", "delist_date")
+        rows = t.view(view).drop("list_date", "delist_date").join(days, ["ts_code", "trade_date"])
+        done = _published(t, name, rows, {}, {"filter_listing_dates": {"floor": FLOOR}})
+        return done.select("ts_code", "trade_date", value)
+
+
+for _name, _view, _value in (("daily", "v_daily", "volume"), ("adj_factor", "v_adj", "factor"), ("daily_basic", "v_basic", "pe")):
+    _publish_quotes(_name, _view, _value)
+
+
+@query("calendar_load", "select cal_date, is_open from v_calendar")
+def _(t):
+    """A calendar whose days are numbers in the file."""
+    path = scratch_path(t.spark, "calendar")
+    t.view("v_calendar").withColumn("cal_date", F.col("cal_date").cast("int")).write.parquet(path)
+    return read_calendar(t.spark, path)
+
+
+@query("feed_order", f"""
+    select upper(symbol) as symbol, count(*) as n_rows, cast(0 as bigint) as n_out_of_order from ({FEED_SQL}) x group by 1""")
+def _(t):
+    """The files of each entity in the order of their names and lines: no day comes before the one above it."""
+    path, feed = scratch_path(t.spark, "feed"), _feed(t)
+    day = sort_day(feed.columns)
+    writers.write_per_entity(feed, path, "symbol", day, [day, "low"], upper=True)
+    rows = writers.read_per_entity(t.spark, path, "date date, low double, symbol string").select(
+        "symbol", F.col("_metadata.file_name").alias("file"), "date", F.monotonically_increasing_id().alias("line"))
+    above = rows.select("symbol", "file", (F.col("line") + 1).alias("line"), F.col("date").alias("before"))
+    both = rows.join(above, ["symbol", "file", "line"], "left")
+    lines = both.groupBy("symbol").agg(F.count("*").alias("n_rows"), F.count_if(F.col("date") < F.col("before")).alias("bad"))
+    # Files of an entity, by name: the last day of one against the first of the next.
+    spans = rows.groupBy("symbol", "file").agg(F.min("date").alias("a"), F.max("date").alias("b"))
+    turns = spans.groupBy("symbol").agg(F.array_sort(F.collect_list(F.struct("file", "a", "b"))).alias("f"))
+    wrong = F.size(F.filter(F.sequence(F.lit(1), F.greatest(F.size("f") - 1, F.lit(1))),
+                            lambda i: F.coalesce(F.get("f", i)["a"] < F.get("f", i - 1)["b"], F.lit(False))))
+    return lines.join(turns, "symbol").select("symbol", "n_rows", (F.col("bad") + wrong).cast("long").alias("n_out_of_order"))

@@ -46,7 +46,7 @@ def parse_compact(c: Column) -> Column:
 
 
 def as_day(df: DataFrame, name: str) -> Column:
-    """A column of any type as a date; text and numbers are read as ``yyyyMMdd`` or ISO."""
+    """A column of any type as a date; text and numbers are read as ``yyyyMMdd``, ISO, or ISO with slashes."""
     dtype, c = df.schema[name].dataType, F.col(name)
     if isinstance(dtype, T.DateType):
         return c
@@ -54,7 +54,7 @@ def as_day(df: DataFrame, name: str) -> Column:
         return F.to_date(c)
     if isinstance(dtype, T.NumericType):
         return parse_compact(c)
-    return F.coalesce(parse_compact(c), c.try_cast("date"))
+    return F.coalesce(parse_compact(c), F.replace(c, F.lit("/"), F.lit("-")).try_cast("date"))
 
 
 def day_order(df: DataFrame, name: str) -> Column:

@@ -1,8 +1,9 @@
 """Versioned tables written only when their content changed.
 
-A version is a directory of its own. Publishing it is one row appended to the manifest, so readers
-see either the old version or the new one, and a lost executor or job leaves no half-written table
-in sight. Old versions stay where they are; the manifest says which one is current.
+A version is a directory of its own. Publishing it is one commit of the store's log, made by one atomic
+step, so readers see either the old version or the new one, a lost executor or job leaves no half-written
+table in sight, and of two savers that began with the same version one publishes and the other is told.
+Old versions stay where they are; the log says which one is current.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.sources.scan import empty
+from tallyloom.sinks.commits import CommitLog
 
 MANIFEST_SCHEMA = (
     "dataset string, version string, path string, rows bigint, columns int, fingerprint string, "
@@ -68,25 +69,23 @@ class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.manifest_path = f"{self.root}/manifest"
-        # Made once per root, so that reading the manifest needs no special first case.
-        empty(spark, MANIFEST_SCHEMA).write.mode("ignore").parquet(self.manifest_path)
+        self.log = CommitLog(spark, self.root, MANIFEST_SCHEMA)
 
-    def manifest(self) -> DataFrame:
-        """Every published version."""
-        return self.spark.read.schema(MANIFEST_SCHEMA).parquet(self.manifest_path)
+    def manifest(self, upto: int | None = None) -> DataFrame:
+        """Every published version, optionally up to a commit."""
+        return self.log.entries(upto).drop("number")
 
-    def current(self) -> DataFrame:
+    def current(self, upto: int | None = None) -> DataFrame:
         """The newest row per dataset."""
-        rows = self.manifest()
+        rows = self.manifest(upto)
         rest = [c for c in rows.columns if c not in ("dataset", "updated_at", "version")]
         newest = rows.groupBy("dataset").agg(
             F.max(F.struct("updated_at", "version", *rest)).alias("_row"))
         return newest.select("dataset", *[F.col(f"_row.{c}").alias(c) for c in rows.columns
                                           if c != "dataset"])
 
-    def latest(self, dataset: str):
-        found = self.current().where(F.col("dataset") == dataset).take(1)
+    def latest(self, dataset: str, upto: int | None = None):
+        found = self.current(upto).where(F.col("dataset") == dataset).take(1)
         return found[0] if found else None
 
     def read(self, dataset: str) -> DataFrame | None:
@@ -147,7 +146,8 @@ class SnapshotStore:
             known = None if judged else self._judge(dataset, facts, old, shrink, second, force)
             outcome = known or self._publish(df, dataset, info, version, path, facts, old, check)
         except Exception:
-            self._discard(path)
+            if not self.manifest().where(F.col("version") == version).take(1):
+                self._discard(path)
             raise
         if known is not None:
             self._discard(path)
@@ -195,15 +195,18 @@ class SnapshotStore:
         """Checks the written version, then adds the manifest row that makes it current."""
         if check is not None:
             check(self.spark.read.parquet(path))
-        there = self.latest(dataset)
-        if (there.version if there else None) != (old.version if old else None):
-            raise StaleError(f"{dataset}: {there.version if there else 'no version'} is current, "
-                             f"this save began with {old.version if old else 'none'}")
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        row = (dataset, version, path, facts["rows"], len(df.columns), _text(facts),
-               old.version if old else None, old.rows if old else None,
-               old.fingerprint if old else None, info, old.created_at if old else now, now)
-        (self.spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1)
-         .write.mode("append").parquet(self.manifest_path))
+        while True:
+            head = self.log.head()
+            there = self.latest(dataset, head)
+            if (there.version if there else None) != (old.version if old else None):
+                raise StaleError(f"{dataset}: {there.version if there else 'no version'} is current, "
+                                 f"this save began with {old.version if old else 'none'}")
+            now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+            row = {"dataset": dataset, "version": version, "path": path, "rows": facts["rows"], "columns": len(df.columns),
+                   "fingerprint": _text(facts), "previous_version": old.version if old else None,
+                   "previous_rows": old.rows if old else None, "previous_fingerprint": old.fingerprint if old else None,
+                   "info": info, "created_at": (old.created_at if old else now).isoformat(), "updated_at": now.isoformat()}
+            if self.log.append(row, head):  # else another dataset was published meanwhile
+                break
         return Outcome(dataset, "update" if old else "new", facts["rows"], _text(facts), path,
                        "published")

@@ -12,8 +12,9 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
              "MapInPandas", "collect_list", "collect_set")
 
 
-# Lists of bounded length: a number per version that changed a row, the keys of one map.
-LISTS_ALLOWED = {"validity", "version_as_of", "template_nested"}
+# Lists of bounded length: a number per version that changed a row, the keys of one map, the
+# files of one entity.
+LISTS_ALLOWED = {"validity", "version_as_of", "template_nested", "feed_order"}
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
