@@ -5,7 +5,8 @@ its query, its fragment. Spark's FP-growth mines the token sets of bad pages for
 them hold; how many labelled pages hold a combination is counted by a join, and rules with enough
 confidence stay. They match through an inverted index: each
 rule is listed once, under the rarest of its tokens, so a URL meets only the rules of its own tokens and
-then checks that the rest of a rule is there as well.
+then checks that the rest of a rule is there as well. Tokens that occur in the same labelled URLs only are
+one item for all of this: any of them stands for all, as each by itself would make the same rules.
 
 Fixed rules by host and path come before the mined ones; of those that fit, the longest decides.
 
@@ -91,18 +92,45 @@ def tokens_of(url: Column) -> Column:
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(found))
 
 
-def mine(labelled: DataFrame, mining: Mining = Mining()) -> DataFrame | None:
-    """(tokens, anchor, confidence, name) of the rules; ``labelled`` holds (url, bad)."""
+def _leaders(baskets: DataFrame) -> DataFrame:
+    """(token, leader) of the tokens that have one: the first by name of those in exactly the same baskets."""
+    mark = F.xxhash64("own")
+    seen = baskets.select(F.explode("own").alias("token"), mark.alias("m")).groupBy("token").agg(
+        F.count("*").alias("n"), F.sum(F.col("m").cast("decimal(38,0)")).alias("sum"), F.bit_xor("m").alias("xor"))
+    first = seen.groupBy("n", "sum", "xor").agg(F.min("token").alias("leader"), F.count("*").alias("size")).where("size > 1")
+    return as_table(joined(seen, first, ["n", "sum", "xor"]).where("token <> leader").select("token", "leader"), "url-twins")
+
+
+def _led(rows: DataFrame, key: str, twins: DataFrame) -> DataFrame:
+    """(key, led, own): the leaders of a row's tokens, and beside each the first of the row's tokens that it leads."""
+    each = rows.select(key, F.explode("own").alias("token"))
+    known = joined(each, twins, ["token"], "left").select(key, F.coalesce("leader", "token").alias("leader"), "token")
+    first = known.groupBy(key, "leader").agg(F.min("token").alias("token"))
+    # As many as a URL has tokens.
+    return first.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("leader", "token"))).alias("pairs")).select(
+        key, F.col("pairs.leader").alias("led"), F.col("pairs.token").alias("own"))
+
+
+def mine(labelled: DataFrame, mining: Mining = Mining()) -> tuple[DataFrame, DataFrame] | None:
+    """Rules (tokens, anchor, confidence) and twins (token, leader); ``labelled`` holds (url, bad).
+
+    Tokens that occur in the same labelled URLs only are one token for the mining, named by the first of
+    them: the shared segments of a family of URLs make one item, not a set for each of their combinations.
+    """
     bad = F.col("bad")
     sets = as_table(labelled.where("bad is not null").select(F.array_sort(tokens_of(F.col("url"))).alias("own"), "bad")
                     .where((F.size("own") > 0) | bad).groupBy("own")
                     .agg(F.count("*").alias("pages"), F.sum(bad.cast("long")).alias("bad")), "url-token-sets")
-    baskets = sets.where(F.size("own") > 0)
+    whole = sets.where(F.size("own") > 0)
     count = sets.agg(F.sum("pages")).first()[0] or 0
-    proofs = baskets.agg(F.sum("bad")).first()[0] or 0
+    proofs = whole.agg(F.sum("bad")).first()[0] or 0
     least = max(mining.pages, math.ceil(mining.support * count - 1e-9), 1)
     if proofs < least:
         return None
+    twins = _leaders(whole)
+    numbered = as_table(whole.withColumn("basket", F.monotonically_increasing_id()), "url-baskets")
+    led = _led(numbered.select("basket", "own"), "basket", twins)
+    baskets = as_table(numbered.drop("own").join(led.select("basket", F.col("led").alias("own")), "basket"), "url-led-baskets")
     each = baskets.where(bad > 0).select("own", F.explode(F.sequence(F.lit(1).cast("long"), bad))).select("own")
     # Half a page less, so that rounding of the share cannot ask for one more.
     model = FPGrowth(itemsCol="own", minSupport=(least - 0.5) / proofs).fit(each)
@@ -115,16 +143,20 @@ def mine(labelled: DataFrame, mining: Mining = Mining()) -> DataFrame | None:
               .select("tokens", "bad", F.col("rarest.token").alias("anchor")))
     held = (joined(exploded, rarest, ["anchor"]).where(F.size(F.array_except("tokens", "own")) == 0)
             .groupBy("tokens").agg(F.max("anchor").alias("anchor"), (F.max("bad") / F.sum("pages")).alias("confidence")))
-    named = held.where(F.col("confidence") >= mining.confidence).select(
-        "tokens", "anchor", "confidence", F.array_join("tokens", " ").alias("name"))
-    return as_table(named, "url-rules")
+    rules = held.where(F.col("confidence") >= mining.confidence).select("tokens", "anchor", "confidence")
+    return as_table(rules, "url-rules"), twins
+
 
+def match(urls: DataFrame, rules: DataFrame, twins: DataFrame) -> DataFrame:
+    """(url, found): for each distinct URL that a mined rule fits, the most confident one.
 
-def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """(url, found): for each distinct URL that a mined rule fits, the most confident one."""
-    met = (urls.select("url", tokens_of(F.col("url")).alias("own")).select("url", "own", F.explode("own").alias("anchor"))
-           .join(rules, "anchor").where(F.size(F.array_except("tokens", "own")) == 0))
-    best = F.min(F.struct((-F.col("confidence")).alias("less"), "name")).alias("found")
+    A rule fits if the URL has, for each of its tokens, that token or a twin; it is named by those the URL has.
+    """
+    led = _led(urls.select("url", tokens_of(F.col("url")).alias("own")), "url", twins)
+    met = (led.select("url", "led", "own", F.explode("led").alias("anchor"))
+           .join(rules, "anchor").where(F.size(F.array_except("tokens", "led")) == 0))
+    named = F.array_join(F.array_sort(F.transform("tokens", lambda t: F.get("own", (F.array_position("led", t) - 1).cast("int")))), " ")
+    best = F.min(F.struct((-F.col("confidence")).alias("less"), named.alias("name"))).alias("found")
     return met.groupBy("url").agg(best).select("url", F.struct("found.name", (-F.col("found.less")).alias("confidence"))
                                                .alias("found"))
 
@@ -132,11 +164,11 @@ def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, labelled: DataFrame, fixed: list[Fixed], mining: Mining = Mining()) -> DataFrame:
     """page_id, url, host, path, rule, verdict, mined and confidence of every row of ``pages``."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url")
-    rules = mine(labelled, mining)
-    if rules is None:
+    mined_rules = mine(labelled, mining)
+    if mined_rules is None:
         found = rows.withColumn("found", F.lit(None).cast("struct<name:string,confidence:double>"))
     else:
-        found = joined(rows, match(rows.where("url is not null").select("url").distinct(), rules), ["url"], "left")
+        found = joined(rows, match(rows.where("url is not null").select("url").distinct(), *mined_rules), ["url"], "left")
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     rule = verdict = F.lit(None).cast("string")
     for f in sorted(fixed, key=lambda f: len(f.text)):  # the longest that fits is asked first
