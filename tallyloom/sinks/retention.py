@@ -79,12 +79,11 @@ def vacuum_plan(store: PartitionStore, older_than: dt.datetime, grace: dt.timede
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     first = max(store.log.at(older_than), 0)
     used = as_table(spans(store), "version-spans")
-    recent = used.where(F.col("valid_to").isNull() | (F.col("valid_to") > first)).select("label", "folder")
-    # A version is held by few readers; each meets the spans of all labels.
-    holds = held(store, now).withColumn("one", F.lit(1))
-    by_hold = used.withColumn("one", F.lit(1)).join(F.broadcast(holds), "one").where(
-        (F.col("valid_from") <= F.col("version")) & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("version"))))
-    needed = recent.union(by_hold.select("label", "folder")).distinct()
+    # One number per reader that holds a version.
+    versions = [r["version"] for r in held(store, now).collect()]
+    by_hold = F.exists(F.lit(versions).cast("array<bigint>"), lambda v: (F.col("valid_from") <= v) & (
+        F.col("valid_to").isNull() | (F.col("valid_to") > v))) if versions else F.lit(False)
+    needed = used.where(F.col("valid_to").isNull() | (F.col("valid_to") > first) | by_hold).select("label", "folder").distinct()
     loose = stored(store).join(needed, ["label", "folder"], "left_anti").join(
         used.select("label", "folder", F.lit(True).alias("known")).distinct(), ["label", "folder"], "left")
     reason = F.when(F.col("known"), "superseded").when(F.col("modified") < F.lit(now - grace), "orphan")
