@@ -66,11 +66,11 @@ def _(t):
     select 'orders' as dataset, strftime(m, '%Y%m') as period
     from (select unnest(generate_series(date '1995-01-01', date '1998-12-01', interval 1 month)) as m) s
     where strftime(m, '%Y%m') not in (select strftime(o_orderdate, '%Y%m') from {orders}
-                                      where o_orderpriority = '1-URGENT' and o_totalprice > 300000)""")
+                                      where o_orderpriority = '1-URGENT' and o_totalprice > 430000)""")
 def _(t):
     """A request for four years of months, less those that the catalogue has."""
     root = scratch_path(t.spark, "landing")
-    some = orders(t).where("o_orderpriority = '1-URGENT' and o_totalprice > 300000")
+    some = orders(t).where("o_orderpriority = '1-URGENT' and o_totalprice > 430000")
     by_month = some.withColumn("month", F.substring("order_day", 1, 6))
     by_month.hint("rebalance", "month").write.partitionBy("month").parquet(f"{root}/vendor/orders")
     # The area is never empty, also where no order is that large.
