@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.contracts import BEIJING_OPENING, IMPLEMENTED
+from tallyloom.functions.amounts import lenient_number
 from tallyloom.functions.dates import compact_int
 
 
@@ -23,7 +24,8 @@ def nonnull(df: DataFrame, column: str) -> DataFrame:
 def matching(df: DataFrame, column: str, condition: str, on_error: str = "raise") -> DataFrame:
     """``==x``, ``!=x``, ``>=n``, ``<=n``, ``>n``, ``<n``, ``notna``, ``isna``.
 
-    ``!=`` keeps nulls. The literal of ``==`` and ``!=`` is read as the column's type.
+    ``!=`` keeps nulls. The literal of ``==`` and ``!=`` is read as the column's type; the other way
+    round, ``>`` and its like read a text column as numbers, and text that is none fits no such condition.
     An absent column leaves the rows as they are; so does an unknown condition with
     ``on_error="skip"``, which otherwise raises.
     """
@@ -47,6 +49,8 @@ def matching(df: DataFrame, column: str, condition: str, on_error: str = "raise"
         if on_error == "skip":
             return df
         raise ValueError(f"condition not understood: {condition}")
+    if isinstance(df.schema[column].dataType, T.StringType):
+        c = lenient_number(c)
     tests = {">=": c >= number, "<=": c <= number, ">": c > number, "<": c < number}
     return df.where(tests[operator])
 

@@ -80,18 +80,18 @@ def resolve_dividends(df: DataFrame, keys: Sequence[str] = ("ts_code", "end_date
     keys = list(keys)
     if any(c not in df.columns for c in [*keys, amount, day]):
         return df
-    spread = relative_spread(F.max(amount), F.min(amount), F.count(amount))
-    wide = per_key(df, keys, spread.alias("_spread")).where(F.col("_spread") > max_spread)
     newest_first = descending(day_order(df, day))
     rest = [c for c in df.columns if c not in keys]
     candidate = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(newest_first)],
                          *[F.col(c).alias(f"_t{i}") for i, c in enumerate(tie_break)],
                          *[F.col(c) for c in rest])
     best = per_key(df.where(keys_present(keys)), keys, F.min(candidate).alias("_best"),
-                   spread.alias("_spread"))
+                   relative_spread(F.max(amount), F.min(amount), F.count(amount)).alias("_spread"))
     narrow = best.where(F.col("_spread").isNull() | (F.col("_spread") <= max_spread))
     single = narrow.select(*[F.col(c) if c in keys else F.col(f"_best.`{c}`").alias(c)
                              for c in df.columns])
+    # Asking for the candidate too keeps the aggregate the same in both places, so its shuffle is read twice.
+    wide = best.where((F.col("_spread") > max_spread) & F.col("_best").isNotNull()).select(*keys, "_spread")
     marked = df.join(tagged(wide, keys, df), key_matches(keys), "left")
     whole = marked.where(F.col("_spread").isNotNull() | ~keys_present(keys)).select(*df.columns)
     return single.unionByName(whole)

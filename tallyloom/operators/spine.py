@@ -14,6 +14,8 @@ from tallyloom.functions.codes import digits_only, exchange_first
 from tallyloom.operators.filters import open_days
 from tallyloom.session import as_table
 
+MOST_DAYS = 146_097  # of a calendar, 400 years: bounds what is numbered in one task and broadcast
+
 
 def max_periods(lookback: Column, multiplier: Column) -> Column:
     """O3: whole number of periods to keep, at least one."""
@@ -86,13 +88,16 @@ def calendar_index(calendar: DataFrame) -> DataFrame:
     Columns: ``day``, ``prior_open`` (number of the last open day on or before it), ``next_open``
     (number of the first open day on or after it), both from 1, and ``is_open``; 0 and n + 1 stand
     for none. The table has one row per day: a century is 36,525 rows, whatever the data. That
-    bound is what allows numbering it in one task and broadcasting it. It is written once, as it is
+    bound is what allows numbering it in one task and broadcasting it; a calendar that spans more than
+    ``MOST_DAYS``, for a day such as 9999-12-31 in it, is refused. It is written once, as it is
     looked up several times and the calendar may itself be a query.
     """
     dated = calendar.select(F.to_date("cal_date", "yyyyMMdd").alias("day"), "is_open")
     days = open_days(dated).select(F.col("day").alias("open_day")).distinct()
     span = dated.agg(F.min("day").alias("a"), F.max("day").alias("b"))
-    every = span.select(F.explode(F.sequence("a", "b")).alias("day"))
+    too_long = F.raise_error(F.concat_ws(" ", F.lit("calendar spans too many days:"), "a", "b"))
+    last = F.when(F.date_diff("b", "a") >= MOST_DAYS, too_long).otherwise(F.col("b"))
+    every = span.select(F.explode(F.sequence(F.col("a"), last)).alias("day"))
     marked = every.join(days, every.day == days.open_day, "left")
     running = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counted = marked.withColumn("prior_open", F.count("open_day").over(running))

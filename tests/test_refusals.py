@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tallyloom.operators import derived, resolve
+from tallyloom.operators import derived, filters, resolve, spine
 from tallyloom.plans import processors
 from tallyloom.session import scratch_path
 from tallyloom.sinks import snapshot
@@ -100,3 +100,18 @@ def test_an_error_after_the_commit_does_not_delete_the_version(spark, monkeypatc
     with pytest.raises(OSError):
         store.save(spark.range(5), "d")
     assert SnapshotStore(spark, store.root).read("d").count() == 5
+
+
+def test_a_calendar_without_bounds_is_refused(spark):
+    days = [("20240101", 1), ("20240102", 0), ("20240103", 1)]
+    good = spark.createDataFrame(days, "cal_date string, is_open int")
+    assert spine.calendar_index(good).count() == 3
+    assert spine.calendar_index(good.limit(0)).count() == 0
+    with pytest.raises(PySparkException, match="calendar spans too many days: 2024-01-01 9999-12-31"):
+        spine.calendar_index(good.union(spark.createDataFrame([("99991231", 1)], good.schema)))
+
+
+def test_text_is_compared_as_numbers(spark):
+    df = spark.createDataFrame([("10",), ("9",), ("x",), ("",), (None,), ("1e1",)], "v string")
+    assert [r.v for r in filters.matching(df, "v", ">9").collect()] == ["10", "1e1"]
+    assert [r.v for r in filters.matching(df, "v", "<=9").collect()] == ["9"]

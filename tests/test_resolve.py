@@ -117,6 +117,16 @@ def test_dividends(spark, rows):
     assert rows(resolve.resolve_dividends(df.drop("imp_ann_date"))) == rows(df.drop("imp_ann_date"))
 
 
+def test_dividends_are_read_twice_and_grouped_once(spark, tmp_path):
+    data = [("A", 1, 1, "20240101", 1.0, 1), ("A", 1, 1, "20240201", 5.0, 2), ("B", 1, None, "20240101", 1.0, 3)]
+    spark.createDataFrame(data, "ts_code string, end_date int, ann_date int, imp_ann_date string, "
+                                "cash_div_tax double, id int").write.parquet(str(tmp_path / "d"))
+    plan = resolve.resolve_dividends(spark.read.parquet(str(tmp_path / "d")), tie_break=["id"])
+    assert sorted(r.id for r in plan.collect()) == [1, 2, 3]
+    final = plan._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in final and final.count("Scan parquet") == 2
+
+
 def test_distinct_on(spark, rows):
     df = spark.createDataFrame([(None, 2, "b"), (None, 1, "a"), ("x", 3, "c"), ("x", 3, "d")],
                                "k string, o int, v string")
