@@ -162,6 +162,27 @@ def test_rake_takes_no_more_than_there_is():
     assert found["a", "*", "*"] == 1.0 and found["b", "*", "*"] <= 1.0
 
 
+def test_rake_spends_the_budget_when_a_value_is_too_rare():
+    targets = mixing.Targets({"source": {"a": 0.4, "b": 0.4, "c": 0.2}, "lang": {"en": 1.0}, "topic": {"x": 0.5, "y": 0.5}}, 0.5)
+    cells = {("a", "en", "x"): 30, ("b", "en", "x"): 900, ("c", "en", "x"): 900, ("b", "en", "y"): 70, ("c", "en", "y"): 100}
+    found = mixing.rake(cells, targets)
+    assert sum(found[k] * n for k, n in cells.items()) == pytest.approx(1000)
+    assert found["a", "en", "x"] == pytest.approx(1, abs=0.01) and all(0 <= p <= 1 for p in found.values())
+    source, _, topic = mixing.goals(cells, targets)
+    assert source["a"] == (400.0, 30.0) and source["b"][1] == pytest.approx(970 * 2 / 3)
+    assert topic["y"][1] == 170.0 and topic["x"][1] == pytest.approx(830)
+
+
+def test_largest_sources_get_equal_shares_and_the_budget_is_spent(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    rows = mixing.reached(docs).collect()
+    for name in mixing.DIMENSIONS:
+        own = [r for r in rows if r["dimension"] == name]
+        assert sum(r["expected"] for r in own) == pytest.approx(mixing.DEFAULT.rate * sum(r["tokens"] for r in own), rel=1e-6)
+        assert all(r["expected"] <= r["tokens"] + 1e-6 for r in own)
+    assert len({r["target"] for r in rows if r["dimension"] == "source" and r["value"] != "*"}) == 1
+
+
 def test_mixing_defined_cases(spark, clashing, awkward):
     docs = clashing(awkward)
     assert mixing.sample(docs).columns == docs.columns
@@ -170,7 +191,11 @@ def test_mixing_defined_cases(spark, clashing, awkward):
     assert all(r[mixing.OWN + "sampled"] is not None for r in rows)
     assert len({r[mixing.OWN + "sampled"] for r in rows if r["doc_id"] == 5}) == 1
     odd = spark.createDataFrame([(1, "a b", None, None, 3), (2, None, "xx", "elsewhere", 0)], DOCS)
-    assert {r[mixing.OWN + "source"] for r in mixing.mix(odd).collect()} == {"*"}
+    assert {r[mixing.OWN + "source"] for r in mixing.mix(odd).collect()} == {"*"}  # the one source has no tokens
+    more = odd.union(spark.createDataFrame([(3, "c d e", "en", "elsewhere", 5)], DOCS))
+    assert {r[mixing.OWN + "source"] for r in mixing.mix(more).collect()} == {"*", "elsewhere"}
+    named = mixing.Targets({**mixing.DEFAULT.shares, "source": {"src0": 1.0}})
+    assert {r[mixing.OWN + "source"] for r in mixing.mix(more, named).collect()} == {"*"}
     assert mixing.sample(docs.limit(0)).count() == 0
 
 
