@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.contracts import GRAINS
+from tallyloom.sinks.folders import can_write, write_folders
 
 # Accepted symbol formats and quarter ends.
 SYMBOL_FORMATS = (r"^(SH|SZ|BJ)\d{6}$", r"^\d{6}\.(SH|SZ|BJ)$", r"^\d{6}$")
@@ -65,15 +66,19 @@ REPLACE_MODES = ("partitions", "all")
 
 
 def write_partitions(rows: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet",
-                     replace: str = "partitions", **options) -> None:
+                     replace: str = "partitions", many: bool = False, **options) -> None:
     """Rows under ``<by>=`` folders.
 
     ``partitions`` replaces exactly the folders that the rows fall into and leaves all others as they
     are; ``all`` replaces the whole table. A folder is replaced as a whole, so a shorter rewrite
-    leaves no file of the longer one.
+    leaves no file of the longer one. ``many`` says that the rows are sorted into very many small folders,
+    for which a local file system is written in another way (``sinks/folders``) with the same outcome.
     """
     if replace not in REPLACE_MODES:
         raise ValueError(f"replace must be one of {REPLACE_MODES}, not {replace}")
+    if many and set(options) <= {"header"} and can_write(rows, path, by, fmt):
+        write_folders(rows, path, by, fmt, replace, **options)
+        return
     mode = "dynamic" if replace == "partitions" else "static"
     (rows.write.mode("overwrite").format(fmt).options(partitionOverwriteMode=mode, **options)
      .partitionBy(*by).save(path))
@@ -88,7 +93,8 @@ def write_partitioned(df: DataFrame, path: str, grain: Column, date: Column,
     of them stops the write. The rebalance hint gathers each period for large files and lets adaptive
     execution split a period that is too large for one task.
     """
-    symbol = symbol if symbol is not None else F.lit(None).cast("string")
+    named = symbol is not None
+    symbol = symbol if named else F.lit(None).cast("string")
     errors = request_errors(grain, date, symbol)
     if rejects is not None:
         rejects(df.withColumn("errors", errors).where(F.size("errors") > 0))
@@ -99,5 +105,13 @@ def write_partitioned(df: DataFrame, path: str, grain: Column, date: Column,
         label = F.when(F.size(errors) > 0, stop.cast("string")).otherwise(
             partition_label(grain, date, symbol))
     rows = df.withColumns({"grain": F.upper(grain), "period": label})
-    write_partitions(rows.hint("rebalance", "grain", "period"), path, ("grain", "period"),
-                     replace=replace)
+    by = ("grain", "period")
+    if named and can_write(rows, path, by, "parquet"):
+        # A folder per symbol: ranges of a given number, as the folders and not the bytes are the work. The
+        # hash of the row spreads a symbol with much of the data.
+        spread = F.xxhash64(*[f"`{c}`" for c in df.columns])
+        count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranges = rows.repartitionByRange(count, *by, spread).sortWithinPartitions(*by)
+        write_partitions(ranges, path, by, replace=replace, many=True)
+        return
+    write_partitions(rows.hint("rebalance", *by), path, by, replace=replace)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.operators.columns import ordered
+from tallyloom.sinks.folders import count_folders, local_path
 from tallyloom.sinks.layout import write_partitions
 
 FORMATS = ("parquet", "csv")
@@ -89,8 +90,11 @@ def write_per_entity(df: DataFrame, path: str, key: str, day: str,
     if day not in kept:
         kept.append(day)
     rows = df.select(label.alias(key), *[f"`{c}`" for c in kept])
-    write_partitions(in_ranges(rows, key, day), path, [key], "csv", replace, header=True)
+    write_partitions(in_ranges(rows, key, day), path, [key], "csv", replace, many=True, header=True)
     # Counted from the directory names; no file is opened.
+    root = local_path(df.sparkSession, path)
+    if root is not None:
+        return count_folders(root, ".csv")
     files = df.sparkSession.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
     return files.select(key).distinct().count()
 
