@@ -9,6 +9,7 @@ work on all templates at once.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -34,21 +35,21 @@ def walked(templates: DataFrame) -> DataFrame:
 
     A null or empty list as the whole template is an empty map; text that is no JSON, or no map, raises.
     """
-    whole = F.coalesce("params", F.lit("{}"))
-    whole = F.when(F.to_json(F.try_parse_json(whole)) == "[]", "{}").otherwise(whole)
-    level = templates.select("req_id", F.array().cast("array<string>").alias("path"), whole.alias("json"))
+    whole = F.to_json(F.try_parse_json(F.coalesce("params", F.lit("{}"))))
+    # A generator, not a projection: each text is parsed once, however often its result is used.
+    level = templates.select("req_id", F.array().cast("array<string>").alias("path"), "params",
+                             F.explode(F.array(whole)).alias("json"))
+    wrong = F.raise_error(F.concat(F.lit("a template is a map, not "), F.coalesce("params", F.lit("null"))))
+    level = level.select("req_id", "path", F.when(F.col("json") == "[]", "{}").when(
+        F.col("json").startswith("{"), F.col("json")).otherwise(wrong.cast("string")).alias("json"))
+    # JSON made from a variant has one form, so its first letter tells a map from a list or a value.
+    inner = F.col("json").startswith("{") & (F.col("json") != "{}")
     parts = []
     for depth in range(MOST_DEPTH):
-        parsed = level.withColumn("v", F.try_parse_json("json"))
-        kind = F.schema_of_variant("v")
-        inner = kind.startswith("OBJECT<") & (F.to_json("v") != "{}")
-        if depth == 0:
-            wrong = F.raise_error(F.concat(F.lit("a template is a map, not "), F.col("json"))).cast("boolean")
-            inner = F.when(F.col("v").isNull() | ~kind.startswith("OBJECT<"), wrong).otherwise(inner)
-        else:
-            parts.append(parsed.where(~inner).select("req_id", "path", F.to_json("v").alias("json")))
-        below = parsed.where(inner).select(
-            "req_id", "path", F.explode(F.variant_get("v", "$", "map<string,variant>")).alias("key", "value"))
+        if depth:
+            parts.append(level.where(~inner))
+        below = level.where(inner).select("req_id", "path", F.explode(
+            F.variant_get(F.parse_json("json"), "$", "map<string,variant>")).alias("key", "value"))
         level = as_table(below.select("req_id", F.concat("path", F.array("key")).alias("path"),
                                       F.to_json("value").alias("json")), "template-level")
         if not level.take(1):
@@ -63,8 +64,8 @@ def _entries(requests: DataFrame, leaves: DataFrame, calendar: DataFrame, master
              clip_quarters: bool) -> tuple[DataFrame, DataFrame]:
     """(req_id, path, block_index, json) of all lists, and the LEAF rows that are the same in every block."""
     named = (*DATE_PLACEHOLDERS, *(CODE_PLACEHOLDERS if master is not None else ()))
-    text = F.when(F.col("json").startswith('"'), F.variant_get(F.parse_json("json"), "$", "string"))
-    marked = leaves.withColumn("placeholder", F.when(text.isin(*named), text))
+    text = F.when(F.col("json").isin(*[json.dumps(word) for word in named]), F.expr("substring(json, 2, length(json) - 2)"))
+    marked = leaves.withColumn("placeholder", text)
     asked = marked.where("placeholder is not null").drop("json").join(requests.drop("params"), "req_id")
     found = as_table(expand(asked.withColumns({"dataset": F.col("req_id"), "grain": F.lit(None).cast("string")}),
                             calendar, clip_quarters, master), "template-entries")
@@ -99,15 +100,17 @@ def _entries(requests: DataFrame, leaves: DataFrame, calendar: DataFrame, master
 def _nested(cells: DataFrame) -> DataFrame:
     """(req_id, block_index, params) from (req_id, block_index, path, json), the deepest maps first, keys in order."""
     deepest = cells.agg(F.max(F.size("path"))).first()[0] or 0
+    built = None
     for depth in range(deepest, 0, -1):
-        here = F.size("path") == depth
+        # Maps built one level further down are the only other values at this depth.
+        here = cells.where(F.size("path") == depth)
+        here = here if built is None else here.unionByName(built)
         entry = F.struct(F.element_at("path", -1).alias("key"), F.col("json"))
-        maps = cells.where(here).groupBy("req_id", "block_index", F.slice("path", 1, depth - 1).alias("path")).agg(
+        maps = here.groupBy("req_id", "block_index", F.slice("path", 1, depth - 1).alias("path")).agg(
             F.array_sort(F.collect_list(entry)).alias("entries"))
         text = F.array_join(F.transform("entries", lambda e: F.concat(quoted(e["key"]), F.lit(":"), e["json"])), ",")
         built = maps.select("req_id", "block_index", "path", F.concat(F.lit("{"), text, F.lit("}")).alias("json"))
-        cells = cells.where(~here).unionByName(built)
-    return cells.select("req_id", "block_index", F.col("json").alias("params"))
+    return (cells if built is None else built).select("req_id", "block_index", F.col("json").alias("params"))
 
 
 def blocks_of(requests: DataFrame, calendar: DataFrame, master: DataFrame | None = None,
