@@ -22,7 +22,7 @@ from tallyloom.plans.collect import collect
 from tallyloom.plans.feed import daily_feed, point_in_time_feed, run_converters, sort_day, write_point_in_time
 from tallyloom.plans.steps import cleaning_registry
 from tallyloom.quality.rules import feed_check, field_presence
-from tallyloom.session import scratch_path
+from tallyloom.session import as_table, scratch_path
 from tallyloom.sinks import layout, runlog, writers
 from tallyloom.sinks.snapshot import ShrinkError, SnapshotStore, fingerprint
 from tallyloom.sources.landing import (
@@ -377,7 +377,7 @@ def _(t):
     symbol = F.lpad(F.col("o_custkey").cast("string"), 6, "0")
     rows = orders(t).withColumn("symbol", symbol)
     layout.write_partitioned(rows, path, F.lit("SYMBOL"), F.lit(None).cast("string"), F.col("symbol"))
-    return read_layout(t.spark, path).groupBy("period").agg(F.count("*").alias("n_rows"))
+    return read_layout(t.spark, path, many=True).groupBy("period").agg(F.count("*").alias("n_rows"))
 
 
 @query("layout_rejects", """
@@ -481,7 +481,7 @@ def _(t):
     write_point_in_time(point_in_time_feed({"income": t.view("v_stmt_clean")}), path)
     schema = ("period int, datetime date, field string, value double, data_type string, "
               "symbol string")
-    return writers.read_per_entity(t.spark, path, schema).groupBy("data_type", "symbol").agg(
+    return writers.read_per_entity(t.spark, path, schema, ("data_type", "symbol")).groupBy("data_type", "symbol").agg(
         F.count("*").alias("n_rows"))
 
 
@@ -692,8 +692,9 @@ def _(t):
     path, feed = scratch_path(t.spark, "feed"), _feed(t)
     day = sort_day(feed.columns)
     writers.write_per_entity(feed, path, "symbol", day, [day, "low"], upper=True)
-    rows = writers.read_per_entity(t.spark, path, "date date, low double, symbol string").select(
-        "symbol", F.col("_metadata.file_name").alias("file"), "date", F.monotonically_increasing_id().alias("line"))
+    # The files are read once; what follows compares lines of that one reading.
+    rows = as_table(writers.read_per_entity(t.spark, path, "date date, low double, symbol string").select(
+        "symbol", F.col("_metadata.file_name").alias("file"), "date", F.monotonically_increasing_id().alias("line")), "feed-lines")
     above = rows.select("symbol", "file", (F.col("line") + 1).alias("line"), F.col("date").alias("before"))
     both = rows.join(above, ["symbol", "file", "line"], "left")
     lines = both.groupBy("symbol").agg(F.count("*").alias("n_rows"), F.count_if(F.col("date") < F.col("before")).alias("bad"))

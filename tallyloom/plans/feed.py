@@ -77,7 +77,7 @@ def write_point_in_time(feed: DataFrame, path: str, replace: str = "partitions")
     Other tables and symbols keep their files; ``replace="all"`` drops them.
     """
     keys = ("data_type", "symbol", "datetime", "field")
-    write_partitions(in_ranges(feed, *keys), path, ("data_type", "symbol"), "csv", replace, header=True)
+    write_partitions(in_ranges(feed, *keys), path, ("data_type", "symbol"), "csv", replace, many=True, header=True)
 
 
 def run_converters(converters: Mapping[str, Callable[[], int]]) -> list[dict]:

@@ -12,11 +12,12 @@ Both steps may run twice: names hold the run, so a file that is in place already
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -195,6 +196,21 @@ def write_folders(rows: DataFrame, path: str, by: Sequence[str], fmt: str, repla
         shutil.rmtree(staging, ignore_errors=True)
 
 
+def folder_value(name: str) -> Column:
+    """The value that the folder ``<name>=`` of a row's file stands for, of files read with ``recursiveFileLookup``.
+
+    Spark finds partitions from folder names in time that grows with the square of their number, so very
+    many folders are read as plain files.
+    """
+    raw = F.regexp_extract("_metadata.file_path", f".*/{re.escape(name)}=([^/]*)/", 1)
+
+    def decoded(text: Column) -> Column:
+        return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+
+    # Escaped once as a folder's name and once more as part of a URI.
+    return F.when(raw != "__HIVE_DEFAULT_PARTITION__", decoded(decoded(raw)))
+
+
 def count_folders(root: str, suffix: str) -> int:
     """Folders of a table with one level that hold a file of this kind; no file is opened."""
     return sum(any(name.endswith(suffix) for name in os.listdir(entry.path))

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.operators.columns import ordered
-from tallyloom.sinks.folders import count_folders, local_path
+from tallyloom.sinks.folders import count_folders, folder_value, local_path
 from tallyloom.sinks.layout import write_partitions
 
 FORMATS = ("parquet", "csv")
@@ -99,9 +100,12 @@ def write_per_entity(df: DataFrame, path: str, key: str, day: str,
     return files.select(key).distinct().count()
 
 
-def read_per_entity(spark: SparkSession, path: str, schema) -> DataFrame:
-    """K4 read back; the declared schema keeps the zeros of numeric-looking entity names."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+def read_per_entity(spark: SparkSession, path: str, schema, by: Sequence[str] = ("symbol",)) -> DataFrame:
+    """K4 read back: files below ``<by>=`` folders; the declared schema keeps the zeros of numeric-looking names."""
+    declared = spark.createDataFrame([], schema).schema
+    files = spark.read.schema(T.StructType([f for f in declared if f.name not in by])).option(
+        "header", True).option("recursiveFileLookup", True).csv(path)
+    return files.select("*", *[folder_value(f.name).cast(f.dataType).alias(f.name) for f in declared if f.name in by])
 
 
 def write_feed_lists(calendar: DataFrame, instruments: DataFrame, path: str) -> None:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyloom.functions.dates import path_period, period_end, period_grain, period_start
+from tallyloom.sinks.folders import folder_value
 from tallyloom.sources.scan import file_listing, file_stem
 
 UNDATED = ("SYMBOL", "SNAPSHOT")  # grains whose folders name no period
@@ -72,17 +72,24 @@ def in_range(files: DataFrame, start: str | Column, end: str | Column) -> DataFr
 
 
 def read_layout(spark: SparkSession, path: str, start: str | None = None,
-                end: str | None = None) -> DataFrame:
+                end: str | None = None, many: bool = False) -> DataFrame:
     """S5 on a table partitioned by ``grain`` and ``period``.
 
     The range is a condition on the partition columns alone, so Spark lists and reads only the
-    partitions in it. Both are declared as text: an inferred period would lose leading zeros.
+    partitions in it. Both are read as text: an inferred period would lose leading zeros.
+    ``many`` reads a whole table of very many folders, such as symbols, as plain files instead.
     """
-    label = F.col("period")
-    stored = [f for f in spark.read.parquet(path).schema if f.name not in ("grain", "period")]
-    declared = T.StructType([*stored, T.StructField("grain", T.StringType()),
-                             T.StructField("period", T.StringType())])
-    table = spark.read.schema(declared).parquet(path)
+    if many:
+        files = spark.read.option("recursiveFileLookup", True).parquet(path)
+        return files.select("*", folder_value("grain").alias("grain"), folder_value("period").alias("period"))
+    label, inferred = F.col("period"), "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(inferred)
+    spark.conf.set(inferred, "false")
+    try:
+        # Read with the types in the files, so the folders are listed once and not again for a schema.
+        table = spark.read.parquet(path)
+    finally:
+        spark.conf.set(inferred, before)
     if start is None or end is None:
         return table
     first = period_start(label)
