@@ -264,7 +264,7 @@ def _(t):
     rows = t.view("v_revisions").withColumn("label", F.col("period_end").cast("string"))
     kept = PartitionStore(t.spark, f"{root}/table", "label", ["symbol", "period_end", "label"])
     for drop in (3, 1, 2, 0):
-        rows.where(F.pmod("order_key", F.lit(4)) == drop).coalesce(1).write.mode("append").parquet(f"{root}/drop")
+        rows.where(F.pmod("order_key", F.lit(4)) == drop).write.mode("append").parquet(f"{root}/drop")
         stream = t.spark.readStream.schema(rows.schema).parquet(f"{root}/drop")
         keep_resolved(stream, kept, "keep_latest_update", f"{root}/progress").awaitTermination()
     return kept.read().drop("label")
