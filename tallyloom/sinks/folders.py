@@ -7,6 +7,9 @@ the rows into ranges, formats CSV lines and keeps the list of what was written.
 A task writes below a folder of its own attempt, so only files of attempts that succeeded are listed. Once all
 are there, tasks put the listed files in place, each with one rename, and remove what a folder held before.
 Both steps may run twice: names hold the run, so a file that is in place already is told from an older one.
+
+Spark's reader keeps the status of every file in the driver and opens each in about 3 ms, so tables of very many
+files are also listed and read by tasks. The driver then holds nothing that grows with the number of folders.
 """
 
 from __future__ import annotations
@@ -15,11 +18,13 @@ import os
 import re
 import shutil
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tallyloom.session import as_table
 from tallyloom.sinks.commits import _hadoop
@@ -27,6 +32,7 @@ from tallyloom.sinks.commits import _hadoop
 TEXT_TYPES = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType,
               T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
 PLAIN_TYPES = {"csv": TEXT_TYPES, "parquet": (*TEXT_TYPES, T.BinaryType)}
+FEW_FILES = 10_000  # tables with no more are left to Spark's own reader
 
 
 def local_path(spark: SparkSession, path: str) -> str | None:
@@ -84,11 +90,18 @@ def _stager(staging: str, run: str, by: list[str], fmt: str, header: str | None,
             path, writer = sink
             table = pa.Table.from_batches(held)
             table = table.replace_schema_metadata(facts)
-            writer = writer or pq.ParquetWriter(path, table.schema, compression="snappy")
+            # Most files are a few rows: a dictionary, the Arrow schema and a file handle of their own cost more than these.
+            small = writer is None and last and table.num_rows < 1000
+            out = pa.BufferOutputStream() if small else path
+            writer = writer or pq.ParquetWriter(out, table.schema, compression="snappy", use_dictionary=not small,
+                                                store_schema=False)
             writer.write_table(table)
             sink, held = (path, writer), []
             if last:
                 writer.close()
+            if small:
+                with open(path, "wb") as file:
+                    file.write(out.getvalue())
 
         def closed():
             if sink is not None:
@@ -211,6 +224,172 @@ def folder_value(name: str) -> Column:
     return F.when(raw != "__HIVE_DEFAULT_PARTITION__", decoded(decoded(raw)))
 
 
+def has_many(root: str) -> bool:
+    """Whether there are more files than Spark's reader is given; no more than those are looked at."""
+    def files(folder: str) -> Iterator[str]:
+        with os.scandir(folder) as found:
+            for entry in found:
+                if entry.is_dir():
+                    yield from files(entry.path)
+                else:
+                    yield entry.path
+
+    return sum(1 for _ in islice(files(root), FEW_FILES + 1)) > FEW_FILES
+
+
+def _lister(root: str, deep: bool):
+    """Puts what folders hold in their place, and with ``deep`` all files below them; runs in tasks."""
+
+    def listing(batches):
+        import os
+
+        import pyarrow as pa
+
+        def hidden(name):  # to Spark's readers
+            return name.startswith(".") or name.endswith("._COPYING_") or (name.startswith("_") and "=" not in name)
+
+        def report(paths, kinds):
+            return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(kinds, pa.bool_())], names=["path", "folder"])
+
+        paths, kinds = [], []
+        for batch in batches:
+            for given, folder in zip(*[c.to_pylist() for c in batch.columns]):
+                left = [given] if folder else []
+                if not folder:
+                    paths.append(given)
+                    kinds.append(False)
+                while left:
+                    above = left.pop()
+                    with os.scandir(f"{root}/{above}") as found:
+                        for entry in found:
+                            if hidden(entry.name):
+                                continue
+                            path, inner = f"{above}/{entry.name}" if above else entry.name, entry.is_dir()
+                            if inner and deep:
+                                left.append(path)
+                                continue
+                            paths.append(path)
+                            kinds.append(inner)
+                            if len(paths) >= 10_000:
+                                yield report(paths, kinds)
+                                paths, kinds = [], []
+        yield report(paths, kinds)
+
+    return listing
+
+
+def list_files(spark: SparkSession, root: str, levels: int) -> DataFrame:
+    """Paths below ``root`` of a table's files. Tasks list them, each level of folders spread anew."""
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = spark.range(1).select(F.lit("").alias("path"), F.lit(True).alias("folder"))
+    for level in range(levels + 1):
+        found = found.repartition(count, "path").mapInArrow(_lister(root, level == levels), "path string, folder boolean")
+    return found.select("path")
+
+
+def _labels(by: list[str]):
+    """The values that a path's folders stand for; runs in tasks."""
+
+    def labels(path):
+        import re
+
+        found = dict(part.split("=", 1) for part in path.split("/")[:-1] if "=" in part)
+        values = [found.get(name, "") for name in by]
+        return [None if v == "__HIVE_DEFAULT_PARTITION__" else re.sub("%([0-9A-Fa-f]{2})", lambda m: chr(int(m[1], 16)), v)
+                for v in values]
+
+    return labels
+
+
+def _parquet_reader(root: str, by: list[str], schema):
+    """The rows of Parquet files in the columns and types of ``schema``, as far as these widen; runs in tasks."""
+    labels, names = _labels(by), [*[f"_by{i}" for i in range(len(by))], *schema.names]
+
+    def read(batches):
+        import os
+
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        fixed = (pa.types.is_string, pa.types.is_large_string, pa.types.is_binary, pa.types.is_large_binary, pa.types.is_boolean)
+        held, values, rows = [], [[] for _ in by], 0
+
+        def fitted(table, path):
+            if table.schema.equals(schema):
+                return table
+            there = {c.lower(): i for i, c in reversed([*enumerate(table.column_names)])} | {c: i for i, c in enumerate(table.column_names)}
+            columns = []
+            for field in schema:
+                at = there.get(field.name, there.get(field.name.lower()))
+                column = pa.nulls(table.num_rows, field.type) if at is None else table.column(at)
+                text = {"large_string": "string", "large_binary": "binary"}.get(str(column.type), str(column.type))
+                if text != str(field.type) and any(kind(t) for kind in fixed for t in (column.type, field.type)):
+                    raise TypeError(f"{path}: {field.name} is {column.type}, not {field.type}")
+                columns.append(column.cast(field.type))
+            return pa.Table.from_arrays(columns, schema=schema)
+
+        def report():
+            nonlocal held, values, rows
+            table = pa.concat_tables([schema.empty_table(), *held]).combine_chunks()
+            columns = [*[pa.array(v, pa.string()) for v in values], *table.columns]
+            held, values, rows = [], [[] for _ in by], 0
+            return pa.Table.from_arrays(columns, names=names).combine_chunks().to_batches()
+
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                whole = f"{root}/{path}"
+                if not (size := os.path.getsize(whole)):
+                    continue
+                source, found = whole, labels(path)
+                if size < 1 << 20:
+                    with open(whole, "rb") as file:
+                        source = pa.BufferReader(file.read())
+                file = pq.ParquetFile(source, coerce_int96_timestamp_unit="us")
+                tables = ([file.read(use_threads=False)] if file.metadata.num_rows <= 50_000 else
+                          (pa.Table.from_batches([b]) for b in file.iter_batches(50_000, use_threads=False)))
+                for table in tables:
+                    held.append(fitted(table.replace_schema_metadata(None), path))
+                    for column, value in zip(values, found):
+                        column.extend([value] * table.num_rows)
+                    rows += table.num_rows
+                    if rows >= 20_000 or len(held) >= 5_000:
+                        yield from report()
+        yield from report()
+
+    return read
+
+
+def _listed(spark: SparkSession, path: str, by: Sequence[str]) -> tuple[str, DataFrame] | None:
+    """Root and files of a table that tasks read, spread over them; None for one that Spark's own reader takes."""
+    root = local_path(spark, path)
+    if root is None or not has_many(root):
+        return None
+    return root, as_table(list_files(spark, root, len(by)), "listed-files")
+
+
+def _spread(files: DataFrame) -> DataFrame:
+    return files.repartition(int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path")
+
+
+def read_parquet(spark: SparkSession, path: str, by: Sequence[str]) -> DataFrame | None:
+    """Rows of Parquet files below ``<by>=`` folders, these as text behind the columns of the first file.
+
+    None for a table that Spark's own reader takes: one of few files, of nested types, or in another store.
+    """
+    listed = _listed(spark, path, by)
+    if listed is None:
+        return None
+    root, files = listed
+    first = files.agg(F.min("path")).first()[0]
+    schema = spark.read.option("recursiveFileLookup", True).parquet(f"{path.rstrip('/')}/{first}").schema
+    names = [f.name.lower() for f in schema]
+    if len({*names, *by}) < len(names) + len(by) or not all(isinstance(f.dataType, PLAIN_TYPES["parquet"]) for f in schema):
+        return None
+    types = T.StructType([*[T.StructField(f"_by{i}", T.StringType()) for i in range(len(by))], *schema])
+    rows = _spread(files).mapInArrow(_parquet_reader(root, list(by), to_arrow_schema(schema)), types)
+    return rows.select(*[f"`{f.name}`" for f in schema], *[F.col(f"_by{i}").alias(c) for i, c in enumerate(by)])
+
+
 def count_folders(root: str, suffix: str) -> int:
     """Folders of a table with one level that hold a file of this kind; no file is opened."""
     return sum(any(name.endswith(suffix) for name in os.listdir(entry.path))

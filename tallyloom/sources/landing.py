@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import path_period, period_end, period_grain, period_start
-from tallyloom.sinks.folders import folder_value
+from tallyloom.sinks.folders import folder_value, read_parquet
 from tallyloom.sources.scan import file_listing, file_stem
 
 UNDATED = ("SYMBOL", "SNAPSHOT")  # grains whose folders name no period
@@ -77,8 +77,11 @@ def read_layout(spark: SparkSession, path: str, start: str | None = None,
 
     The range is a condition on the partition columns alone, so Spark lists and reads only the
     partitions in it. Both are read as text: an inferred period would lose leading zeros.
-    ``many`` reads a whole table of very many folders, such as symbols, as plain files instead.
+    ``many`` reads a whole table of very many folders, such as symbols, as plain files instead, by tasks where
+    there are more than Spark's reader should list.
     """
+    if many and (rows := read_parquet(spark, path, ("grain", "period"))) is not None:
+        return rows
     if many:
         files = spark.read.option("recursiveFileLookup", True).parquet(path)
         return files.select("*", folder_value("grain").alias("grain"), folder_value("period").alias("period"))
