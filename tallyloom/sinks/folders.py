@@ -33,6 +33,7 @@ TEXT_TYPES = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType,
               T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
 PLAIN_TYPES = {"csv": TEXT_TYPES, "parquet": (*TEXT_TYPES, T.BinaryType)}
 FEW_FILES = 10_000  # tables with no more are left to Spark's own reader
+PACKED = r"\.(gz|bz2|deflate|lz4|snappy|zst|zstd)$"  # text that Spark unpacks by the ending of its name
 
 
 def local_path(spark: SparkSession, path: str) -> str | None:
@@ -301,6 +302,46 @@ def _labels(by: list[str]):
     return labels
 
 
+def _text_reader(root: str, by: list[str], header: bool):
+    """The lines of text files as Spark's reader takes them; runs in tasks."""
+    labels, names = _labels(by), [*[f"_by{i}" for i in range(len(by))], "_file", "_line", "_text"]
+
+    def read(batches):
+        import pyarrow as pa
+
+        blank = "".join(map(chr, range(33)))
+        rows, size = [[] for _ in names], 0
+
+        def report():
+            nonlocal rows, size
+            types = [*[pa.string()] * (len(by) + 1), pa.int64(), pa.string()]
+            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types)], names=names)
+            rows, size = [[] for _ in names], 0
+            return out
+
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                values, n = [*labels(path), path.rsplit("/", 1)[-1]], -1 if header else 0
+                with open(f"{root}/{path}", encoding="utf-8", errors="replace") as file:
+                    first = True
+                    while chunk := file.readlines(1 << 20):
+                        if first:
+                            chunk[0], first = chunk[0].removeprefix("\ufeff"), False
+                        kept = [line.removesuffix("\n") for line in chunk if line.strip(blank)]
+                        if n < 0 and kept:
+                            n, kept = 0, kept[1:]
+                        for column, value in zip(rows, values):
+                            column.extend([value] * len(kept))
+                        rows[-2].extend(range(n, n + len(kept)))
+                        rows[-1].extend(kept)
+                        n, size = n + len(kept) if n >= 0 else n, size + sum(map(len, kept))
+                        if len(rows[-1]) >= 10_000 or size >= 4 << 20:
+                            yield report()
+        yield report()
+
+    return read
+
+
 def _parquet_reader(root: str, by: list[str], schema):
     """The rows of Parquet files in the columns and types of ``schema``, as far as these widen; runs in tasks."""
     labels, names = _labels(by), [*[f"_by{i}" for i in range(len(by))], *schema.names]
@@ -371,6 +412,21 @@ def _spread(files: DataFrame) -> DataFrame:
     return files.repartition(int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path")
 
 
+def read_lines(spark: SparkSession, path: str, by: Sequence[str], header: bool = False) -> DataFrame | None:
+    """Lines of text files below ``<by>=`` folders as ``by``, ``_file`` (its name), ``_line`` (from 0) and ``_text``.
+
+    None for a table that Spark's own reader takes: one of few files, of packed files, or in another store.
+    Empty lines, and with ``header`` the first line of a file, are left out as Spark's CSV reader does.
+    """
+    listed = _listed(spark, path, by)
+    if listed is None or not listed[1].where(F.col("path").rlike(PACKED)).isEmpty():
+        return None
+    root, files = listed
+    types = ", ".join([*[f"_by{i} string" for i in range(len(by))], "_file string, _line long, _text string"])
+    rows = _spread(files).mapInArrow(_text_reader(root, list(by), header), types)
+    return rows.select(*[F.col(f"_by{i}").alias(c) for i, c in enumerate(by)], "_file", "_line", "_text")
+
+
 def read_parquet(spark: SparkSession, path: str, by: Sequence[str]) -> DataFrame | None:
     """Rows of Parquet files below ``<by>=`` folders, these as text behind the columns of the first file.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.operators.columns import ordered
-from tallyloom.sinks.folders import count_folders, folder_value, local_path
+from tallyloom.sinks.folders import count_folders, folder_value, local_path, read_lines
 from tallyloom.sinks.layout import write_partitions
 
 FORMATS = ("parquet", "csv")
@@ -101,10 +101,20 @@ def write_per_entity(df: DataFrame, path: str, key: str, day: str,
 
 
 def read_per_entity(spark: SparkSession, path: str, schema, by: Sequence[str] = ("symbol",)) -> DataFrame:
-    """K4 read back: files below ``<by>=`` folders; the declared schema keeps the zeros of numeric-looking names."""
+    """K4 read back: files below ``<by>=`` folders; the declared schema keeps the zeros of numeric-looking names.
+
+    Very many files are listed and read by tasks (``sinks/folders``).
+    """
     declared = spark.createDataFrame([], schema).schema
-    files = spark.read.schema(T.StructType([f for f in declared if f.name not in by])).option(
-        "header", True).option("recursiveFileLookup", True).csv(path)
+    rest = [f for f in declared if f.name not in by]
+    lines = read_lines(spark, path, by, header=True) if rest else None
+    if lines is not None:
+        quoted = [(f.name.replace("`", "``"), f.dataType.simpleString()) for f in rest]
+        parsed = F.from_csv("_text", ", ".join(f"`{name}` {kind}" for name, kind in quoted))
+        rows = lines.withColumn("_row", parsed)
+        return rows.select(*[F.col("_row").getField(f.name).alias(f.name) for f in rest],
+                           *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in declared if f.name in by])
+    files = spark.read.schema(T.StructType(rest)).option("header", True).option("recursiveFileLookup", True).csv(path)
     return files.select("*", *[folder_value(f.name).cast(f.dataType).alias(f.name) for f in declared if f.name in by])
 
 
