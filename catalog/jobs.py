@@ -693,8 +693,8 @@ def _(t):
     day = sort_day(feed.columns)
     writers.write_per_entity(feed, path, "symbol", day, [day, "low"], upper=True)
     # The files are read once; what follows compares lines of that one reading.
-    rows = as_table(writers.read_per_entity(t.spark, path, "date date, low double, symbol string").select(
-        "symbol", F.col("_metadata.file_name").alias("file"), "date", F.monotonically_increasing_id().alias("line")), "feed-lines")
+    rows = as_table(writers.read_per_entity(t.spark, path, "date date, low double, symbol string", places=True).select(
+        "symbol", "file", "date", "line"), "feed-lines")
     above = rows.select("symbol", "file", (F.col("line") + 1).alias("line"), F.col("date").alias("before"))
     both = rows.join(above, ["symbol", "file", "line"], "left")
     lines = both.groupBy("symbol").agg(F.count("*").alias("n_rows"), F.count_if(F.col("date") < F.col("before")).alias("bad"))

@@ -100,9 +100,11 @@ def write_per_entity(df: DataFrame, path: str, key: str, day: str,
     return files.select(key).distinct().count()
 
 
-def read_per_entity(spark: SparkSession, path: str, schema, by: Sequence[str] = ("symbol",)) -> DataFrame:
+def read_per_entity(spark: SparkSession, path: str, schema, by: Sequence[str] = ("symbol",),
+                    places: bool = False) -> DataFrame:
     """K4 read back: files below ``<by>=`` folders; the declared schema keeps the zeros of numeric-looking names.
 
+    ``places`` adds the name of a row's ``file`` and a number ``line``, one more than that of the line above it.
     Very many files are listed and read by tasks (``sinks/folders``).
     """
     declared = spark.createDataFrame([], schema).schema
@@ -113,9 +115,11 @@ def read_per_entity(spark: SparkSession, path: str, schema, by: Sequence[str] =
         parsed = F.from_csv("_text", ", ".join(f"`{name}` {kind}" for name, kind in quoted))
         rows = lines.withColumn("_row", parsed)
         return rows.select(*[F.col("_row").getField(f.name).alias(f.name) for f in rest],
-                           *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in declared if f.name in by])
+                           *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in declared if f.name in by],
+                           *([F.col("_file").alias("file"), F.col("_line").alias("line")] if places else []))
     files = spark.read.schema(T.StructType(rest)).option("header", True).option("recursiveFileLookup", True).csv(path)
-    return files.select("*", *[folder_value(f.name).cast(f.dataType).alias(f.name) for f in declared if f.name in by])
+    numbered = [F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("line")] if places else []
+    return files.select("*", *[folder_value(f.name).cast(f.dataType).alias(f.name) for f in declared if f.name in by], *numbered)
 
 
 def write_feed_lists(calendar: DataFrame, instruments: DataFrame, path: str) -> None:
