@@ -446,7 +446,10 @@ def read_parquet(spark: SparkSession, path: str, by: Sequence[str]) -> DataFrame
     return rows.select(*[f"`{f.name}`" for f in schema], *[F.col(f"_by{i}").alias(c) for i, c in enumerate(by)])
 
 
-def count_folders(root: str, suffix: str) -> int:
+def count_folders(spark: SparkSession, root: str, suffix: str) -> int:
     """Folders of a table with one level that hold a file of this kind; no file is opened."""
+    if has_many(root):
+        held = F.col("path").rlike(f"^[^/]*=[^/]*/[^/]*{re.escape(suffix)}$")
+        return list_files(spark, root, 1).where(held).select(F.substring_index("path", "/", 1)).distinct().count()
     return sum(any(name.endswith(suffix) for name in os.listdir(entry.path))
                for entry in os.scandir(root) if "=" in entry.name and entry.is_dir())

@@ -95,7 +95,7 @@ def write_per_entity(df: DataFrame, path: str, key: str, day: str,
     # Counted from the directory names; no file is opened.
     root = local_path(df.sparkSession, path)
     if root is not None:
-        return count_folders(root, ".csv")
+        return count_folders(df.sparkSession, root, ".csv")
     files = df.sparkSession.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
     return files.select(key).distinct().count()
 
